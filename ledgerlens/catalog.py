@@ -130,6 +130,7 @@ def registry() -> dict[str, QueryFn]:
         "q6_5_state_success_rates": _ea(Q6.state_success_rates),
         "r2_city_segmentation": _r2,
     }
+    q.update(extended_registry())
     return q
 
 
@@ -138,3 +139,189 @@ def oracle() -> dict[str, str]:
     out = kpis.build(edges_a=EDGES_A, q35_min=Q35_MIN_TXNS, cohort_start=COHORT_START,
                      cohorts=COHORTS, since=SINCE)
     return out
+
+
+# --------------------------------------------------------------------------
+# Families beyond the 35 SQL queries.
+# --------------------------------------------------------------------------
+from ledgerlens.plans import cashback as B  # noqa: E402
+from ledgerlens.plans import features as FE  # noqa: E402
+from ledgerlens.plans import measures as M  # noqa: E402
+from ledgerlens.plans import quality as C  # noqa: E402
+from ledgerlens.plans import stats as ST  # noqa: E402
+from ledgerlens.plans import visuals as P  # noqa: E402
+from ledgerlens.sources import io as IO  # noqa: E402
+
+# Reasons and categories of the fixture, listed for pivots (no discovery job).
+FAILURE_REASONS_A = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+CATEGORIES_A = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+SLICERS_X1 = {"txn_year": [1996, 1997], "merchant_category": ["ECONOMY", "PROMO", "STANDARD"]}
+DRILL_MERCHANT = 7
+
+
+def _double_decimals(df: DataFrame) -> DataFrame:
+    from pyspark.sql import types as T
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def txn_features(t: Tables) -> DataFrame:
+    return t._memo("tfeat", lambda: FE.engineer_transaction_features(V.analysis_frame(t, "A")))
+
+
+def customer_features(t: Tables) -> DataFrame:
+    return t._memo("cfeat", lambda: FE.engineer_customer_features(txn_features(t), t.customers))
+
+
+def _tf(fn):
+    return lambda spark, sf: fn(txn_features(_t(spark, sf)))
+
+
+def _cf(fn):
+    return lambda spark, sf: fn(customer_features(_t(spark, sf)))
+
+
+def _cashback(t: Tables) -> DataFrame:
+    return t._memo("cashback", lambda: B.cashback_table(t.transactions_a, t.merchants, t.campaigns))
+
+
+def _all_tables(t: Tables) -> dict[str, DataFrame]:
+    return {"banks": t.banks, "devices": t.devices, "merchants": t.merchants, "campaigns": t.campaigns,
+            "customers": t.customers, "transactions": t.transactions_a, "cashback": _cashback(t)}
+
+
+def extended_registry() -> dict[str, QueryFn]:
+    def tx(spark, sf):
+        return _t(spark, sf).transactions_a
+
+    q: dict[str, QueryFn] = {
+        # views
+        "v3_analysis_frame": lambda s, sf: _double_decimals(V.analysis_frame(_t(s, sf), "A")),
+        "v4_dim_date": lambda s, sf: V.dim_date_for(_t(s, sf).transactions_a),
+        # quality
+        "c1_quality_audit": lambda s, sf: C.data_quality_report(tx(s, sf)),
+        "c2_dedupe_first": lambda s, sf: _double_decimals(C.dedupe_first(tx(s, sf))),
+        "c6_cleaning_actions": lambda s, sf: C.cleaning_actions(tx(s, sf)),
+        "c7_audit_issues": lambda s, sf: C.audit_issues(C.data_quality_report(tx(s, sf))),
+        "c7b_total_issues": lambda s, sf: C.total_issues(C.data_quality_report(tx(s, sf))),
+        "c8_orphans": lambda s, sf: C.orphan_counts(_all_tables(_t(s, sf))),
+        "c9_load_kpis": _ea(C.load_kpis),
+        "c10_worst_banks": _ea(C.worst_banks),
+        "c11_key_completeness": lambda s, sf: C.key_completeness(tx(s, sf), min_amount=0.01),
+        # sources
+        "s7_row_counts": lambda s, sf: IO.row_counts(_all_tables(_t(s, sf))),
+        # features
+        "f10_transaction_features": lambda s, sf: _double_decimals(txn_features(_t(s, sf))),
+        "u8_customer_features": lambda s, sf: _double_decimals(customer_features(_t(s, sf))),
+        # measures
+        "m_kpi_card": _ea(M.kpi_card),
+        "m_customer_card": lambda s, sf: M.customer_card(customer_features(_t(s, sf)), V.enriched(_t(s, sf), "A")),
+        "m14_gpv_previous_month": _ea(lambda e: M.previous_month(e, "gpv")),
+        "m15_revenue_previous_month": _ea(lambda e: M.previous_month(e, "revenue")),
+        "m16_transactions_previous_month": _ea(lambda e: M.previous_month(e, "transactions")),
+        "m17_year_to_date": _ea(M.year_to_date),
+        "m20_cumulative_revenue_in_range": _ea(lambda e: M.cumulative_revenue_in_range(e, "1996-01-01", "1997-12-31")),
+        "m21_repeat_customers": _ea(lambda e: M.repeat_customers(e, by=["merchant_category"])),
+        "m25_new_customers_by_date": lambda s, sf: M.new_customers_by_date(
+            V.dim_date_for(_t(s, sf).transactions_a), _t(s, sf).customers),
+        "m30_merchant_revenue_rank": _ea(M.merchant_revenue_rank),
+        "m33_peak_hour": _eb(M.peak_hour),
+        "m35_active_customers_30d": lambda s, sf: M.active_customers_last_days(
+            V.enriched(_t(s, sf), "A"), Q2.newest_date(_t(s, sf).transactions_a)),
+        "m38_top_merchant_revenue": _ea(M.top_merchant_revenue),
+        "m40_most_common_failure_reason": _ea(M.most_common_failure_reason),
+        "m42_base_failure_rate_avg": lambda s, sf: M.base_failure_rate_avg(_t(s, sf).banks),
+        "m43_bank_success_rate": _ea(M.bank_success_rate),
+        "m50_ticket_band_column": _ea(lambda e: _double_decimals(M.ticket_band_column(e, EDGES_A))),
+        "x1_sliced_measures": _ea(lambda e: M.measure_query(
+            e, ["total_transactions", "gpv", "total_revenue", "success_rate_pct", "active_customers"],
+            by=["txn_year", "merchant_category"], slicers=SLICERS_X1)),
+        "x2_drill_through_merchant": _ea(lambda e: _double_decimals(M.drill_through(e, "merchant_id", DRILL_MERCHANT))),
+        "x3_visual_top_n": _ea(lambda e: M.visual_top_n(
+            M.measure_query(e, ["total_revenue", "total_transactions"], by=["customer_state"]),
+            "total_revenue", "customer_state", 5)),
+        # visuals
+        "p1_revenue_by_payment_mode": _ea(P.revenue_by_payment_mode),
+        "p2_revenue_by_quarter": _ea(P.revenue_by_quarter),
+        "p3_customers_per_segment": _cf(P.customers_per_segment),
+        "p4_rfm_scatter": _cf(P.rfm_scatter),
+        "p5_clv_top": _cf(P.clv_top),
+        "p6_customers_by_gender": _cf(P.customers_by_gender),
+        "p7_recency_histogram": _cf(P.recency_histogram),
+        "p8_new_customers_by_month": lambda s, sf: P.new_customers_by_month(_t(s, sf).customers),
+        "p9_category_merchant_hierarchy": _ea(P.category_merchant_hierarchy),
+        "p10_category_matrix": _ea(P.category_matrix),
+        "p11_merchant_scatter": lambda s, sf: P.merchant_scatter(V.enriched(_t(s, sf), "A"), _t(s, sf).merchants),
+        "p12_month_weekday_heatmap": _ea(P.month_weekday_heatmap),
+        "p13_bank_type_reason_matrix": _ea(lambda e: P.bank_type_reason_matrix(e, FAILURE_REASONS_A)),
+        "p14_state_category_matrix": _ea(lambda e: P.state_category_matrix(e, CATEGORIES_A)),
+        "p15_top5_merchants": _ea(P.top_merchants_revenue),
+        "p15_success_failed_split": _ea(P.success_failed_split),
+        "p15_revenue_trend": _ea(P.revenue_trend),
+        "p16_txns_by_city": _ea(P.txns_by_city),
+        "p16_avg_amount_by_age": _ea(P.avg_amount_by_age),
+        "p17_commission_by_merchant": _ea(P.commission_by_merchant),
+        "p17_txns_by_category": _ea(P.txns_by_category),
+        "p18_bank_volume_share": lambda s, sf: P.bank_volume_share(V.enriched(_t(s, sf), "A"), _t(s, sf).banks),
+        "p18_os_share": _ea(P.os_share),
+        "p19_transaction_detail": lambda s, sf: P.transaction_detail(
+            V.enriched(_t(s, sf), "A"), _t(s, sf).customers, after=("1996-06-30", "99999")),
+        "p20_failure_rate_by_date": _ea(P.failure_rate_by_date),
+        "p21_bank_reason_failures": _ea(P.bank_reason_failures),
+        "p22_regional_table": _ea(P.regional_table),
+        "p23_top10_revenue_share": _ea(P.top_n_share),
+        # exploratory
+        "n1_describe_amount": _tf(ST.describe),
+        "n2_amount_histogram_p99": _tf(ST.amount_histogram_p99),
+        "n3_log10_histogram": _tf(ST.log10_histogram),
+        "n4_status_share": _tf(ST.status_share),
+        "n5_monthly_eda": _tf(ST.monthly_eda),
+        "n6_txns_by_hour": _tf(ST.txns_by_hour),
+        "n7_txns_by_weekday": _tf(ST.txns_by_weekday),
+        "n8_category_eda": _tf(ST.category_eda),
+        "n9_state_eda": _tf(ST.state_eda),
+        "n10_bank_failure_mean": _tf(ST.bank_failure_mean),
+        "n11_failure_reason_counts": _tf(ST.failure_reason_counts),
+        "n12_correlation_matrix": _cf(ST.correlation_matrix),
+        "n13_first_rows": _tf(lambda tf: _double_decimals(ST.first_rows(
+            tf, ["transaction_id", "amount", "txn_hour", "txn_day_name", "is_weekend", "high_value_flag",
+                 "ticket_band", "daypart", "revenue", "merchant_category"], ["transaction_id"]))),
+        "n14_append_frames": lambda s, sf: ST.append_frames(
+            _t(s, sf).transactions_a.select("transaction_id", "customer_id", "amount"),
+            _t(s, sf).transactions_b.select("transaction_id", "customer_id", "amount")).select(
+            "transaction_id", "customer_id", F.col("amount").cast("double")),
+        # statistics
+        "t1_describe_successful": _tf(lambda tf: ST.describe(ST.successful_amounts(tf))),
+        "t2_shape": _tf(ST.shape_stats),
+        "t3_log_histogram": _tf(ST.log_histogram),
+        "t4_qq_points": _tf(ST.qq_points),
+        "t5_iqr_outliers": _tf(ST.iqr_outliers),
+        "t6_zscore_outliers": _tf(ST.zscore_outliers),
+        "t7_boxplot_stats": _tf(ST.boxplot_stats),
+        "t7b_abs_z_histogram": _tf(ST.abs_z_histogram),
+        "t8_mean_ci_stat": _tf(ST.mean_ci_stat),
+        "t8_mean_ci": _tf(ST.mean_ci),
+        "t9_bootstrap_ci": _tf(ST.bootstrap_ci),
+        "t10_correlation_dropna": _cf(lambda cf: ST.correlation_matrix(cf, ST.T10_FEATURES, dropna=True)),
+        "t11_pearson_stat": _cf(ST.pearson_pairs_stat),
+        "t11_pearson_test": _cf(ST.pearson_pairs),
+        "t12_weekend_groups": _tf(ST.weekend_groups),
+        "t12_welch_test": _tf(ST.welch_test),
+        "t13_mann_whitney_stat": _tf(ST.mann_whitney_stat),
+        "t13_mann_whitney_test": _tf(ST.mann_whitney),
+        "t15_anova_stat": _tf(ST.anova_stat),
+        "t15_anova_test": _tf(ST.anova),
+        "t16_category_ticket_stats": _tf(ST.category_ticket_stats),
+        "t17_bank_type_status_table": _tf(ST.bank_type_status_table),
+        "t18_chi_square_stat": _tf(ST.bank_type_chi_square_stat),
+        "t18_chi_square_test": _tf(ST.bank_type_chi_square),
+        "t19_failure_rate_by_bank_type": _tf(ST.failure_rate_by_bank_type),
+        "t20_os_failure_table": _tf(ST.os_failure_table),
+        "t20_os_chi_square_stat": _tf(ST.os_chi_square_stat),
+        "t20_os_chi_square_test": _tf(ST.os_chi_square),
+        # cashback
+        "b3_cashback_table": lambda s, sf: _double_decimals(_cashback(_t(s, sf))),
+        "b4_cashback_summary": lambda s, sf: B.cashback_summary(_cashback(_t(s, sf)), _t(s, sf).campaigns),
+        "b4_cashback_total": lambda s, sf: B.cashback_total(_cashback(_t(s, sf))),
+    }
+    return q
