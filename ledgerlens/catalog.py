@@ -136,8 +136,11 @@ def registry() -> dict[str, QueryFn]:
 
 def oracle() -> dict[str, str]:
     from ledgerlens.oracle import kpis
+    from ledgerlens.oracle import extended
     out = kpis.build(edges_a=EDGES_A, q35_min=Q35_MIN_TXNS, cohort_start=COHORT_START,
                      cohorts=COHORTS, since=SINCE)
+    out.update(extended.build(edges_a=EDGES_A, slicers=SLICERS_X1, drill_merchant=DRILL_MERCHANT,
+                              reasons=FAILURE_REASONS_A, categories=CATEGORIES_A))
     return out
 
 

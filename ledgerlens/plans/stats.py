@@ -357,12 +357,13 @@ def pearson_pairs(cf: DataFrame) -> DataFrame:
 def weekend_groups(tf: DataFrame) -> DataFrame:
     """T12 (statistic part): count, mean, sample variance of successful tickets per weekend flag."""
     s = successful_amounts(tf)
-    return s.groupBy("is_weekend").agg(
-        _cnt().alias("n"), F.sum("amount").alias("sx"),
-        F.var_samp(F.col("amount").cast("double")).alias("var")) \
-        .select(F.col("is_weekend").cast("int"), F.col("n").cast("bigint"),
-                X.round_ratio(F.col("sx"), F.col("n"), STAT_DIGITS).alias("mean"),
-                r6(F.col("var")).alias("var"))
+    g = s.groupBy("is_weekend").agg(
+        _cnt().alias("n"), F.sum("amount").alias("sx"), F.sum(F.col("amount") * F.col("amount")).alias("sxx"))
+    # Sample variance from exact decimal sums: (n Σx² − (Σx)²) / (n (n − 1)).
+    num = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+    return g.select(F.col("is_weekend").cast("int"), F.col("n").cast("bigint"),
+                    X.round_ratio(F.col("sx"), F.col("n"), STAT_DIGITS).alias("mean"),
+                    X.round_ratio(num, F.col("n") * (F.col("n") - 1), STAT_DIGITS).alias("var"))
 
 
 def welch_test(tf: DataFrame) -> DataFrame:
