@@ -79,10 +79,22 @@ def count_failed(status: str = "status") -> Column:
     return F.count_if(is_failed(status))
 
 
+# A single payment below 10^9 keeps amount x rate within 18 digits, so the
+# product and its rounding stay on Spark's long-backed decimal fast path.
+TICKET = "decimal(11,2)"
+
+
+def commission(amount: Column | str = "amount", rate: Column | str = "commission_rate") -> Column:
+    """ROUND(amount * rate, 2), exact, computed in decimal(18,6)."""
+    a = F.col(amount) if isinstance(amount, str) else amount
+    r = F.col(rate) if isinstance(rate, str) else rate
+    return F.round(a.cast(TICKET) * r, 2)
+
+
 def revenue_expr(amount: str = "amount", rate: str = "commission_rate",
                  status: str = "status") -> Column:
     """Commission on SUCCESS rows, rounded per row to 2 places (decimal, exact)."""
-    return F.when(is_success(status), F.round(F.col(amount) * F.col(rate), 2)) \
+    return F.when(is_success(status), commission(amount, rate)) \
         .otherwise(F.lit(0).cast("decimal(18,2)"))
 
 

@@ -98,16 +98,20 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def global_rank(df: DataFrame, keys: Sequence[Key], sum_cols: Sequence[str] = (),
                 rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-                checkpoint: bool = True, rank_col: str = "__rn", total_col: str = "__n") -> DataFrame:
+                checkpoint: bool = True, rank_col: str = "__rn", total_col: str = "__n",
+                n: int | None = None) -> DataFrame:
     """Add the global 1-based row number (and running sums ``__cum_<c>``) under ``keys``.
 
     ``keys`` must form a total order (end with a unique id) for the result to
     be deterministic; ``total_col`` receives the row count of the whole frame.
+    ``n`` may pass a known row count; without ``checkpoint`` the input must
+    be deterministic (a checkpointed or file-backed frame), since the count,
+    the sample and the ranking each read it.
     """
     base = materialize(df) if checkpoint else df
     enc, names = _encode(base, keys)
     types = [enc.schema[n].dataType for n in names]
-    n = enc.count()
+    n = enc.count() if n is None else n
     buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
     if buckets > 1:
         fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / max(1, n))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
-from ledgerlens.operators.ranking import ROWS_PER_BUCKET, Key, global_rank, ntile_from_rank
+from ledgerlens.operators.ranking import ROWS_PER_BUCKET, Key, global_rank, materialize, ntile_from_rank
 
 
 def newest_date(txn: DataFrame) -> Column:
@@ -56,11 +56,13 @@ def rfm_scores_ntile(e: DataFrame, as_of: Column, buckets: int = 5,
         F.count(F.lit(1)).alias("frequency"),
         X.sum_success("amount").alias("monetary"),
     ).withColumn("recency_days", F.datediff(as_of, F.col("last_txn")).cast("bigint"))
-    scored = cust
+    scored = materialize(cust)
+    n = scored.count()
     for name, key in (("r_score", Key("recency_days", ascending=False)),
                       ("f_score", Key("frequency")),
                       ("m_score", Key("monetary", nulls_first=True))):
-        ranked = global_rank(scored, [key, Key("customer_id")], rows_per_bucket=rows_per_bucket)
+        ranked = global_rank(scored, [key, Key("customer_id")], rows_per_bucket=rows_per_bucket,
+                             checkpoint=False, n=n)
         scored = ranked.withColumn(name, ntile_from_rank(F.col("__rn"), F.col("__n"), buckets)) \
             .drop("__rn", "__n")
     return scored

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
-from ledgerlens.operators.ranking import ROWS_PER_BUCKET, Key, global_rank, qcut_from_rank
+from ledgerlens.operators.ranking import ROWS_PER_BUCKET, Key, global_rank, materialize, qcut_from_rank
 
 TXN_FEATURE_COLUMNS = (
     "transaction_id", "customer_id", "merchant_id", "bank_id", "device_id", "amount", "status",
@@ -58,7 +58,7 @@ def engineer_transaction_features(frame: DataFrame, hv_quantile: float = X.HIGH_
         "is_failed": X.failed_flag(),
     })
     out = out.withColumns({
-        "revenue": F.when(F.col("is_success") == 1, F.round(F.col("amount") * F.col("commission_rate"), 2))
+        "revenue": F.when(F.col("is_success") == 1, X.commission("amount", "commission_rate"))
         .otherwise(F.lit(0).cast("decimal(18,2)")),
         "high_value_flag": F.when(F.col("amount").cast("double") >= p90, 1).otherwise(0),
         "ticket_band": X.pandas_ticket_band("amount", band_edges),
@@ -114,10 +114,13 @@ def engineer_customer_features(txn_feat: DataFrame, customers: DataFrame,
         X.whole_days_between(F.col("registration_date").cast("timestamp_ntz"), data_max).alias("tenure_days"),
         "age", "gender", "state",
     )
-    scored = feats
+    # One reliable checkpoint and one count serve all three rankings.
+    scored = materialize(feats)
+    n = scored.count()
     for name, col, reverse in (("r_score", "recency_days", True), ("f_score", "n_txns", False),
                                ("m_score", "lifetime_spend", False)):
-        ranked = global_rank(scored, [Key(col), Key("customer_id")], rows_per_bucket=rows_per_bucket)
+        ranked = global_rank(scored, [Key(col), Key("customer_id")], rows_per_bucket=rows_per_bucket,
+                             checkpoint=False, n=n)
         b = qcut_from_rank(F.col("__rn"), F.col("__n"), bins)
         scored = ranked.withColumn(name, (F.lit(bins + 1) - b if reverse else b).cast("int")) \
             .drop("__rn", "__n")

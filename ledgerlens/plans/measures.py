@@ -65,7 +65,7 @@ FACT_MEASURES: tuple[Measure, ...] = (
             lambda: X.round_ratio(F.sum(_succ_amount()), F.count_distinct("customer_id"), 4)),      # M24
     Measure("failed_gpv", lambda: F.sum(F.when(X.is_failed(), F.col("amount"))).cast("double")),   # M31
     Measure("est_revenue_lost",
-            lambda: F.sum(F.when(X.is_failed(), F.col("amount") * F.col("commission_rate"))).cast("double")),  # M32
+            lambda: F.sum(F.when(X.is_failed(), F.col("amount").cast(X.TICKET) * F.col("commission_rate"))).cast("double")),  # M32
     Measure("txns_per_merchant", lambda: _div0(_cnt(), F.count_distinct("merchant_id"), 4)),        # M37
     Measure("merchants_with_success",
             lambda: F.count_distinct(F.when(F.col("is_success") == 1, F.col("merchant_id"))).cast("bigint")),  # M39

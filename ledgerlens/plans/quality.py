@@ -41,7 +41,7 @@ def parsed_timestamp(col: str, dtype: T.DataType) -> F.Column:
 def parsed_amount(col: str, dtype: T.DataType) -> F.Column:
     """pd.to_numeric(errors='coerce') into the money type."""
     if isinstance(dtype, T.StringType):
-        return F.try_cast(F.trim(F.col(col)), S.MONEY)
+        return F.trim(F.col(col)).try_cast(S.MONEY)
     return F.col(col).cast(S.MONEY)
 
 
@@ -54,7 +54,7 @@ def data_quality_report(txn: DataFrame) -> DataFrame:
     """The ten audit checks as (check, value) rows, from one aggregate pass."""
     ts = parsed_timestamp("txn_timestamp", _dtype(txn, "txn_timestamp"))
     amount = F.col("amount") if not isinstance(_dtype(txn, "amount"), T.StringType) \
-        else F.try_cast("amount", "double")
+        else F.trim(F.col("amount")).try_cast("double")
     status = F.col("status")
     reason = F.col("failure_reason")
     row_checks = txn.agg(
