@@ -48,7 +48,7 @@ def _eb(fn):
 def _enriched_out(spark, sf):
     e = V.enriched(_t(spark, sf), "A")
     return e.select(*[F.col(c).cast("double").alias(c) if c in ("amount", "revenue", "commission_rate")
-                      else F.col(c) for c in e.columns])
+                      else F.col(c) for c in V.ENRICHED_COLUMNS])
 
 
 def _q21(spark, sf):
@@ -199,11 +199,12 @@ def extended_registry() -> dict[str, QueryFn]:
 
     q: dict[str, QueryFn] = {
         # views
-        "v3_analysis_frame": lambda s, sf: _double_decimals(V.analysis_frame(_t(s, sf), "A")),
+        "v3_analysis_frame": lambda s, sf: _double_decimals(
+            V.analysis_frame(_t(s, sf), "A").drop("amount_cents", "commission_bp")),
         "v4_dim_date": lambda s, sf: V.dim_date_for(_t(s, sf).transactions_a),
         # quality
         "c1_quality_audit": lambda s, sf: C.data_quality_report(tx(s, sf)),
-        "c2_dedupe_first": lambda s, sf: _double_decimals(C.dedupe_first(tx(s, sf))),
+        "c2_dedupe_first": lambda s, sf: _double_decimals(C.dedupe_first(tx(s, sf)).drop("amount_cents")),
         "c6_cleaning_actions": lambda s, sf: C.cleaning_actions(tx(s, sf)),
         "c7_audit_issues": lambda s, sf: C.audit_issues(C.data_quality_report(tx(s, sf))),
         "c7b_total_issues": lambda s, sf: C.total_issues(C.data_quality_report(tx(s, sf))),
@@ -214,7 +215,8 @@ def extended_registry() -> dict[str, QueryFn]:
         # sources
         "s7_row_counts": lambda s, sf: IO.row_counts(_all_tables(_t(s, sf))),
         # features
-        "f10_transaction_features": lambda s, sf: _double_decimals(txn_features(_t(s, sf))),
+        "f10_transaction_features": lambda s, sf: _double_decimals(
+            txn_features(_t(s, sf)).drop("amount_cents", "revenue_cents")),
         "u8_customer_features": lambda s, sf: _double_decimals(customer_features(_t(s, sf))),
         # measures
         "m_kpi_card": _ea(M.kpi_card),

@@ -59,8 +59,32 @@ def failed_flag(status: str = "status") -> Column:
     return F.when(is_failed(status), 1).otherwise(0)
 
 
+# Money is aggregated in integer minor units (cents / paise, ``long``): Spark
+# sums a decimal(18,2) in a decimal(28,2) buffer held as BigInteger bytes,
+# while a long sum stays in the fixed-width fast path.  The total becomes an
+# exact decimal(28,2) once per group.  A long holds 9.2e16 currency units.
+CENTS = {"amount": "amount_cents", "revenue": "revenue_cents"}
+
+
+def money_sum(cents: Column | str) -> Column:
+    """SUM of a money column given in cents, returned as an exact decimal(28,2)."""
+    c = F.col(cents) if isinstance(cents, str) else cents
+    return (F.sum(c).cast("decimal(20,0)") / F.lit(100)).cast("decimal(28,2)")
+
+
+def to_cents(amount: Column | str) -> Column:
+    """Exact cents of a decimal amount with at most two places."""
+    a = F.col(amount) if isinstance(amount, str) else amount
+    return (a * 100).cast("long")
+
+
 def sum_success(x: Column | str, status: str = "status") -> Column:
-    """SUM(CASE WHEN status='SUCCESS' THEN x END): null for a group without a success."""
+    """SUM(CASE WHEN status='SUCCESS' THEN x END): null for a group without a success.
+
+    ``"amount"`` and ``"revenue"`` are summed through their cents columns.
+    """
+    if isinstance(x, str) and x in CENTS:
+        return money_sum(F.when(is_success(status), F.col(CENTS[x])))
     x = F.col(x) if isinstance(x, str) else x
     return F.sum(F.when(is_success(status), x))
 
@@ -91,6 +115,20 @@ def commission(amount: Column | str = "amount", rate: Column | str = "commission
     return F.round(a.cast(TICKET) * r, 2)
 
 
+def half_up_div(num: Column, den: int) -> Column:
+    """Integer num / den rounded half away from zero (den even, positive)."""
+    half = den // 2
+    return F.when(num >= 0, F.call_function("div", num + half, F.lit(den))) \
+        .otherwise(-F.call_function("div", -num + half, F.lit(den)))
+
+
+def revenue_cents_expr(amount_cents: str = "amount_cents", rate_bp: str = "commission_bp",
+                       status: str = "status") -> Column:
+    """Revenue in cents: ROUND(amount x rate, 2) on SUCCESS rows, else 0 (exact integers)."""
+    return F.when(is_success(status), half_up_div(F.col(amount_cents) * F.col(rate_bp), 10_000)) \
+        .otherwise(F.lit(0).cast("long"))
+
+
 def revenue_expr(amount: str = "amount", rate: str = "commission_rate",
                  status: str = "status") -> Column:
     """Commission on SUCCESS rows, rounded per row to 2 places (decimal, exact)."""
@@ -222,6 +260,12 @@ def whole_days_between(start: Column, end: Column) -> Column:
     return F.floor(micros / F.lit(MICROS_PER_DAY)).cast("long")
 
 
+def year_month(ts: Column | str) -> Column:
+    """'yyyy-MM' text from integer date parts (no per-row date formatter)."""
+    t = F.col(ts) if isinstance(ts, str) else ts
+    return F.concat(F.year(t).cast("string"), F.lit("-"), F.lpad(F.month(t).cast("string"), 2, "0"))
+
+
 def sql_dow(ts: str = "txn_timestamp") -> Column:
     """0 = Sunday ... 6 = Saturday."""
     return F.dayofweek(F.col(ts)) - 1

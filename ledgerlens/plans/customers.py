@@ -20,7 +20,7 @@ def clv_leaderboard(e: DataFrame, customers: DataFrame, as_of: Column, n: int =
         F.count(F.lit(1)).alias("total_txns"),
         F.sum("is_success").alias("successful_txns"),
         X.sum_success("amount").alias("spend"),
-        F.sum("revenue").alias("rev"))
+        X.money_sum("revenue_cents").alias("rev"))
     cus = customers.select("customer_id", "customer_name", "state", "registration_date")
     j = per.join(cus, "customer_id")
     out = j.select(

@@ -15,7 +15,7 @@ def headline_kpis(e: DataFrame) -> DataFrame:
         F.sum("is_success").alias("succ"),
         X.sum_success("amount").alias("gpv"),
         F.count(F.when(X.is_success(), F.col("amount"))).alias("n_succ_amount"),
-        F.sum("revenue").alias("rev"),
+        X.money_sum("revenue_cents").alias("rev"),
         F.count_distinct("customer_id").alias("active_customers"),
         F.count_distinct("merchant_id").alias("active_merchants"),
     )
@@ -37,7 +37,7 @@ def monthly_trend(e: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum("is_success").alias("succ"),
         X.sum_success("amount").alias("gpv"),
-        F.sum("revenue").alias("rev"),
+        X.money_sum("revenue_cents").alias("rev"),
         F.count_distinct("customer_id").alias("active_customers"),
     )
     return g.select(
@@ -68,7 +68,7 @@ def quarterly_summary(e: DataFrame) -> DataFrame:
     """Q1.4: year x quarter."""
     quarter = (F.call_function("div", F.col("txn_month") - 1, F.lit(3)) + 1).cast("int")
     g = e.groupBy("txn_year", quarter.alias("quarter")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("revenue").alias("rev"), F.sum("is_success").alias("succ"))
+        F.count(F.lit(1)).alias("n"), X.money_sum("revenue_cents").alias("rev"), F.sum("is_success").alias("succ"))
     return g.select(
         F.col("txn_year").cast("int"), "quarter",
         F.col("n").cast("bigint").alias("txns"),

@@ -40,7 +40,7 @@ def bank_failure_rank(e: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> D
 def failure_reasons(e: DataFrame) -> DataFrame:
     """Q5.3: failure reasons with share and amount at risk."""
     g = e.where(X.is_failed()).groupBy("failure_reason").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amt"))
+        F.count(F.lit(1)).alias("n"), X.money_sum("amount_cents").alias("amt"))
     return g.select("failure_reason", F.col("n").cast("bigint").alias("occurrences"),
                     X.pct_of_total(F.col("n"), 2).alias("pct_of_failures"),
                     X.round_money(F.col("amt"), 0).alias("failed_gpv_at_risk")) \
@@ -87,7 +87,7 @@ def gpv_lost(e: DataFrame, merchants: DataFrame) -> DataFrame:
     rate_sum = merchants.agg(F.sum("commission_rate")).scalar()
     n_merch = merchants.agg(F.count("commission_rate")).scalar()
     g = e.groupBy("txn_year_month").agg(
-        F.sum(F.when(X.is_failed(), F.col("amount")).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("lost"))
+        X.money_sum(F.when(X.is_failed(), F.col("amount_cents")).otherwise(F.lit(0))).alias("lost"))
     return g.select(
         "txn_year_month",
         X.round_money(F.col("lost"), 0).alias("gpv_lost"),

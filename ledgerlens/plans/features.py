@@ -48,7 +48,7 @@ def engineer_transaction_features(frame: DataFrame, hv_quantile: float = X.HIGH_
         "txn_day": F.dayofmonth(dt),
         "txn_month": F.month(dt),
         "txn_year": F.year(dt),
-        "txn_year_month": F.date_format(dt, "yyyy-MM"),
+        "txn_year_month": X.year_month(dt),
         "txn_dow": F.weekday(dt),
         "txn_day_name": F.date_format(dt, "EEEE"),
     })
@@ -64,7 +64,8 @@ def engineer_transaction_features(frame: DataFrame, hv_quantile: float = X.HIGH_
         "ticket_band": X.pandas_ticket_band("amount", band_edges),
         "daypart": X.daypart("txn_hour"),
     })
-    return out.select(*TXN_FEATURE_COLUMNS)
+    out = out.withColumn("revenue_cents", X.revenue_cents_expr())
+    return out.select(*TXN_FEATURE_COLUMNS, "amount_cents", "revenue_cents")
 
 
 def success_amount(txn_feat: DataFrame) -> DataFrame:
@@ -77,7 +78,7 @@ def engineer_customer_features(txn_feat: DataFrame, customers: DataFrame,
                                rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """One row per transacting customer (25 columns)."""
     data_max = txn_feat.agg(F.max("txn_dt")).scalar()
-    succ_amt = F.when(F.col("is_success") == 1, F.col("amount"))
+    succ_amt = F.when(F.col("is_success") == 1, F.col("amount_cents"))
     g = txn_feat.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n_txns"),
         F.sum("is_success").alias("n_success"),
@@ -86,9 +87,9 @@ def engineer_customer_features(txn_feat: DataFrame, customers: DataFrame,
         F.max("txn_dt").alias("last_txn"),
         F.count_distinct("merchant_id").alias("distinct_merchants"),
         F.sum("high_value_flag").alias("high_value_txns"),
-        F.sum(succ_amt).alias("__spend"),
+        X.money_sum(succ_amt).alias("__spend"),
         F.count(succ_amt).alias("__nspend"),
-        F.sum("revenue").alias("revenue_contributed"),
+        X.money_sum("revenue_cents").alias("revenue_contributed"),
     )
     cus = customers.select("customer_id", "registration_date", "age", "gender", "state")
     j = g.join(cus, "customer_id", "left")

@@ -39,7 +39,7 @@ def _div0(num: Column, den: Column, digits: int, scale: int = 1) -> Column:
 
 
 def _succ_amount() -> Column:
-    return F.when(X.is_success(), F.col("amount"))
+    return F.when(X.is_success(), F.col("amount_cents"))
 
 
 # Simple measures over the enriched fact (one aggregation pass for any subset).
@@ -52,18 +52,18 @@ FACT_MEASURES: tuple[Measure, ...] = (
     Measure("success_rate", lambda: X.round_ratio(F.count_if(F.col("is_success") == 1), _cnt(), 6)),  # M5
     Measure("success_rate_pct", lambda: _div0(F.count_if(F.col("is_success") == 1), _cnt(), 4, 100)),
     Measure("failure_rate_pct", lambda: _div0(X.count_failed(), _cnt(), 4, 100)),                   # M6
-    Measure("total_amount", lambda: F.sum("amount").cast("double")),                                # M7
-    Measure("gpv", lambda: F.sum(_succ_amount()).cast("double")),                                   # M8
-    Measure("total_revenue", lambda: F.sum("revenue").cast("double")),                              # M9
-    Measure("avg_ticket_size", lambda: X.round_ratio(F.sum(_succ_amount()), F.count(_succ_amount()), 4)),  # M10
-    Measure("avg_transaction_amount", lambda: _div0(F.sum("amount"), _cnt(), 4)),                   # M11
+    Measure("total_amount", lambda: X.money_sum("amount_cents").cast("double")),                                # M7
+    Measure("gpv", lambda: X.money_sum(_succ_amount()).cast("double")),                                   # M8
+    Measure("total_revenue", lambda: X.money_sum("revenue_cents").cast("double")),                              # M9
+    Measure("avg_ticket_size", lambda: X.round_ratio(X.money_sum(_succ_amount()), F.count(_succ_amount()), 4)),  # M10
+    Measure("avg_transaction_amount", lambda: _div0(X.money_sum("amount_cents"), _cnt(), 4)),                   # M11
     Measure("active_customers", lambda: F.count_distinct("customer_id").cast("bigint")),            # M12
     Measure("active_merchants", lambda: F.count_distinct("merchant_id").cast("bigint")),            # M13
     Measure("avg_txns_per_customer", lambda: _div0(_cnt(), F.count_distinct("customer_id"), 4)),    # M22
-    Measure("arpu", lambda: X.round_ratio(F.sum("revenue"), F.count_distinct("customer_id"), 4)),  # M23
+    Measure("arpu", lambda: X.round_ratio(X.money_sum("revenue_cents"), F.count_distinct("customer_id"), 4)),  # M23
     Measure("avg_spend_per_customer",
-            lambda: X.round_ratio(F.sum(_succ_amount()), F.count_distinct("customer_id"), 4)),      # M24
-    Measure("failed_gpv", lambda: F.sum(F.when(X.is_failed(), F.col("amount"))).cast("double")),   # M31
+            lambda: X.round_ratio(X.money_sum(_succ_amount()), F.count_distinct("customer_id"), 4)),      # M24
+    Measure("failed_gpv", lambda: X.money_sum(F.when(X.is_failed(), F.col("amount_cents"))).cast("double")),   # M31
     Measure("est_revenue_lost",
             lambda: F.sum(F.when(X.is_failed(), F.col("amount").cast(X.TICKET) * F.col("commission_rate"))).cast("double")),  # M32
     Measure("txns_per_merchant", lambda: _div0(_cnt(), F.count_distinct("merchant_id"), 4)),        # M37
@@ -76,7 +76,7 @@ FACT_MEASURES: tuple[Measure, ...] = (
     Measure("weekend_txn_pct", lambda: X.round_ratio(F.count_if(F.col("is_weekend") == 1), _cnt(), 4, 100)),  # M46
     Measure("avg_commission_rate",
             lambda: X.round_ratio(F.sum("commission_rate"), F.count("commission_rate"), 8)),       # M48
-    Measure("revenue_per_transaction", lambda: _div0(F.sum("revenue"), _cnt(), 4)),                 # M49
+    Measure("revenue_per_transaction", lambda: _div0(X.money_sum("revenue_cents"), _cnt(), 4)),                 # M49
 )
 
 # Measures over customer_features.
@@ -136,7 +136,7 @@ def previous_month(e: DataFrame, value: str = "revenue") -> DataFrame:
     A month without data has no row, so the next month's previous value is
     blank: a self-join on the month key, not a LAG over rows.
     """
-    agg = {"revenue": F.sum("revenue"), "gpv": F.sum(_succ_amount()), "transactions": _cnt()}[value]
+    agg = {"revenue": X.money_sum("revenue_cents"), "gpv": X.money_sum(_succ_amount()), "transactions": _cnt()}[value]
     m = e.groupBy(F.trunc(F.col("txn_date"), "month").alias("month_start")).agg(agg.alias("v"))
     prev = m.select(F.add_months("month_start", 1).alias("month_start"), F.col("v").alias("pv"))
     j = m.join(prev, "month_start", "left")
@@ -150,8 +150,8 @@ def previous_month(e: DataFrame, value: str = "revenue") -> DataFrame:
 
 def year_to_date(e: DataFrame) -> DataFrame:
     """Revenue, GPV and transactions YTD at each month end."""
-    m = e.groupBy("txn_year", "txn_month").agg(F.sum("revenue").alias("rev"),
-                                                F.sum(_succ_amount()).alias("gpv"), _cnt().alias("n"))
+    m = e.groupBy("txn_year", "txn_month").agg(X.money_sum("revenue_cents").alias("rev"),
+                                                X.money_sum(_succ_amount()).alias("gpv"), _cnt().alias("n"))
     w = Window.partitionBy("txn_year").orderBy("txn_month") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return m.select(
@@ -169,7 +169,7 @@ def cumulative_revenue_in_range(e: DataFrame, start: str | None = None, end: str
         f = f.where(F.col("txn_date") >= F.lit(start).cast("date"))
     if end:
         f = f.where(F.col("txn_date") <= F.lit(end).cast("date"))
-    d = f.groupBy("txn_date").agg(F.sum("revenue").alias("rev"))
+    d = f.groupBy("txn_date").agg(X.money_sum("revenue_cents").alias("rev"))
     w = Window.orderBy("txn_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return d.select("txn_date", F.col("rev").cast("double").alias("revenue"),
                     F.sum("rev").over(w).cast("double").alias("cumulative_revenue")).orderBy("txn_date")
@@ -195,7 +195,7 @@ def new_customers_by_date(calendar: DataFrame, customers: DataFrame) -> DataFram
 
 def merchant_revenue_rank(e: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """RANK of each merchant's revenue over ALL merchants (G1, no single partition)."""
-    per = e.groupBy("merchant_id").agg(F.sum("revenue").alias("revenue"))
+    per = e.groupBy("merchant_id").agg(X.money_sum("revenue_cents").alias("revenue"))
     ranked = sql_rank(per, "revenue", ascending=False, out="merchant_revenue_rank",
                       rows_per_bucket=rows_per_bucket)
     return ranked.select("merchant_id", F.col("revenue").cast("double"), "merchant_revenue_rank")
@@ -210,7 +210,7 @@ def peak_hour(e: DataFrame) -> DataFrame:
 
 def top_merchant_revenue(e: DataFrame) -> DataFrame:
     """The largest per-merchant revenue."""
-    per = e.groupBy("merchant_id").agg(F.sum("revenue").alias("r"))
+    per = e.groupBy("merchant_id").agg(X.money_sum("revenue_cents").alias("r"))
     return per.agg(F.max("r").cast("double").alias("top_merchant_revenue"))
 
 

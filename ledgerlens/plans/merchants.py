@@ -18,8 +18,8 @@ def _per_merchant(e: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum("is_success").alias("succ"),
         X.sum_success("amount").alias("gpv"),
-        F.sum("revenue").alias("rev"),
-        F.sum("amount").alias("amt"))
+        X.money_sum("revenue_cents").alias("rev"),
+        X.money_sum("amount_cents").alias("amt"))
 
 
 def top_merchants(e: DataFrame, n: int = 10) -> DataFrame:
@@ -46,7 +46,7 @@ def category_performance(e: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         X.sum_success("amount").alias("gpv"),
         F.count(F.when(X.is_success(), F.col("amount"))).alias("n_gpv"),
-        F.sum("revenue").alias("rev"),
+        X.money_sum("revenue_cents").alias("rev"),
         F.sum("is_success").alias("succ"))
     return g.select(
         "merchant_category",
@@ -67,7 +67,7 @@ def top_merchant_per_category(e: DataFrame, k: int = 1) -> DataFrame:
     category holding a third of all merchants is never sorted in one task.
     """
     per = e.groupBy("merchant_category", "merchant_id").agg(
-        F.min("merchant_name").alias("merchant_name"), F.sum("revenue").alias("rev"))
+        F.min("merchant_name").alias("merchant_name"), X.money_sum("revenue_cents").alias("rev"))
     if k == 1:
         best = per.groupBy("merchant_category").agg(
             F.min_by(F.struct("merchant_name", "rev"),
@@ -83,7 +83,7 @@ def top_merchant_per_category(e: DataFrame, k: int = 1) -> DataFrame:
 
 def pareto(e: DataFrame, share: float = 0.80, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Q3.4: how many merchants (ranked by revenue) reach ``share`` of all revenue."""
-    merch = e.groupBy("merchant_id").agg(F.sum("revenue").alias("revenue"))
+    merch = e.groupBy("merchant_id").agg(X.money_sum("revenue_cents").alias("revenue"))
     ranked = global_rank(merch, [Key("revenue", ascending=False), Key("merchant_id")],
                          sum_cols=["revenue"], rows_per_bucket=rows_per_bucket)
     total = ranked.agg(F.sum("revenue")).scalar()

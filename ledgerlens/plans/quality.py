@@ -118,6 +118,8 @@ def _tag_rules(txn: DataFrame) -> DataFrame:
     amt = parsed_amount("amount", _dtype(txn, "amount"))
     status = F.trim(F.upper(F.col("status")))
     tagged = txn.withColumns({"txn_dt": ts, "amount": amt, "status": status})
+    if "amount_cents" not in txn.columns:
+        tagged = tagged.withColumn("amount_cents", (F.col("amount") * 100).cast("long"))
     rule = (F.when(F.col("txn_dt").isNull(), "dropped_bad_timestamps")
             .when(F.col("amount").isNull() | (F.col("amount") <= 0), "dropped_bad_amounts")
             .when(~F.coalesce(F.col("status").isin(*VALID_STATUSES), F.lit(False)), "dropped_bad_status"))
@@ -163,12 +165,13 @@ def orphan_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def load_kpis(enriched: DataFrame) -> DataFrame:
     """Txns, success rate, GPV, revenue, active customers after the load."""
+    from ledgerlens.functions import exprs as X
     from ledgerlens.functions.exprs import count_success, round_money, round_ratio, sum_success
     return enriched.agg(
         F.count(F.lit(1)).alias("txns"),
         count_success().alias("successes"),
         sum_success("amount").alias("gpv"),
-        F.sum("revenue").alias("revenue"),
+        X.money_sum("revenue_cents").alias("revenue"),
         F.count_distinct("customer_id").alias("active_customers"),
     ).select(
         F.col("txns").cast("bigint"),

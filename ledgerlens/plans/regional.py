@@ -14,7 +14,7 @@ def state_scorecard(e: DataFrame) -> DataFrame:
         F.count_distinct("customer_id").alias("customers"),
         F.count(F.lit(1)).alias("n"),
         X.sum_success("amount").alias("gpv"),
-        F.sum("revenue").alias("rev"),
+        X.money_sum("revenue_cents").alias("rev"),
         F.sum("is_success").alias("succ"))
     return g.select(
         F.col("customer_state").alias("state"),
@@ -45,7 +45,7 @@ def top_cities(e: DataFrame, n: int = 15) -> DataFrame:
 
 def state_revenue_share(e: DataFrame) -> DataFrame:
     """Q6.3: state share of national revenue and the cumulative share."""
-    g = e.groupBy("customer_state").agg(F.sum("revenue").alias("rev"))
+    g = e.groupBy("customer_state").agg(X.money_sum("revenue_cents").alias("rev"))
     run = Window.orderBy(F.col("rev").desc(), F.col("customer_state")) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.sum("rev").over(Window.partitionBy())
@@ -85,8 +85,8 @@ def state_success_rates(e: DataFrame, min_txns: int = 1000) -> DataFrame:
 
 def city_segmentation(e: DataFrame, customers: DataFrame, since: str = "2025-01-01") -> DataFrame:
     """R2: customers, transactions, spend and average per customer city since a date."""
-    f = e.where(F.col("txn_date") >= F.lit(since).cast("date")).select("customer_id", "amount")
-    per = f.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amt"))
+    f = e.where(F.col("txn_date") >= F.lit(since).cast("date")).select("customer_id", "amount_cents")
+    per = f.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), X.money_sum("amount_cents").alias("amt"))
     j = per.join(customers.select("customer_id", "city"), "customer_id")
     g = j.groupBy("city").agg(F.count(F.lit(1)).alias("customers"), F.sum("n").alias("n"),
                               F.sum("amt").alias("amt"))

@@ -82,7 +82,7 @@ def status_share(tf: DataFrame) -> DataFrame:
 def monthly_eda(tf: DataFrame) -> DataFrame:
     """Monthly txns, GPV and mean success."""
     g = tf.groupBy("txn_year_month").agg(_cnt().alias("n"),
-                                         F.sum(F.col("amount") * F.col("is_success")).alias("gpv"),
+                                         X.money_sum(F.col("amount_cents") * F.col("is_success")).alias("gpv"),
                                          F.sum("is_success").alias("s"))
     return g.select("txn_year_month", F.col("n").cast("bigint").alias("txns"),
                     F.col("gpv").cast("double").alias("gpv"),
@@ -108,7 +108,7 @@ def txns_by_weekday(tf: DataFrame) -> DataFrame:
 def category_eda(tf: DataFrame) -> DataFrame:
     """Revenue, GPV, txns and success rate per category, by revenue."""
     g = tf.groupBy("merchant_category").agg(
-        F.sum("revenue").alias("rev"), F.sum(F.col("amount") * F.col("is_success")).alias("gpv"),
+        X.money_sum("revenue_cents").alias("rev"), X.money_sum(F.col("amount_cents") * F.col("is_success")).alias("gpv"),
         _cnt().alias("n"), F.sum("is_success").alias("s"))
     return g.select("merchant_category", F.col("rev").cast("double").alias("revenue"),
                     F.col("gpv").cast("double").alias("gpv"), F.col("n").cast("bigint").alias("txns"),
@@ -119,7 +119,7 @@ def category_eda(tf: DataFrame) -> DataFrame:
 def state_eda(tf: DataFrame) -> DataFrame:
     """GPV, success rate and distinct customers per customer state."""
     g = tf.groupBy("customer_state").agg(
-        F.sum(F.col("amount") * F.col("is_success")).alias("gpv"), _cnt().alias("n"),
+        X.money_sum(F.col("amount_cents") * F.col("is_success")).alias("gpv"), _cnt().alias("n"),
         F.sum("is_success").alias("s"), F.count_distinct("customer_id").alias("customers"))
     return g.select("customer_state", F.col("gpv").cast("double").alias("gpv"),
                     X.round_ratio(F.col("s"), F.col("n"), 2, 100).alias("success_rate_pct"),

@@ -71,7 +71,7 @@ def daily_volume_spine(e: DataFrame, window_rows: int = 7, n: int = 30) -> DataF
 
 def cumulative_revenue(e: DataFrame) -> DataFrame:
     """Q4.4: monthly revenue and its running total."""
-    m = e.groupBy("txn_year_month").agg(F.sum("revenue").alias("rev"))
+    m = e.groupBy("txn_year_month").agg(X.money_sum("revenue_cents").alias("rev"))
     w = Window.orderBy("txn_year_month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return m.select(
         "txn_year_month",

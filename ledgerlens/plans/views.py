@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
-from ledgerlens.operators.joins import join_dim
+from ledgerlens.operators.joins import fits_broadcast, fits_broadcast_cached, join_dim
 from ledgerlens.plans.quality import clean_transactions
 from ledgerlens.sources.adapter import DEVICE_VERSIONS, Tables
 
@@ -22,19 +22,29 @@ ENRICHED_COLUMNS = (
 
 
 def enrich(tx: DataFrame, customers: DataFrame, merchants: DataFrame, banks: DataFrame,
-           devices: DataFrame, devices_rows: int | None = None) -> DataFrame:
-    """V1: transactions joined N:1 to customers, merchants, banks (inner) and devices (left)."""
+           devices: DataFrame, devices_rows: int | None = None, check_sizes: bool = True,
+           size_key=None) -> DataFrame:
+    """V1: transactions joined N:1 to customers, merchants, banks (inner) and devices (left).
+
+    Each data-dependent dimension is broadcast only after ``fits_broadcast``
+    proved it below the session threshold; a large one keeps the sort-merge
+    join.
+    """
     cus = customers.select("customer_id", F.col("state").alias("customer_state"),
                            F.col("city").alias("customer_city"),
                            F.col("gender").alias("customer_gender"),
                            F.col("age").alias("customer_age"))
     mer = merchants.select("merchant_id", "merchant_name",
-                           F.col("category").alias("merchant_category"), "commission_rate")
+                           F.col("category").alias("merchant_category"), "commission_rate", "commission_bp")
     bnk = banks.select("bank_id", "bank_name", "bank_type")
     dev = devices.select("device_id", "os_name", "os_version")
-    j = join_dim(tx, cus, "customer_id")
-    j = join_dim(j, mer, "merchant_id")
-    j = join_dim(j, bnk, "bank_id")
+    def ok(d, name):
+        if not check_sizes:
+            return None
+        return fits_broadcast_cached(d, (size_key, name)) if size_key else fits_broadcast(d)
+    j = join_dim(tx, cus, "customer_id", checked=ok(cus, "customers"))
+    j = join_dim(j, mer, "merchant_id", checked=ok(mer, "merchants"))
+    j = join_dim(j, bnk, "bank_id", checked=ok(bnk, "banks"))
     j = join_dim(j, dev, "device_id", "left", proven_rows=devices_rows)
     ts = F.col("txn_timestamp")
     dow = X.sql_dow("txn_timestamp")
@@ -43,7 +53,7 @@ def enrich(tx: DataFrame, customers: DataFrame, merchants: DataFrame, banks: Dat
         F.to_date(ts).alias("txn_date"),
         F.year(ts).alias("txn_year"),
         F.month(ts).alias("txn_month"),
-        F.date_format(ts, "yyyy-MM").alias("txn_year_month"),
+        X.year_month(ts).alias("txn_year_month"),
         F.hour(ts).alias("txn_hour"),
         dow.alias("txn_dow"),
         F.when(dow.isin(0, 6), 1).otherwise(0).alias("is_weekend"),
@@ -54,6 +64,8 @@ def enrich(tx: DataFrame, customers: DataFrame, merchants: DataFrame, banks: Dat
         "customer_id", "customer_state", "customer_city", "customer_gender", "customer_age",
         "merchant_id", "merchant_name", "merchant_category", "commission_rate",
         "bank_id", "bank_name", "bank_type", "device_id", "os_name", "os_version",
+        # integer minor units for aggregation (see exprs.money_sum)
+        "amount_cents", X.revenue_cents_expr().alias("revenue_cents"),
     )
 
 
@@ -61,7 +73,7 @@ def enriched(t: Tables, fact: str = "A") -> DataFrame:
     """V1 over the adapter tables (memoised per fact)."""
     return t._memo(("enriched", fact.upper()), lambda: enrich(
         t.transactions(fact), t.customers, t.merchants, t.banks, t.devices,
-        devices_rows=2 * DEVICE_VERSIONS))
+        devices_rows=2 * DEVICE_VERSIONS, size_key=("enriched", t.sf_dir)))
 
 
 def monthly_summary(e: DataFrame) -> DataFrame:
@@ -69,8 +81,8 @@ def monthly_summary(e: DataFrame) -> DataFrame:
     g = e.groupBy("txn_year_month").agg(
         F.count(F.lit(1)).alias("total_txns"),
         F.sum("is_success").alias("successful_txns"),
-        F.sum(F.when(X.is_success(), F.col("amount")).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("gpv"),
-        F.sum("revenue").alias("revenue"),
+        X.money_sum(F.when(X.is_success(), F.col("amount_cents")).otherwise(F.lit(0))).alias("gpv"),
+        X.money_sum("revenue_cents").alias("revenue"),
         F.count_distinct("customer_id").alias("active_customers"),
     )
     return g.select(
@@ -88,15 +100,16 @@ def analysis_frame(t: Tables, fact: str = "A", tx: DataFrame | None = None) -> D
     """V3: cleaned transactions LEFT-joined to the four dimensions (pandas path)."""
     txn = clean_transactions(tx if tx is not None else t.transactions(fact))
     mer = t.merchants.select("merchant_id", "merchant_name",
-                             F.col("category").alias("merchant_category"), "commission_rate",
+                             F.col("category").alias("merchant_category"), "commission_rate", "commission_bp",
                              F.col("state").alias("merchant_state"), F.col("city").alias("merchant_city"))
     cus = t.customers.select("customer_id", "age", "gender", F.col("state").alias("customer_state"),
                              F.col("city").alias("customer_city"), "registration_date")
     bnk = t.banks.select("bank_id", "bank_name", "bank_type")
     dev = t.devices.select("device_id", "os_name", "os_version")
-    j = join_dim(txn, mer, "merchant_id", "left")
-    j = join_dim(j, cus, "customer_id", "left")
-    j = join_dim(j, bnk, "bank_id", "left")
+    key = ("analysis", t.sf_dir)
+    j = join_dim(txn, mer, "merchant_id", "left", checked=fits_broadcast_cached(mer, key + ("merchants",)))
+    j = join_dim(j, cus, "customer_id", "left", checked=fits_broadcast_cached(cus, key + ("customers",)))
+    j = join_dim(j, bnk, "bank_id", "left", checked=fits_broadcast_cached(bnk, key + ("banks",)))
     return join_dim(j, dev, "device_id", "left", proven_rows=2 * DEVICE_VERSIONS)
 
 

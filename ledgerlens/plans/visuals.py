@@ -24,7 +24,7 @@ def _cnt():
 
 def revenue_by_payment_mode(e: DataFrame) -> DataFrame:
     """P1."""
-    return e.groupBy("payment_mode").agg(F.sum("revenue").cast("double").alias("revenue")) \
+    return e.groupBy("payment_mode").agg(X.money_sum("revenue_cents").cast("double").alias("revenue")) \
         .orderBy(F.col("revenue").desc(), "payment_mode")
 
 
@@ -32,7 +32,7 @@ def revenue_by_quarter(e: DataFrame) -> DataFrame:
     """P2 (first half): revenue per year and quarter."""
     return e.groupBy(F.col("txn_year").cast("int").alias("txn_year"),
                      F.quarter("txn_date").alias("quarter")) \
-        .agg(F.sum("revenue").cast("double").alias("revenue")).orderBy("txn_year", "quarter")
+        .agg(X.money_sum("revenue_cents").cast("double").alias("revenue")).orderBy("txn_year", "quarter")
 
 
 def customers_per_segment(cf: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def new_customers_by_month(customers: DataFrame) -> DataFrame:
 def category_merchant_hierarchy(e: DataFrame) -> DataFrame:
     """GPV at category and category x merchant level in one rollup pass."""
     g = e.rollup("merchant_category", "merchant_id").agg(
-        F.sum(F.when(X.is_success(), F.col("amount"))).cast("double").alias("gpv"),
+        X.money_sum(F.when(X.is_success(), F.col("amount_cents"))).cast("double").alias("gpv"),
         F.grouping_id().alias("level"))
     return g.where(F.col("level") < 3).select(
         "merchant_category", "merchant_id",
@@ -83,12 +83,12 @@ def category_merchant_hierarchy(e: DataFrame) -> DataFrame:
 
 def category_matrix(e: DataFrame) -> DataFrame:
     """P10: revenue, GPV, success %, average ticket per category."""
-    succ_amt = F.when(X.is_success(), F.col("amount"))
+    succ_amt = F.when(X.is_success(), F.col("amount_cents"))
     return e.groupBy("merchant_category").agg(
-        F.sum("revenue").cast("double").alias("revenue"),
-        F.sum(succ_amt).cast("double").alias("gpv"),
+        X.money_sum("revenue_cents").cast("double").alias("revenue"),
+        X.money_sum(succ_amt).cast("double").alias("gpv"),
         X.round_ratio(F.sum("is_success"), _cnt(), 4, 100).alias("success_rate_pct"),
-        X.round_ratio(F.sum(succ_amt), F.count(succ_amt), 4).alias("avg_ticket"),
+        X.round_ratio(X.money_sum(succ_amt), F.count(succ_amt), 4).alias("avg_ticket"),
     ).orderBy("merchant_category")
 
 
@@ -116,13 +116,13 @@ def bank_type_reason_matrix(e: DataFrame, reasons: Sequence[str]) -> DataFrame:
 def state_category_matrix(e: DataFrame, categories: Sequence[str]) -> DataFrame:
     """GPV per state x listed category."""
     return e.where(X.is_success()).groupBy("customer_state").pivot("merchant_category", list(categories)) \
-        .agg(F.sum("amount").cast("double")).orderBy("customer_state")
+        .agg(X.money_sum("amount_cents").cast("double")).orderBy("customer_state")
 
 
 def top_merchants_revenue(e: DataFrame, n: int = 5) -> DataFrame:
     """P15 (a): top n merchants by revenue."""
     g = e.groupBy("merchant_id").agg(F.min("merchant_name").alias("merchant_name"),
-                                     F.sum("revenue").alias("r"))
+                                     X.money_sum("revenue_cents").alias("r"))
     return g.orderBy(F.col("r").desc(), "merchant_id").limit(n) \
         .select("merchant_id", "merchant_name", F.col("r").cast("double").alias("revenue"))
 
@@ -134,7 +134,7 @@ def success_failed_split(e: DataFrame) -> DataFrame:
 
 def revenue_trend(e: DataFrame) -> DataFrame:
     """P15 (c): revenue per month."""
-    return e.groupBy("txn_year_month").agg(F.sum("revenue").cast("double").alias("revenue")) \
+    return e.groupBy("txn_year_month").agg(X.money_sum("revenue_cents").cast("double").alias("revenue")) \
         .orderBy("txn_year_month")
 
 
@@ -145,7 +145,7 @@ def txns_by_city(e: DataFrame) -> DataFrame:
 
 def avg_amount_by_age(e: DataFrame) -> DataFrame:
     """P16 (b)."""
-    return e.groupBy("customer_age").agg(X.round_ratio(F.sum("amount"), _cnt(), 4).alias("avg_amount")) \
+    return e.groupBy("customer_age").agg(X.round_ratio(X.money_sum("amount_cents"), _cnt(), 4).alias("avg_amount")) \
         .orderBy("customer_age")
 
 
@@ -205,14 +205,14 @@ def regional_table(e: DataFrame) -> DataFrame:
     return e.groupBy("customer_state", "customer_city").agg(
         F.count_distinct("customer_id").cast("bigint").alias("customers"),
         _cnt().cast("bigint").alias("txns"),
-        F.sum("revenue").cast("double").alias("revenue"),
+        X.money_sum("revenue_cents").cast("double").alias("revenue"),
         X.round_ratio(F.sum("is_success"), _cnt(), 4, 100).alias("success_rate_pct"),
     ).orderBy("customer_state", "customer_city")
 
 
 def top_n_share(e: DataFrame, n: int = 10) -> DataFrame:
     """The top-n merchants' share of all revenue."""
-    per = e.groupBy("merchant_id").agg(F.sum("revenue").alias("r"))
+    per = e.groupBy("merchant_id").agg(X.money_sum("revenue_cents").alias("r"))
     top = per.orderBy(F.col("r").desc(), "merchant_id").limit(n).agg(F.sum("r").alias("top"))
     total = per.agg(F.sum("r")).scalar()
     return top.select(F.col("top").cast("double").alias(f"top{n}_revenue"),

@@ -26,6 +26,21 @@ from ledgerlens.sources import schemas as S
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
+# Declared schemas of the driver tables: reads skip the footer-inference job.
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # --------------------------------------------------------------------------
 # Fixed values of the fixture (FIXTURES.md part 2).
 # --------------------------------------------------------------------------
@@ -88,7 +103,10 @@ class Tables:
     def src(self, name: str) -> DataFrame:
         key = ("src", name)
         if key not in self._cache:
-            self._cache[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            reader = self.spark.read
+            if name in SOURCE_SCHEMAS:
+                reader = reader.schema(SOURCE_SCHEMAS[name])
+            self._cache[key] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[key]
 
     def _memo(self, key, build):
@@ -135,6 +153,9 @@ class Tables:
                 state.alias("state"),
                 _map(F.col("p_type"), COMMISSION_BY_CATEGORY).cast(S.RATE).alias("commission_rate"),
                 F.col("p_retailprice").alias("popularity"),
+                # the same rate in basis points (1e-4), for integer revenue arithmetic
+                F.round(_map(F.col("p_type"), COMMISSION_BY_CATEGORY).cast("double") * 10_000)
+                .cast("long").alias("commission_bp"),
             )
         return self._memo("merchants", build)
 
@@ -199,6 +220,7 @@ class Tables:
                 F.col("l_suppkey").alias("bank_id"),
                 device_id_expr(F.col("l_linestatus"), F.col("l_linenumber")).alias("device_id"),
                 F.col("l_extendedprice").cast(S.MONEY).alias("amount"),
+                F.round(F.col("l_extendedprice") * 100).cast("long").alias("amount_cents"),
                 status.alias("status"),
                 F.when(status == "FAILED", F.col("o_orderpriority")).alias("failure_reason"),
                 F.col("o_orderstatus").alias("payment_mode"),
@@ -225,6 +247,7 @@ class Tables:
                 device_id_expr(F.when(eid % 2 == 0, "F").otherwise("O"),
                                (eid % 7 + 1).cast("int")).alias("device_id"),
                 F.col("value").cast(S.MONEY).alias("amount"),
+                F.round(F.col("value") * 100).cast("long").alias("amount_cents"),
                 status.alias("status"),
                 F.when(status == "FAILED", reason).alias("failure_reason"),
                 F.col("event_type").alias("payment_mode"),
