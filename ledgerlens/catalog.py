@@ -169,11 +169,17 @@ def _double_decimals(df: DataFrame) -> DataFrame:
 
 
 def txn_features(t: Tables) -> DataFrame:
-    return t._memo("tfeat", lambda: FE.engineer_transaction_features(V.analysis_frame(t, "A")))
+    from ledgerlens.plans.store import materialized
+    return t._memo("tfeat", lambda: materialized(
+        t.spark, "transactions_features", V.source_paths(t, "A"),
+        lambda: FE.engineer_transaction_features(V.analysis_frame(t, "A")), partition_by="txn_year_month"))
 
 
 def customer_features(t: Tables) -> DataFrame:
-    return t._memo("cfeat", lambda: FE.engineer_customer_features(txn_features(t), t.customers))
+    from ledgerlens.plans.store import materialized
+    return t._memo("cfeat", lambda: materialized(
+        t.spark, "customer_features", V.source_paths(t, "A"),
+        lambda: FE.engineer_customer_features(txn_features(t), t.customers)))
 
 
 def _tf(fn):
