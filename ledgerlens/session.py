@@ -49,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        # Only for local runs and tests: nothing names a shared folder.
         configured = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
