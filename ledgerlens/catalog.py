@@ -168,11 +168,18 @@ def _double_decimals(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def analysis_frame(t: Tables) -> DataFrame:
+    """V3 (cleaned, left-joined), written once; features and cashback read it."""
+    from ledgerlens.plans.store import materialized
+    return t._memo("v3", lambda: materialized(
+        t.spark, "analysis_frame", V.source_paths(t, "A"), lambda: V.analysis_frame(t, "A")))
+
+
 def txn_features(t: Tables) -> DataFrame:
     from ledgerlens.plans.store import materialized
     return t._memo("tfeat", lambda: materialized(
         t.spark, "transactions_features", V.source_paths(t, "A"),
-        lambda: FE.engineer_transaction_features(V.analysis_frame(t, "A")), partition_by="txn_year_month"))
+        lambda: FE.engineer_transaction_features(analysis_frame(t)), partition_by="txn_year_month"))
 
 
 def customer_features(t: Tables) -> DataFrame:
@@ -191,7 +198,7 @@ def _cf(fn):
 
 
 def _cashback(t: Tables) -> DataFrame:
-    return t._memo("cashback", lambda: B.cashback_table(t.transactions_a, t.merchants, t.campaigns))
+    return t._memo("cashback", lambda: B.cashback_from_frame(analysis_frame(t), t.campaigns))
 
 
 def _all_tables(t: Tables) -> dict[str, DataFrame]:
@@ -206,7 +213,7 @@ def extended_registry() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         # views
         "v3_analysis_frame": lambda s, sf: _double_decimals(
-            V.analysis_frame(_t(s, sf), "A").drop("amount_cents", "commission_bp")),
+            analysis_frame(_t(s, sf)).drop("amount_cents", "commission_bp")),
         "v4_dim_date": lambda s, sf: V.dim_date_for(_t(s, sf).transactions_a),
         # quality
         "c1_quality_audit": lambda s, sf: C.data_quality_report(tx(s, sf)),

@@ -27,10 +27,17 @@ def selection_hash(transaction_id: str = "transaction_id", campaign_id: str = "c
     return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"), F.lit(HASH_BUCKETS))
 
 
-def eligible(txn: DataFrame, merchants: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """B1: successful transactions inside a campaign window of their category."""
-    tx = txn.where(X.is_success()).select("transaction_id", "merchant_id", "amount", "txn_timestamp")
-    tx = tx.join(merchants.select("merchant_id", "category"), "merchant_id")
+def eligible(txn: DataFrame, merchants: DataFrame | None, campaigns: DataFrame) -> DataFrame:
+    """B1: successful transactions inside a campaign window of their category.
+
+    ``merchants=None`` when ``txn`` already carries ``merchant_category``.
+    """
+    if merchants is None:
+        tx = txn.where(X.is_success()).select("transaction_id", "amount", "txn_timestamp",
+                                              F.col("merchant_category").alias("category"))
+    else:
+        tx = txn.where(X.is_success()).select("transaction_id", "merchant_id", "amount", "txn_timestamp")
+        tx = tx.join(merchants.select("merchant_id", "category"), "merchant_id")
     c = F.broadcast(campaigns.select("campaign_id", "target_category", "start_date", "end_date",
                                      "cashback_rate", "max_cashback", "attach_rate"))
     cond = ((tx.category == c.target_category)
@@ -61,6 +68,11 @@ def cashback_table(txn: DataFrame, merchants: DataFrame, campaigns: DataFrame,
     return cashback_rows(attached(eligible(base, merchants, campaigns)))
 
 
+def cashback_from_frame(frame: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """B1-B3 over the cleaned analysis frame (V3), which already has the category."""
+    return cashback_rows(attached(eligible(frame, None, campaigns)))
+
+
 def cashback_summary(cb: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Per campaign and month: rows and cashback total."""
     g = cb.groupBy("campaign_id", F.date_format("cashback_date", "yyyy-MM").alias("cashback_month")).agg(
