@@ -129,6 +129,11 @@ def registry() -> dict[str, QueryFn]:
         "q6_4_top_category_per_state": _ea(Q6.top_category_per_state),
         "q6_5_state_success_rates": _ea(Q6.state_success_rates),
         "r2_city_segmentation": _r2,
+        # variants the survey asks for next to the as-written queries
+        "q2_5b_cohort_with_signups": lambda s, sf: Q2.cohort_retention(
+            _t(s, sf).transactions_a, _t(s, sf).customers, start=COHORT_START, n=COHORTS, with_signups=True),
+        "q3_5b_worst_merchants": _ea(lambda e: Q3.merchant_success_rates(e, min_txns=Q35_MIN_TXNS, ascending=True)),
+        "q4_3b_daily_volume_spine": _eb(Q4.daily_volume_spine),
     }
     q.update(extended_registry())
     return q
