@@ -115,7 +115,10 @@ def global_rank(df: DataFrame, keys: Sequence[Key], sum_cols: Sequence[str] = ()
     buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
     if buckets > 1:
         fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / max(1, n))
-        sample = sorted(tuple(r) for r in enc.sample(False, fraction, SAMPLE_SEED).select(*names).collect())
+        # Bounded: at most 2 * SAMPLES_PER_BUCKET * buckets key tuples reach the driver.
+        cap = 2 * SAMPLES_PER_BUCKET * buckets
+        sample = sorted(tuple(r) for r in
+                        enc.sample(False, fraction, SAMPLE_SEED).select(*names).limit(cap).collect())
         cut = [sample[(i * len(sample)) // buckets] for i in range(1, buckets)]
         bounds = sorted(set(cut))
     else:
