@@ -174,10 +174,14 @@ def _double_decimals(df: DataFrame) -> DataFrame:
 
 
 def analysis_frame(t: Tables) -> DataFrame:
-    """V3 (cleaned, left-joined), written once; features and cashback read it."""
+    """V3 (cleaned, left-joined), written once, month-partitioned so that readers
+    (features, cashback) scan it in parallel; the partition key is dropped on read."""
+    from ledgerlens.functions.exprs import year_month
     from ledgerlens.plans.store import materialized
     return t._memo("v3", lambda: materialized(
-        t.spark, "analysis_frame", V.source_paths(t, "A"), lambda: V.analysis_frame(t, "A")))
+        t.spark, "analysis_frame", V.source_paths(t, "A"),
+        lambda: V.analysis_frame(t, "A").withColumn("__ym", year_month("txn_dt")),
+        partition_by="__ym").drop("__ym"))
 
 
 def txn_features(t: Tables) -> DataFrame:
