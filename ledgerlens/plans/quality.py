@@ -98,6 +98,16 @@ def total_issues(report: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ C2-C6
+def _first_per_key(txn: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """One row per key: the first row under a total order, plus the key's row count."""
+    others = [c for c in txn.columns if c != key]
+    order_cols = [c for c in order if c in others] + [c for c in others if c not in order]
+    rank_key = F.struct(*[F.col(c) for c in order_cols])
+    row = F.struct(*[F.col(c) for c in others])
+    return (txn.groupBy(key).agg(F.min_by(row, rank_key).alias("__r"), F.count(F.lit(1)).alias("__copies"))
+            .select(key, *[F.col(f"__r.{c}").alias(c) for c in others], "__copies"))
+
+
 def dedupe_first(txn: DataFrame, key: str = "transaction_id",
                  order: Sequence[str] = DEFAULT_FIRST_ORDER) -> DataFrame:
     """Keep the first row per key under a total order (order columns, then all others).
@@ -105,13 +115,7 @@ def dedupe_first(txn: DataFrame, key: str = "transaction_id",
     ``min_by`` is an aggregate with a map-side partial step, so a hot key
     never lands whole in one task.
     """
-    others = [c for c in txn.columns if c != key]
-    order_cols = [c for c in order if c in others] + [c for c in others if c not in order]
-    rank_key = F.struct(*[F.col(c) for c in order_cols])
-    row = F.struct(*[F.col(c) for c in others])
-    return (txn.groupBy(key).agg(F.min_by(row, rank_key).alias("__r"))
-            .select(key, *[F.col(f"__r.{c}").alias(c) for c in others])
-            .select(*txn.columns))
+    return _first_per_key(txn, key, order).select(*txn.columns)
 
 
 def _tag_rules(txn: DataFrame) -> DataFrame:
@@ -135,12 +139,17 @@ def clean_transactions(txn: DataFrame, order: Sequence[str] = DEFAULT_FIRST_ORDE
 
 
 def cleaning_actions(txn: DataFrame, order: Sequence[str] = DEFAULT_FIRST_ORDER) -> DataFrame:
-    """Rows dropped at each step, in order (duplicates, timestamps, amounts, status)."""
-    dups = txn.groupBy("transaction_id").count() \
-        .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("n")) \
+    """Rows dropped at each step, in order (duplicates, timestamps, amounts, status).
+
+    One grouping by id yields both the surviving rows and the duplicate count.
+    """
+    firsts = _first_per_key(txn, "transaction_id", order)
+    tagged = _tag_rules(firsts)
+    g = tagged.groupBy(F.coalesce(F.col("__rule"), F.lit("kept")).alias("action")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("__copies") - 1).alias("dups"))
+    dups = g.agg(F.coalesce(F.sum("dups"), F.lit(0)).cast("bigint").alias("n")) \
         .select(F.lit("dropped_duplicate_ids").alias("action"), "n")
-    by_rule = _tag_rules(dedupe_first(txn, order=order)).where(F.col("__rule").isNotNull()) \
-        .groupBy(F.col("__rule").alias("action")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    by_rule = g.where(F.col("action") != "kept").select("action", F.col("n").cast("bigint"))
     steps = txn.sparkSession.createDataFrame(
         [(s, i) for i, s in enumerate(CLEAN_STEPS)], "action string, step int")
     counts = dups.unionByName(by_rule)
