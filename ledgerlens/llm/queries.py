@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import packing, tokens
+from ledgerlens.llm import fingerprint, packing, tokens
 from ledgerlens.llm.common import table
 
 
+def op1_document_fingerprints(spark, sf_dir):
+    return fingerprint.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -15,7 +19,7 @@ def op8_token_shards(spark, sf_dir):
 
 
 def registry():
-    return {f.__name__: f for f in (op7_best_fit_packing, op8_token_shards)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op7_best_fit_packing, op8_token_shards)}
 
 
 def oracle():
