@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,6 +32,30 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, which may not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(), "ledgerlens.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(root)))
+        sc.addPyFile(path)
+        _shipped.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, work, schema: str) -> DataFrame:
+    """``df.mapInArrow``, with this package at hand on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
 def running_totals(df: DataFrame, order: list[Column], sums: list[str]) -> DataFrame:
     """Add ``before_<c>`` for each ``c`` of ``sums``: its sum over all earlier rows in ``order``.
 

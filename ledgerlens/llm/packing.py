@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlens.llm.common import stored
+from ledgerlens.llm.common import map_arrow, stored
 from ledgerlens.llm.tokenize import END_ID, Encoder, id_crc
 
 CAPACITY = 1024
@@ -53,7 +53,7 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None
                                               pa.array(crc, pa.int64()), batch.column(2).take(row)], names=names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("deal"))
-    return rows.mapInArrow(pieces, PIECES)
+    return map_arrow(rows, pieces, PIECES)
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
@@ -124,7 +124,7 @@ def _round(pieces: DataFrame, number: int, last: bool, partitions: int, capacity
         yield from rows.to_batches(max_chunksize=20_000)
 
     dealt = pieces.select(*[c.split()[0] for c in PIECES.split(", ")]).repartition(partitions, F.xxhash64("deal", "piece", F.lit(number)))
-    return stored(dealt.mapInArrow(pack, PACKED), "packed")
+    return stored(map_arrow(dealt, pack, PACKED), "packed")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, per_partition: int = PER_PARTITION,

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import open_fs, shared_path
+from ledgerlens.llm.common import map_arrow, open_fs, shared_path, ship
 from ledgerlens.llm.tokenize import END_ID, Encoder, id_crc
 
 MANIFEST = "part int, shard string, n_docs long, n_tokens long, first_doc long, last_doc long"
@@ -164,7 +164,7 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, folder: str | N
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     dealt = rows.repartitionByRange(key, "tie").sortWithinPartitions(key, "tie")
     # A doc_id's rows may end up in two shards: the occurrence then counts from 0 in each of them.
-    return dealt.select("doc_id", "text").mapInArrow(write, MANIFEST).checkpoint()
+    return map_arrow(dealt.select("doc_id", "text"), write, MANIFEST).checkpoint()
 
 
 def _with_starts(manifest: DataFrame) -> DataFrame:
@@ -189,7 +189,7 @@ def read_back(manifest: DataFrame) -> DataFrame:
                                                  names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _with_starts(manifest).repartition(n).select("shard", "start").mapInArrow(read, ROWS)
+    return map_arrow(_with_starts(manifest).repartition(n).select("shard", "start"), read, ROWS)
 
 
 def lookup(manifest: DataFrame, keys: DataFrame) -> DataFrame:
@@ -208,6 +208,7 @@ def lookup(manifest: DataFrame, keys: DataFrame) -> DataFrame:
         return pa.table({"doc_id": asked[there], "start": offset[there] + start[there], "n_tokens": length[there],
                          "ids_crc32": pa.array([id_crc(x) for x in found], pa.int64()), "ids": pa.array([x.astype(np.int64).tolist() for x in found], pa.list_(pa.int64()))})
 
+    ship(manifest.sparkSession)
     shards = _with_starts(manifest).select("shard", "start", "first_doc", "last_doc")
     asked = keys.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     at = asked.join(F.broadcast(shards), F.col("doc_id").between(F.col("first_doc"), F.col("last_doc")))
