@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import fingerprint, packing, simhash, tokens
+from ledgerlens.llm import fingerprint, mixing, packing, simhash, tokens
 from ledgerlens.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op3_simhash_near_dedup(spark, sf_dir):
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing_sources(spark, sf_dir):
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -23,8 +27,8 @@ def op8_token_shards(spark, sf_dir):
 
 
 def registry():
-    return {f.__name__: f for f in (op1_document_fingerprints, op3_simhash_near_dedup, op7_best_fit_packing, op8_token_shards)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op3_simhash_near_dedup, op6_mixing_sources, op7_best_fit_packing, op8_token_shards)}
 
 
 def oracle():
-    return {}
+    return {"op6_mixing_sources": mixing.ORACLE}
