@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import fingerprint, mixing, packing, simhash, tokens
+from ledgerlens.llm import fingerprint, mixing, packing, simhash, tokens, urlfilter
 from ledgerlens.llm.common import table
 
 
@@ -26,9 +26,13 @@ def op8_token_shards(spark, sf_dir):
     return tokens.token_shards(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark, sf_dir):
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
 def registry():
-    return {f.__name__: f for f in (op1_document_fingerprints, op3_simhash_near_dedup, op6_mixing_sources, op7_best_fit_packing, op8_token_shards)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op3_simhash_near_dedup, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter)}
 
 
 def oracle():
-    return {"op6_mixing_sources": mixing.ORACLE}
+    return {"op6_mixing_sources": mixing.ORACLE, "op9_url_filter": urlfilter.ORACLE}
