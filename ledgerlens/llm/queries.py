@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import fingerprint, mixing, packing, simhash, tokens, urlfilter
+from ledgerlens.llm import fingerprint, mixing, packing, quality, simhash, tokens, urlfilter
 from ledgerlens.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_document_fingerprints(spark, sf_dir):
     return fingerprint.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark, sf_dir):
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash_near_dedup(spark, sf_dir):
     return simhash.digest(table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op9_url_filter(spark, sf_dir):
 
 
 def registry():
-    return {f.__name__: f for f in (op1_document_fingerprints, op3_simhash_near_dedup, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter)}
 
 
 def oracle():
