@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import fingerprint, mixing, packing, quality, simhash, tokens, urlfilter
+from ledgerlens.llm import fingerprint, langid, mixing, packing, quality, simhash, tokens, urlfilter
 from ledgerlens.llm.common import table
 
 
@@ -18,6 +18,15 @@ def op3_simhash_near_dedup(spark, sf_dir):
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark, sf_dir):
+    return langid.digest(table(spark, sf_dir, "documents"))
+
+
+def llm_language_id_pages(spark, sf_dir):
+    """Operator 5 over web pages, which have all its kinds of evidence."""
+    return langid.page_digest(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op6_mixing_sources(spark, sf_dir):
     return mixing.digest(table(spark, sf_dir, "documents"))
 
@@ -35,7 +44,7 @@ def op9_url_filter(spark, sf_dir):
 
 
 def registry():
-    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op5_language_id, llm_language_id_pages, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter)}
 
 
 def oracle():
