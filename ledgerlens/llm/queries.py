@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import fingerprint, langid, mixing, packing, quality, simhash, tokens, urlfilter
+from ledgerlens.llm import ann, fingerprint, langid, mixing, packing, quality, simhash, tokens, urlfilter
 from ledgerlens.llm.common import table
 
 
@@ -43,8 +43,12 @@ def op9_url_filter(spark, sf_dir):
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
+def op10_nearest_neighbours(spark, sf_dir):
+    return ann.digest(table(spark, sf_dir, "embeddings"))
+
+
 def registry():
-    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op5_language_id, llm_language_id_pages, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op5_language_id, llm_language_id_pages, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter, op10_nearest_neighbours)}
 
 
 def oracle():
