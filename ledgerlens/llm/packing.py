@@ -136,7 +136,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = Non
     left, kept = stored(cut(docs, capacity, vocabulary), "pieces"), []
     for number in range(rounds):
         partitions = -(-left.count() // per_partition) or 1
-        last = number == rounds - 1 or (partitions == 1 and number > 0)
+        last = number == rounds - 1 or partitions == 1  # one partition has none to exchange with
         packed = _round(left, number, last, partitions, capacity)
         kept.append(packed.where("settled"))
         if last:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import ann, fingerprint, langid, mixing, packing, quality, simhash, tokens, urlfilter
+from ledgerlens.llm import ann, fingerprint, langid, mixing, packing, quality, simhash, tokens, urlfilter, warc
 from ledgerlens.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_simhash_near_dedup(spark, sf_dir):
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_warc_fixity(spark, sf_dir):
+    return warc.fixity(table(spark, sf_dir, "pages"))
+
+
 def op5_language_id(spark, sf_dir):
     return langid.digest(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_nearest_neighbours(spark, sf_dir):
 
 
 def registry():
-    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op5_language_id, llm_language_id_pages, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter, op10_nearest_neighbours)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op4_warc_fixity, op5_language_id, llm_language_id_pages, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter, op10_nearest_neighbours)}
 
 
 def oracle():
