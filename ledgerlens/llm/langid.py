@@ -18,7 +18,7 @@ Rows are scored where they lie: only counts are shuffled, and counts are joined
 suffix and declared language (a hot host's rows are split by adaptive execution, or its counts broadcast
 by size).  Null evidence is a value of its own, the empty string; null and empty texts have an even
 likelihood, so the other evidence decides.  Repeated rows count and are scored each; an empty table gives no rows;
-without labelled rows nothing is identified (null, confidence 0).  Input columns keep their names: those made on the way start with two underscores.
+without labelled rows nothing is identified (null, confidence 0).  All columns of the input go along in one struct, so no name clashes.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ EFFECTIVE = 60.0
 STRENGTH = 8.0
 SMOOTH = 0.5
 CONFIDENCE = 0.5
-LEVELS = ("__host", "__domain", "__suffix", "__declared")
+LEVELS = ("host", "domain", "suffix", "declared")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER[[9, 10, 11, 12, 13]] = 32
@@ -118,13 +118,13 @@ def fit(docs: DataFrame, label: str = "lang", most_rows: int = MOST_ROWS) -> Tex
 
 
 def with_evidence(rows: DataFrame, text: Column, host: Column | None = None, declared: Column | None = None) -> DataFrame:
-    """``rows`` with the columns that the evidence comes from; the host's domain and suffix are its last two labels and its last."""
+    """``row`` (a struct of all columns of ``rows``) and the evidence; the host's domain and suffix are its last two labels and its last."""
     empty = F.lit("")
     host = F.coalesce(F.lower(host), empty) if host is not None else empty
     dotted = F.contains(host, F.lit("."))
     declared = F.coalesce(F.lower(F.regexp_extract(declared, "^[A-Za-z]+", 0)), empty) if declared is not None else empty
-    return rows.withColumns({"__text": F.coalesce(text, empty), "__host": host, "__domain": F.when(dotted, F.substring_index(host, ".", -2)).otherwise(empty),
-                             "__suffix": F.when(dotted, F.substring_index(host, ".", -1)).otherwise(empty), "__declared": declared})
+    return rows.select(F.struct(*rows.columns).alias("row"), F.coalesce(text, empty).alias("text"), host.alias("host"), F.when(dotted, F.substring_index(host, ".", -2)).otherwise(empty).alias("domain"),
+                       F.when(dotted, F.substring_index(host, ".", -1)).otherwise(empty).alias("suffix"), declared.alias("declared"))
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
 
 
 def identify(rows: DataFrame, model: TextModel) -> DataFrame:
-    """``rows`` (from ``with_evidence``) with __language, __confidence and __guess (by the text alone)."""
+    """``row`` of each of ``rows`` (from ``with_evidence``) with its language, confidence and guess (by the text alone)."""
     n = len(model.languages)
     held = rows.sparkSession.sparkContext.broadcast(model)  # trigrams times languages
 
@@ -153,15 +153,15 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
         for batch in batches:
             e = held.value.evidence(batch.column(0).to_pylist())
             g = e.argmax(1) if n else np.full(len(e), -1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(g.astype(np.int32))], names=[*LEVELS, "__guess"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(g.astype(np.int32))], names=[*LEVELS, "guess"])
 
-    guesses = map_arrow(rows.select("__text", *LEVELS), guess, ", ".join(f"{c} string" for c in LEVELS) + ", __guess int")
-    tallies = guesses.groupBy(*LEVELS, "__guess").agg(F.count("*").alias("__n")).checkpoint()
-    by = lambda c: tallies.groupBy(c).agg(F.array(*[F.sum(F.when(F.col("__guess") == i, F.col("__n")).otherwise(0)) for i in range(n)]).alias(f"{c}_n")) if n else tallies.groupBy(c).agg(F.array().cast("array<bigint>").alias(f"{c}_n"))
+    guesses = map_arrow(rows.select("text", *LEVELS), guess, ", ".join(f"{c} string" for c in LEVELS) + ", guess int")
+    tallies = guesses.groupBy(*LEVELS, "guess").agg(F.count("*").alias("n")).checkpoint()
+    by = lambda c: tallies.groupBy(c).agg(F.array(*[F.sum(F.when(F.col("guess") == i, F.col("n")).otherwise(0)) for i in range(n)]).alias(f"{c}_n")) if n else tallies.groupBy(c).agg(F.array().cast("array<bigint>").alias(f"{c}_n"))
     whole = np.zeros(n)
-    for r in tallies.groupBy("__guess").agg(F.sum("__n").alias("n")).collect():  # a row for each language
-        if r["__guess"] >= 0:
-            whole[r["__guess"]] = r.n
+    for r in tallies.groupBy("guess").agg(F.sum("n").alias("n")).collect():  # a row for each language
+        if r["guess"] >= 0:
+            whole[r["guess"]] = r.n
     joined = rows
     for c in LEVELS:
         joined = joined.join(by(c), c)
@@ -171,29 +171,27 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
             rows_n = batch.num_rows
             if not rows_n:
                 continue
-            e = held.value.evidence(batch.column("__text").to_pylist())
+            e = held.value.evidence(batch.column("text").to_pylist())
             counts = {c: np.array(batch.column(f"{c}_n").to_pylist(), np.float64).reshape(rows_n, n) for c in LEVELS}
-            kept = batch.select(names)
             if not n:
                 made = [pa.nulls(rows_n, pa.string()), pa.array(np.zeros(rows_n)), pa.nulls(rows_n, pa.string())]
             else:
                 g = e.argmax(1)
                 own = np.eye(n)[g]
                 share = (whole - own + 1) / (whole.sum() - 1 + n)
-                for c in ("__domain", "__host"):
+                for c in ("domain", "host"):
                     others = counts[c] - own
                     share = (others + STRENGTH * share) / (others.sum(1, keepdims=True) + STRENGTH)
                 post = e + np.log(share)
-                for c in ("__declared", "__suffix"):  # of the texts of each language, how many have this value
+                for c in ("declared", "suffix"):  # of the texts of each language, how many have this value
                     post = post + np.log((counts[c] - own + SMOOTH) / (whole - own + 2 * SMOOTH))
                 post = np.exp(_log_softmax(post))
                 best = post.argmax(1)
                 name = np.array(held.value.languages, object)
                 made = [pa.array(name[best], pa.string()), pa.array(post.max(1)), pa.array(name[g], pa.string())]
-            yield pa.RecordBatch.from_arrays([*kept.columns, *made], names=[*names, "__language", "__confidence", "__guess"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *made], names=["row", "language", "confidence", "guess"])
 
-    names = [c for c in rows.columns if not c.startswith("__")]
-    schema = rows.select(*names).withColumns({"__language": F.lit("").cast("string"), "__confidence": F.lit(0.0), "__guess": F.lit("")}).schema
+    schema = rows.select("row", F.lit("").alias("language"), F.lit(0.0).alias("confidence"), F.lit("").alias("guess")).schema
     for f in schema.fields:
         f.nullable = True
     return map_arrow(joined, fuse, schema)
@@ -201,25 +199,24 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
 
 def wanted(languages=None, confidence: float = CONFIDENCE) -> Column:
     """Whether an identified row is kept."""
-    good = F.coalesce(F.col("__confidence") >= confidence, F.lit(False)) & F.col("__language").isNotNull()
-    return good if languages is None else good & F.col("__language").isin(*languages)
+    good = F.coalesce(F.col("confidence") >= confidence, F.lit(False)) & F.col("language").isNotNull()
+    return good if languages is None else good & F.col("language").isin(*languages)
 
 
 def keep(docs: DataFrame, model: TextModel, languages=None, confidence: float = CONFIDENCE) -> DataFrame:
     """The rows of ``docs`` in a wanted language (all known ones by default), with their columns."""
-    return identify(document_evidence(docs), model).where(wanted(languages, confidence)).select(*docs.columns)
+    return identify(document_evidence(docs), model).where(wanted(languages, confidence)).select("row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """The columns of query op5: every document with its language, the confidence, and whether it is kept."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source")
     found = identify(document_evidence(rows), fit(rows))
-    return found.select("doc_id", F.col("lang").alias("declared"), F.col("__language").alias("language"), F.col("__confidence").alias("confidence"),
-                        F.col("__guess").alias("text_language"), wanted().alias("keep"))
+    return found.select("row.doc_id", F.col("row.lang").alias("declared"), "language", "confidence", F.col("guess").alias("text_language"), wanted().alias("keep"))
 
 
 def page_digest(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """Every page with its language, by a text model fit on ``docs``."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     found = identify(page_evidence(rows), fit(docs))
-    return found.select("page_id", F.col("__language").alias("language"), F.col("__confidence").alias("confidence"), F.col("__guess").alias("text_language"), wanted().alias("keep"))
+    return found.select("row.page_id", "language", "confidence", F.col("guess").alias("text_language"), wanted().alias("keep"))

@@ -112,17 +112,17 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
     Copies are looked up by (doc_id, source, size); rows that share all three share their copies, in some order.
     """
-    key = ["__z", "__k", "__s", "__n", "__o"]
+    key = ["z", "k", "s", "n", "o"]
 
-    def keyed(df: DataFrame, size: Column) -> DataFrame:
-        df = df.withColumns({"__z": F.col("doc_id").isNull(), "__k": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
-                             "__s": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")), "__n": size})
-        return df.withColumn("__o", F.row_number().over(Window.partitionBy("__z", "__k").orderBy("__s", "__n")))
+    def keyed(df: DataFrame, payload: Column, size: Column) -> DataFrame:
+        df = df.select(payload, F.col("doc_id").isNull().alias("z"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k"),
+                       F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("s"), size.alias("n"))
+        return df.withColumn("o", F.row_number().over(Window.partitionBy("z", "k").orderBy("s", "n")))
 
     words = F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))).cast("long")
-    taken = keyed(mix(docs, **options).where("copies > 0 OR size = 0"), F.col("size")).select(*key, F.col("copies").alias("__copies"))
-    out = keyed(docs, words).join(taken, key).where("__copies > 0")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    taken = keyed(mix(docs, **options), F.col("copies"), F.col("size"))
+    out = keyed(docs, F.struct(*docs.columns).alias("row"), words).join(taken, key).where("copies > 0")
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 ORACLE = r"""

@@ -259,11 +259,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest doc_id stays (null last, then by text hash), with all its columns."""
     groups = near_duplicates(docs, shingle, max_bits)
     first = groups.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.coalesce("doc_id", F.lit(0)).alias("k"), "tie")).alias("kept"))
-    key = ["__z", "__k", "__tie"]
-    keyed = docs.withColumns({"__z": F.col("doc_id").isNull(), "__k": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__tie": F.xxhash64("text")})
-    kept = keyed.join(first.select(F.col("kept.z").alias("__z"), F.col("kept.k").alias("__k"), F.col("kept.tie").alias("__tie")), key, "left_semi")
+    key = ["z", "k", "tie"]
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").isNull().alias("z"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k"), F.xxhash64("text").alias("tie"))
+    kept = keyed.join(first.select("kept.*"), key, "left_semi")
     again = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))  # repeated rows
-    return kept.withColumn("__again", again).where("__again = 1").select(*docs.columns)
+    return kept.withColumn("again", again).where("again = 1").select("row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:
