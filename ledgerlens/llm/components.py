@@ -24,7 +24,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     """Label the nodes of ``edges`` (a, b) with the least node of their component: node, label.
 
-    Nodes without an edge to another node have no row.  Each round is checkpointed; the number of
+    The least nodes themselves, and nodes without an edge to another, have no row.  Each round is checkpointed; the number of
     rounds grows with the logarithm of the longest path (Kiveris et al., 2014).  A hub's edges meet
     its label in a join, whose large partitions Spark's adaptive execution splits.
     """
