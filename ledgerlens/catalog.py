@@ -6,6 +6,7 @@ the plan functions keep the reference defaults.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from ledgerlens.plans import merchants as Q3
 from ledgerlens.plans import regional as Q6
 from ledgerlens.plans import trends as Q4
 from ledgerlens.plans import views as V
+from ledgerlens.session import ensure_checkpoint_dir
 from ledgerlens.sources.adapter import Tables, tables
 
 # Fixture parameters (FIXTURES.md 2.4).
@@ -144,7 +146,7 @@ def oracle() -> dict[str, str]:
     from ledgerlens.oracle import extended
     out = kpis.build(edges_a=EDGES_A, q35_min=Q35_MIN_TXNS, cohort_start=COHORT_START,
                      cohorts=COHORTS, since=SINCE)
-    out.update(extended.build(edges_a=EDGES_A, slicers=SLICERS_X1, drill_merchant=DRILL_MERCHANT,
+    out.update(extended.build(edges_a=EDGES_A, slicers=SLICERS_X1, slicers_b=SLICERS_X1B, drill_merchant=DRILL_MERCHANT,
                               reasons=FAILURE_REASONS_A, categories=CATEGORIES_A))
     return out
 
@@ -163,6 +165,7 @@ from ledgerlens.sources import io as IO  # noqa: E402
 # Reasons and categories of the fixture, listed for pivots (no discovery job).
 FAILURE_REASONS_A = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 CATEGORIES_A = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+SLICERS_X1B = {"txn_month": [1, 2, 3], "customer_state": [], "txn_year": 1996}
 SLICERS_X1 = {"txn_year": [1996, 1997], "merchant_category": ["ECONOMY", "PROMO", "STANDARD"]}
 DRILL_MERCHANT = 7
 
@@ -236,7 +239,10 @@ def extended_registry() -> dict[str, QueryFn]:
         "c11_key_completeness": lambda s, sf: C.key_completeness(tx(s, sf), min_amount=0.01),
         # sources
         "s7_row_counts": lambda s, sf: IO.row_counts(_all_tables(_t(s, sf))),
+        "s3_round_trip": lambda s, sf: IO.round_trip(_all_tables(_t(s, sf)), f"{ensure_checkpoint_dir(s)}/round-trip-{uuid.uuid4().hex}"),
         # features
+        "f9_success_amount": lambda s, sf: FE.success_amount(txn_features(_t(s, sf))).select(
+            "transaction_id", F.col("success_amount").cast("double").alias("success_amount")),
         "f10_transaction_features": lambda s, sf: _double_decimals(
             txn_features(_t(s, sf)).drop("amount_cents", "revenue_cents")),
         "u8_customer_features": lambda s, sf: _double_decimals(customer_features(_t(s, sf))),
@@ -263,6 +269,9 @@ def extended_registry() -> dict[str, QueryFn]:
         "x1_sliced_measures": _ea(lambda e: M.measure_query(
             e, ["total_transactions", "gpv", "total_revenue", "success_rate_pct", "active_customers"],
             by=["txn_year", "merchant_category"], slicers=SLICERS_X1)),
+        "x1b_month_mode_state": _ea(lambda e: M.measure_query(
+            e, ["total_transactions", "gpv"], by=["payment_mode"], slicers=SLICERS_X1B)),
+        "x5_sorted_labels": _ea(lambda e: M.sorted_labels(e)),
         "x2_drill_through_merchant": _ea(lambda e: _double_decimals(M.drill_through(e, "merchant_id", DRILL_MERCHANT))),
         "x3_visual_top_n": _ea(lambda e: M.visual_top_n(
             M.measure_query(e, ["total_revenue", "total_transactions"], by=["customer_state"]),
@@ -333,6 +342,7 @@ def extended_registry() -> dict[str, QueryFn]:
         "t11_pearson_stat": _cf(ST.pearson_pairs_stat),
         "t11_pearson_test": _cf(ST.pearson_pairs),
         "t12_weekend_groups": _tf(ST.weekend_groups),
+        "t12_welch_stat": _tf(ST.welch_stat),
         "t12_welch_test": _tf(ST.welch_test),
         "t13_mann_whitney_stat": _tf(ST.mann_whitney_stat),
         "t13_mann_whitney_test": _tf(ST.mann_whitney),
@@ -346,6 +356,7 @@ def extended_registry() -> dict[str, QueryFn]:
         "t20_os_failure_table": _tf(ST.os_failure_table),
         "t20_os_chi_square_stat": _tf(ST.os_chi_square_stat),
         "t20_os_chi_square_test": _tf(ST.os_chi_square),
+        "t21_decisions": lambda s, sf: ST.decisions(txn_features(_t(s, sf)), customer_features(_t(s, sf))),
         # cashback
         "b3_cashback_table": lambda s, sf: _double_decimals(_cashback(_t(s, sf))),
         "b4_cashback_summary": lambda s, sf: B.cashback_summary(_cashback(_t(s, sf)), _t(s, sf).campaigns),

@@ -13,6 +13,8 @@ import math
 
 _EPS = 1e-15
 _FPMIN = 1e-300
+#: Degrees of freedom from which the limits are closer than the cancellation in the exact forms.
+LARGE = 1e7
 
 
 def _betacf(a: float, b: float, x: float) -> float:
@@ -20,7 +22,7 @@ def _betacf(a: float, b: float, x: float) -> float:
     c, d = 1.0, 1.0 - qab * x / qap
     d = 1.0 / (d if abs(d) > _FPMIN else _FPMIN)
     h = d
-    for m in range(1, 10_000):
+    for m in range(1, 100_000):
         m2 = 2 * m
         aa = m * (b - m) * x / ((qam + m2) * (a + m2))
         d = 1.0 + aa * d
@@ -36,8 +38,8 @@ def _betacf(a: float, b: float, x: float) -> float:
         delta = d * c
         h *= delta
         if abs(delta - 1.0) < _EPS:
-            break
-    return h
+            return h
+    raise ArithmeticError(f"incomplete beta did not converge for a={a}, b={b}, x={x}")
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -120,7 +122,9 @@ def norm_ppf(p: float) -> float:
 
 
 def t_sf(t: float, df: float) -> float:
-    """P(T > t) for Student's t."""
+    """P(T > t) for Student's t; from ``LARGE`` degrees of freedom by its normal expansion."""
+    if df >= LARGE:
+        return norm_sf(t - (t ** 3 + t) / (4 * df) + (13 * t ** 5 + 8 * t ** 3 + 3 * t) / (96 * df * df))
     x = df / (df + t * t)
     tail = 0.5 * betainc(df / 2.0, 0.5, x)
     return tail if t >= 0 else 1.0 - tail
@@ -133,7 +137,11 @@ def t_two_sided_p(t: float, df: float) -> float:
 def t_ppf(p: float, df: float) -> float:
     """Inverse t CDF by bisection on t_sf (monotone)."""
     target = 1.0 - p
-    lo, hi = -1e3, 1e3
+    lo, hi = -1.0, 1.0
+    while t_sf(hi, df) > target:
+        hi *= 2
+    while t_sf(lo, df) < target:
+        lo *= 2
     for _ in range(300):
         mid = (lo + hi) / 2
         if t_sf(mid, df) > target:
@@ -147,6 +155,8 @@ def f_sf(f: float, d1: float, d2: float) -> float:
     """P(F > f) for the F distribution."""
     if f <= 0:
         return 1.0
+    if d2 >= LARGE:  # its limit; the relative error is of the order of d1 / d2
+        return chi2_sf(d1 * f, d1)
     return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 

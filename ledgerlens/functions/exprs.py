@@ -62,20 +62,17 @@ def failed_flag(status: str = "status") -> Column:
 # Money is aggregated in integer minor units (cents / paise, ``long``): Spark
 # sums a decimal(18,2) in a decimal(28,2) buffer held as BigInteger bytes,
 # while a long sum stays in the fixed-width fast path.  The total becomes an
-# exact decimal(28,2) once per group.  A long holds 9.2e16 currency units.
+# exact decimal(28,2) once per group.
 CENTS = {"amount": "amount_cents", "revenue": "revenue_cents"}
 
 
 def money_sum(cents: Column | str) -> Column:
     """SUM of a money column given in cents, returned as an exact decimal(28,2)."""
     c = F.col(cents) if isinstance(cents, str) else cents
-    return (F.sum(c).cast("decimal(20,0)") / F.lit(100)).cast("decimal(28,2)")
-
-
-def to_cents(amount: Column | str) -> Column:
-    """Exact cents of a decimal amount with at most two places."""
-    a = F.col(amount) if isinstance(amount, str) else amount
-    return (a * 100).cast("long")
+    # Two long sums, of millions and of the rest, hold 10^12 rows of 10^16 units without overflow.
+    part = F.lit(1_000_000)
+    high, low = F.sum(F.call_function("div", c, part)), F.sum(c % part)
+    return ((high.cast("decimal(20,0)") * part + low.cast("decimal(20,0)")).cast("decimal(30,0)") / F.lit(100)).cast("decimal(28,2)")
 
 
 def sum_success(x: Column | str, status: str = "status") -> Column:
@@ -89,12 +86,6 @@ def sum_success(x: Column | str, status: str = "status") -> Column:
     return F.sum(F.when(is_success(status), x))
 
 
-def avg_success(x: str, digits: int = 0, status: str = "status") -> tuple[Column, Column]:
-    """(sum, count) of x over SUCCESS rows: AVG(CASE WHEN status='SUCCESS' THEN x END)."""
-    v = F.when(is_success(status), F.col(x))
-    return F.sum(v), F.count(v)
-
-
 def count_success(status: str = "status") -> Column:
     return F.count_if(is_success(status))
 
@@ -103,16 +94,11 @@ def count_failed(status: str = "status") -> Column:
     return F.count_if(is_failed(status))
 
 
-# A single payment below 10^9 keeps amount x rate within 18 digits, so the
-# product and its rounding stay on Spark's long-backed decimal fast path.
-TICKET = "decimal(11,2)"
-
-
 def commission(amount: Column | str = "amount", rate: Column | str = "commission_rate") -> Column:
-    """ROUND(amount * rate, 2), exact, computed in decimal(18,6)."""
+    """ROUND(amount * rate, 2), exact, in the declared width of money and rates."""
     a = F.col(amount) if isinstance(amount, str) else amount
     r = F.col(rate) if isinstance(rate, str) else rate
-    return F.round(a.cast(TICKET) * r, 2)
+    return F.round(a.cast("decimal(18,2)") * r.cast("decimal(6,4)"), 2).cast("decimal(18,2)")
 
 
 def half_up_div(num: Column, den: int) -> Column:
@@ -160,6 +146,15 @@ def round_ratio(num: Column, den: Column, digits: int = 2, scale: int = 1) -> Co
         .otherwise(signed.cast("double") / F.lit(float(10 ** digits)))
 
 
+def round_ratio_even(num: Column, den: Column, digits: int) -> Column:
+    """num / den of counts rounded to ``digits``, half to even (numpy's rule), as a double; exact in integers."""
+    scaled, den = num.cast("decimal(38,0)") * F.lit(10 ** digits), den.cast("decimal(38,0)")
+    whole = _div(scaled, den).cast("decimal(38,0)")
+    twice = (scaled - whole * den) * 2
+    up = (twice > den) | ((twice == den) & (whole % 2 == 1))
+    return F.when(den == 0, F.lit(None).cast("double")).otherwise((whole + up.cast("int")).cast("double") / F.lit(float(10 ** digits)))
+
+
 def round_money(x: Column, digits: int = 0) -> Column:
     """ROUND of an exact decimal sum, returned as double."""
     return F.round(x, digits).cast("double")

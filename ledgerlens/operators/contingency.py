@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,19 +44,17 @@ def chi_square_stat(table: DataFrame, yates: bool | None = None) -> DataFrame:
 
     ``yates=None`` applies the continuity correction only when dof == 1.
     """
-    rows = table.groupBy("r").agg(F.sum("observed").alias("rt"))
-    cols = table.groupBy("c").agg(F.sum("observed").alias("ct"))
-    margins = rows.agg(F.count(F.lit(1)).alias("kr"), F.sum("rt").alias("n"),
-                       F.sum(1.0 / F.col("rt")).alias("inv_r"))
-    col_m = cols.agg(F.count(F.lit(1)).alias("kc"), F.sum(1.0 / F.col("ct")).alias("inv_c"))
-    n = margins.select("n").scalar()
-    cells = table.join(rows, "r").join(cols, "c").select(
-        F.col("observed").cast("double").alias("o"),
-        (F.col("rt").cast("double") * F.col("ct").cast("double") / n.cast("double")).alias("e"))
-    sums = cells.agg(F.sum(F.col("o") * F.col("o") / F.col("e")).alias("s_o2_e"),
-                     F.max(F.abs(F.col("o") - F.col("e"))).alias("d"))
-    kr, kc = margins.select("kr").scalar(), col_m.select("kc").scalar()
-    inv_r, inv_c = margins.select("inv_r").scalar(), col_m.select("inv_c").scalar()
+    total = lambda *by: F.sum("observed").over(Window.partitionBy(*by)).cast("double")
+    cells = table.select(
+        F.col("observed").cast("double").alias("o"), total("r").alias("rt"), total("c").alias("ct"), total().alias("t"),
+        F.row_number().over(Window.partitionBy("r").orderBy("c")).alias("nth_c"), F.row_number().over(Window.partitionBy("c").orderBy("r")).alias("nth_r"))
+    cells = cells.withColumn("e", F.col("rt") * F.col("ct") / F.col("t"))
+    sums = cells.agg(
+        F.sum(F.col("o") * F.col("o") / F.col("e")).alias("s_o2_e"), F.max(F.abs(F.col("o") - F.col("e"))).alias("d"), F.max("t").alias("t"),
+        # Each row and column of the table once.
+        F.count_if(F.col("nth_c") == 1).alias("kr"), F.count_if(F.col("nth_r") == 1).alias("kc"),
+        F.sum(F.when(F.col("nth_c") == 1, 1.0 / F.col("rt"))).alias("inv_r"), F.sum(F.when(F.col("nth_r") == 1, 1.0 / F.col("ct"))).alias("inv_c"))
+    n, kr, kc, inv_r, inv_c = (F.col(c) for c in ("t", "kr", "kc", "inv_r", "inv_c"))
     dof = (kr - 1) * (kc - 1)
     plain = F.col("s_o2_e") - n.cast("double")
     corr = F.greatest(F.col("d") - 0.5, F.lit(0.0))

@@ -13,81 +13,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Broadcast without a size check only below this proven row bound.
 MAX_PROVEN_BROADCAST_ROWS = 100_000
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-
-
-def broadcast_threshold_bytes(spark) -> int:
-    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: disabled)."""
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
-    num = raw.rstrip("bkmg")
-    unit = raw[len(num):] or "b"
-    try:
-        value = int(float(num))
-    except ValueError:
-        return 10 << 20
-    return value if value < 0 else value * _UNITS.get(unit, 1)
-
-
-def _default_size(t: T.DataType) -> int:
-    """Spark's default per-value size used in its own plan estimates."""
-    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(t, T.ShortType):
-        return 2
-    if isinstance(t, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(t, T.DecimalType):
-        return 8 if t.precision <= 18 else 16
-    return 20
-
-
-def estimated_row_bytes(df: DataFrame) -> int:
-    """Row width from the schema's default sizes (what Spark's own estimates use)."""
-    return max(1, sum(_default_size(f.dataType) for f in df.schema.fields)) + 8
-
-
-_CHECKED: dict = {}
-
-
-def fits_broadcast_cached(dim: DataFrame, key) -> bool:
-    """``fits_broadcast`` memoised per (session, key): one size check per dimension
-    and input location, however many queries join it."""
-    k = (dim.sparkSession.sparkContext.applicationId, broadcast_threshold_bytes(dim.sparkSession), key)
-    if k not in _CHECKED:
-        _CHECKED[k] = fits_broadcast(dim)
-    return _CHECKED[k]
-
-
-def fits_broadcast(dim: DataFrame) -> bool:
-    """Size check behind every data-dependent broadcast.
-
-    The row count is measured with ``limit(k + 1).count()``, so the check
-    reads at most k + 1 rows however large the dimension is; k is the
-    session's broadcast threshold divided by the estimated row width.
-    Beyond it, the caller keeps the sort-merge join.
-    """
-    threshold = broadcast_threshold_bytes(dim.sparkSession)
-    if threshold <= 0:
-        return False
-    k = threshold // estimated_row_bytes(dim)
-    return k > 0 and dim.limit(k + 1).count() <= k
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner",
-             proven_rows: int | None = None, checked: bool | None = None) -> DataFrame:
+             proven_rows: int | None = None) -> DataFrame:
     """N:1 equi-join of ``fact`` to ``dim`` on key column(s) ``on``.
 
-    ``proven_rows``: a static bound (fixed-size dimension) allows a broadcast.
-    ``checked``: the outcome of ``fits_broadcast`` for a data-dependent
-    dimension.  Otherwise the optimizer (and AQE at run time) decides.
+    ``proven_rows``: a static bound (fixed-size dimension) allows a broadcast;
+    otherwise the optimizer (and AQE at run time) decides by size.
     """
-    if (proven_rows is not None and proven_rows <= MAX_PROVEN_BROADCAST_ROWS) or checked:
+    if proven_rows is not None and proven_rows <= MAX_PROVEN_BROADCAST_ROWS:
         dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)
 

@@ -4,27 +4,23 @@
 SinglePartition``: every row goes to one task.  That is fine for months or
 states and a wall for customers, merchants or distinct amounts.
 
-Recipe:
-
-1. materialise the input once (reliable ``checkpoint`` in the cluster's
-   checkpoint folder), so the count, the sample and the ranking read the same
-   rows without recomputing the upstream aggregate;
-2. choose ``B`` range buckets from a bounded sample of sort keys (ties are
-   split by a unique id, so a hot key value spreads over several buckets);
-3. assign each row its bucket with a balanced tree of struct comparisons
-   (log2 B comparisons per row, all inside codegen);
-4. number rows and accumulate sums inside each bucket (``partitionBy(bucket)``);
-5. add per-bucket offsets (counts and sums of earlier buckets): a B-row table,
-   broadcast with a proven bound.
+One path for all sizes:
+
+1. deal the rows out by range of the sort keys (Spark samples the bounds);
+   a unique id among the keys splits a hot key value over several ranges;
+2. freeze the ranges once with a reliable ``checkpoint``, so the totals and
+   the ranking see the same rows in the same range;
+3. number rows and accumulate sums inside each range;
+4. add the counts and sums of the earlier ranges: a table with one row for
+   each range (no more than shuffle partitions), which is broadcast.
 
 The result equals the plain global window for ``row_number`` and running
-sums; NTILE, qcut and RANK are closed forms over the global row number.
+sums; NTILE, qcut, RANK and exact quantiles follow from them.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,11 +29,6 @@ from pyspark.sql import types as T
 
 from ledgerlens.session import ensure_checkpoint_dir
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
-SAMPLES_PER_BUCKET = 64
-SAMPLE_SEED = 20231
-
 
 @dataclass(frozen=True)
 class Key:
@@ -74,66 +65,32 @@ def _encode(df: DataFrame, keys: Sequence[Key]) -> tuple[DataFrame, list[str]]:
     return df.select("*", *cols), names
 
 
-def _bucket_expr(names: list[str], types: list[T.DataType], bounds: list[tuple]) -> Column:
-    """Balanced comparison tree: bucket b holds keys in [bounds[b-1], bounds[b])."""
-    key = F.struct(*[F.col(n).alias(n) for n in names])
-
-    def lit_struct(b):
-        return F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(b, types, names)])
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < lit_struct(bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    return tree(0, len(bounds))
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the session's checkpoint folder (lineage cut)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def global_rank(df: DataFrame, keys: Sequence[Key], sum_cols: Sequence[str] = (),
-                rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-                checkpoint: bool = True, rank_col: str = "__rn", total_col: str = "__n",
-                n: int | None = None) -> DataFrame:
+def _ranges(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
+    """``df`` in frozen ranges of ``order``; ``__b`` numbers them in order."""
+    n = [partitions] if partitions else []
+    return materialize(df.repartitionByRange(*n, *order).withColumn("__b", F.spark_partition_id()))
+
+
+def global_rank(df: DataFrame, keys: Sequence[Key], sum_cols: Sequence[str] = (), partitions: int | None = None,
+                rank_col: str = "__rn", total_col: str = "__n") -> DataFrame:
     """Add the global 1-based row number (and running sums ``__cum_<c>``) under ``keys``.
 
     ``keys`` must form a total order (end with a unique id) for the result to
     be deterministic; ``total_col`` receives the row count of the whole frame.
-    ``n`` may pass a known row count; without ``checkpoint`` the input must
-    be deterministic (a checkpointed or file-backed frame), since the count,
-    the sample and the ranking each read it.
     """
-    base = materialize(df) if checkpoint else df
-    enc, names = _encode(base, keys)
-    types = [enc.schema[n].dataType for n in names]
-    n = enc.count() if n is None else n
-    buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
-    if buckets > 1:
-        fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / max(1, n))
-        # Bounded: at most 2 * SAMPLES_PER_BUCKET * buckets key tuples reach the driver.
-        cap = 2 * SAMPLES_PER_BUCKET * buckets
-        sample = sorted(tuple(r) for r in
-                        enc.sample(False, fraction, SAMPLE_SEED).select(*names).limit(cap).collect())
-        cut = [sample[(i * len(sample)) // buckets] for i in range(1, buckets)]
-        bounds = sorted(set(cut))
-    else:
-        bounds = []
-    bucket = _bucket_expr(names, types, bounds) if bounds else F.lit(0)
-    enc = enc.withColumn("__b", bucket)
+    enc, names = _encode(df, keys)
     order = [F.col(c) for c in names]
+    dealt = _ranges(enc, order, partitions)
     w = Window.partitionBy("__b").orderBy(*order)
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = enc.withColumn("__lr", F.row_number().over(w))
-    for c in sum_cols:
-        local = local.withColumn(f"__lc_{c}", F.sum(c).over(wr))
-    # Per-bucket totals -> offsets of all earlier buckets (<= max_buckets rows).
-    tot = enc.groupBy("__b").agg(F.count(F.lit(1)).alias("__bc"),
-                                 *[F.sum(c).alias(f"__bs_{c}") for c in sum_cols])
+    local = dealt.select("*", F.row_number().over(w).alias("__lr"), *[F.sum(c).over(wr).alias(f"__lc_{c}") for c in sum_cols])
+    tot = dealt.groupBy("__b").agg(F.count(F.lit(1)).alias("__bc"), *[F.sum(c).alias(f"__bs_{c}") for c in sum_cols])
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(
         "__b",
@@ -141,13 +98,9 @@ def global_rank(df: DataFrame, keys: Sequence[Key], sum_cols: Sequence[str] = ()
         *[F.sum(f"__bs_{c}").over(before).alias(f"__os_{c}") for c in sum_cols],
         F.sum("__bc").over(Window.partitionBy()).alias(total_col),
     )
-    out = local.join(F.broadcast(offs), "__b")
-    out = out.withColumn(rank_col, (F.col("__off") + F.col("__lr")).cast("long"))
-    for c in sum_cols:
-        out = out.withColumn(f"__cum_{c}", F.coalesce(F.col(f"__os_{c}"), F.lit(0)) + F.col(f"__lc_{c}"))
-    drop = names + ["__b", "__lr", "__off"] + [f"__lc_{c}" for c in sum_cols] + \
-        [f"__os_{c}" for c in sum_cols]
-    return out.drop(*drop)
+    out = local.join(F.broadcast(offs), "__b")  # a row for each range
+    return out.select(*df.columns, total_col, (F.col("__off") + F.col("__lr")).cast("long").alias(rank_col),
+                      *[(F.coalesce(F.col(f"__os_{c}"), F.lit(0)) + F.col(f"__lc_{c}")).alias(f"__cum_{c}") for c in sum_cols])
 
 
 def ntile_from_rank(rank: Column, n: Column, k: int) -> Column:
@@ -167,16 +120,74 @@ def qcut_from_rank(rank: Column, n: Column, k: int) -> Column:
     return F.when(n <= 1, F.lit(1)).otherwise(F.greatest(F.lit(1), ceil_div)).cast("int")
 
 
-def sql_rank(df: DataFrame, key: str, ascending: bool, out: str = "rank",
-             rows_per_bucket: int = ROWS_PER_BUCKET, checkpoint: bool = True) -> DataFrame:
+def tile_scores(df: DataFrame, specs: dict[str, tuple[Sequence[Key], Callable[[Column, Column], Column]]],
+                partitions: int | None = None) -> DataFrame:
+    """Add a tile number for each of ``specs``: name -> (keys, tile of row number and row count).
+
+    Each ranking reads ``df`` (checkpoint it first) and leaves only the least
+    key of each tile; one pass over ``df`` then compares every row with
+    these few keys.
+    """
+    out = df
+    for name, (keys, tile) in specs.items():
+        columns = list(dict.fromkeys(k.col for k in keys))
+        ranked = global_rank(df.select(*columns), keys, partitions=partitions)
+        enc, names = _encode(ranked, keys)
+        key = F.struct(*names)
+        tiles = enc.groupBy(tile(F.col("__rn"), F.col("__n")).alias("tile")).agg(F.min(key).alias("least"))
+        bounds = tiles.agg(F.collect_list(F.struct("least", "tile")).alias("__bounds"))  # a row, one entry for each tile
+        plain = out.columns
+        enc, names = _encode(out.crossJoin(F.broadcast(bounds)), keys)
+        key = F.struct(*names)
+        reached = F.array_max(F.filter("__bounds", lambda x: x["least"] <= key))["tile"]
+        out = enc.select(*plain, reached.alias(name))
+    return out
+
+
+def sql_rank(df: DataFrame, key: str, ascending: bool, out: str = "rank", partitions: int | None = None) -> DataFrame:
     """SQL RANK() over the whole frame: 1 + rows with a strictly better key.
 
-    Distinct keys are counted first (partial aggregation absorbs a hot key),
-    ranked globally with running counts, and joined back N:1.
+    Rows are ranked inside their range.  A hot value may fill several ranges;
+    where it starts is known from the first and the last value of each range.
+    """
+    enc, names = _encode(df, [Key(key, ascending)])
+    value = F.struct(*names)
+    dealt = _ranges(enc, [*[F.col(c) for c in names], F.xxhash64(*df.columns)], partitions)
+    local = dealt.withColumn("__lr", F.rank().over(Window.partitionBy("__b").orderBy(*names)))
+    ranges = local.groupBy("__b").agg(F.count(F.lit(1)).alias("__bc"), F.min(value).alias("__first"), F.max(F.struct(value.alias("v"), "__lr")).alias("__last"))
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("__off", F.coalesce(F.sum("__bc").over(before), F.lit(0)))
+    start = Window.partitionBy("v")
+    ends = ranges.select("__b", F.explode(F.array(
+        F.struct(F.col("__first").alias("v"), (F.col("__off") + 1).alias("at")), F.struct(F.col("__last.v").alias("v"), (F.col("__off") + F.col("__last.__lr")).alias("at")))).alias("e"))
+    ends = ends.select("__b", "e.*").withColumn("__start", F.min("at").over(start))
+    firsts = ranges.select("__b", F.col("__first").alias("v"), "__off").join(ends.select("__b", "v", "__start").distinct(), ["__b", "v"])
+    ranked = local.join(F.broadcast(firsts), "__b")  # a row for each range
+    rank = F.when(value == F.col("v"), F.col("__start")).otherwise(F.col("__off") + F.col("__lr"))
+    return ranked.select(*df.columns, rank.cast("bigint").alias(out))
+
+
+def quantiles(df: DataFrame, value: Column, probs: Sequence[float], by: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles: one row (for each ``by``) with an array ``q`` in the order of ``probs``.
+
+    Equal values are counted first (map-side), running counts come from G1,
+    and only the two values around each position leave their range, so no
+    task holds a map of all values.  Null values are left out.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__c"))
-    ranked = global_rank(counts, [Key(key, ascending)], sum_cols=["__c"],
-                         rows_per_bucket=rows_per_bucket, checkpoint=checkpoint)
-    table = ranked.select(F.col(key).alias("__key"),
-                          (F.col("__cum___c") - F.col("__c") + 1).cast("int").alias(out))
-    return df.join(table, on=F.col(key).eqNullSafe(F.col("__key")), how="inner").drop("__key")
+    group = F.col(by) if by else F.lit(0)
+    counts = df.select(group.alias("g"), value.cast("double").alias("v")).where(F.col("v").isNotNull()).groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
+    ranked = global_rank(counts, [Key("g"), Key("v")], sum_cols=["c"], partitions=partitions)
+    sizes = ranked.groupBy("g").agg(F.sum("c").alias("n"), F.min(F.col("__cum_c") - F.col("c")).alias("skip")).withColumnRenamed("g", "h")
+    rows = ranked.join(sizes, F.col("g").eqNullSafe(F.col("h")))
+    upto = F.col("__cum_c") - F.col("skip")
+    spots = F.flatten(F.transform(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]), lambda x: F.array(
+        F.struct(x["i"].alias("i"), F.lit(0).alias("up"), F.floor(x["p"] * (F.col("n") - 1)).alias("at")),
+        F.struct(x["i"].alias("i"), F.lit(1).alias("up"), F.ceil(x["p"] * (F.col("n") - 1)).alias("at")))))
+    inside = F.filter(spots, lambda x: (x["at"] < upto) & (x["at"] >= upto - F.col("c")))
+    hits = rows.select("g", "n", "v", F.explode(inside).alias("s")).select("g", "n", "v", "s.*")
+    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
+    ends = hits.groupBy("g", "i").agg(F.max(F.when(F.col("up") == 0, F.col("v"))).alias("lo"), F.max(F.when(F.col("up") == 1, F.col("v"))).alias("hi"), F.max("n").alias("n"))
+    part = prob * (F.col("n") - 1) - F.floor(prob * (F.col("n") - 1))
+    each = ends.select("g", "i", (F.col("lo") + (F.col("hi") - F.col("lo")) * part).alias("x"))
+    out = each.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("q")).select(F.col("g").alias(by or "__all"), F.col("q.x").alias("q"))
+    return out if by else out.select("q")

@@ -100,8 +100,8 @@ cf0 AS (
          COALESCE(b.spend, 0) AS lifetime_spend,
          COALESCE(CAST(b.spend AS DOUBLE) / CAST(NULLIF(b.nspend, 0) AS DOUBLE), 0.0) AS avg_ticket,
          b.revenue_contributed,
-         {R('b.n_success', 'b.n_txns', 4)} AS success_rate,
-         {R('b.high_value_txns', 'b.n_txns', 4)} AS high_value_share,
+         round_even(CAST(b.n_success AS DOUBLE) * 10000 / b.n_txns, 0) / 10000 AS success_rate,
+         round_even(CAST(b.high_value_txns AS DOUBLE) * 10000 / b.n_txns, 0) / 10000 AS high_value_share,
          {_days('b.last_txn', '(SELECT MAX(txn_dt) FROM tfeat)')} AS recency_days,
          {_days('b.first_txn', 'b.last_txn')} AS active_lifespan_days,
          CASE WHEN {_days('b.last_txn', '(SELECT MAX(txn_dt) FROM tfeat)')} > {X.INACTIVE_DAYS} THEN 1 ELSE 0 END AS is_inactive,
@@ -187,7 +187,7 @@ def _filliben(points: int = 99):
     return m
 
 
-def build(edges_a=(5000, 15000, 30000, 60000, 90000), slicers=None, drill_merchant=7,
+def build(edges_a=(5000, 15000, 30000, 60000, 90000), slicers=None, slicers_b=None, drill_merchant=7,
           reasons=(), categories=()) -> dict[str, str]:
     q: dict[str, str] = {}
     dec_txn = ("amount",)
@@ -254,6 +254,8 @@ SELECT {nulls}, CAST(MIN(amount) AS DOUBLE) AS min_amount, CAST(MAX(amount) AS D
 FROM txn_a""")
     q["s7_row_counts"] = W("\nUNION ALL ".join(
         f"SELECT '{k}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n FROM {v}" for k, v in tbl.items()))
+    q["s3_round_trip"] = W("\nUNION ALL ".join(
+        f"SELECT '{k}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) AS BIGINT) AS n_back, TRUE AS same FROM {v}" for k, v in tbl.items()))
     # ---------------- features
     q["f10_transaction_features"] = W(
         "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, CAST(commission_rate AS DOUBLE) AS commission_rate, "
@@ -391,7 +393,7 @@ FROM enr_a GROUP BY 1 ORDER BY total_revenue DESC NULLS LAST, customer_state LIM
     q["p3_customers_per_segment"] = W("SELECT segment, CAST(COUNT(*) AS BIGINT) AS customers FROM cfeat GROUP BY 1")
     q["p4_rfm_scatter"] = W("SELECT customer_id, n_txns, CAST(lifetime_spend AS DOUBLE) AS lifetime_spend, "
                             "segment, recency_days FROM cfeat")
-    q["p5_clv_top"] = W("SELECT customer_id, CAST(lifetime_spend AS DOUBLE) AS lifetime_spend, n_txns, segment "
+    q["p5_clv_top"] = W("SELECT customer_id, CAST(lifetime_spend AS DOUBLE) AS lifetime_spend, n_txns, segment, state "
                         "FROM cfeat ORDER BY lifetime_spend DESC, customer_id LIMIT 20")
     q["p6_customers_by_gender"] = W(
         "SELECT gender, CAST(COUNT(*) AS BIGINT) AS customers, "
@@ -421,11 +423,13 @@ JOIN dim_merchants m ON m.merchant_id = g.merchant_id""")
     q["p13_bank_type_reason_matrix"] = with_adapter(
         "SELECT bank_type, " + ", ".join(
             f"CAST(COUNT(*) FILTER (WHERE failure_reason = '{r}') AS BIGINT) AS \"{r}\"" for r in reasons)
-        + " FROM enr_a WHERE status = 'FAILED' GROUP BY 1")
+        + ", CAST(COUNT(*) FILTER (WHERE failure_reason IS NULL OR failure_reason NOT IN (" + ", ".join(f"'{r}'" for r in reasons)
+        + ")) AS BIGINT) AS other FROM enr_a WHERE status = 'FAILED' GROUP BY 1")
     q["p14_state_category_matrix"] = with_adapter(
         "SELECT customer_state, " + ", ".join(
             f"CAST(SUM(CASE WHEN merchant_category = '{c}' THEN amount END) AS DOUBLE) AS \"{c}\"" for c in categories)
-        + " FROM enr_a WHERE status = 'SUCCESS' GROUP BY 1")
+        + ", CAST(SUM(CASE WHEN merchant_category IS NULL OR merchant_category NOT IN (" + ", ".join(f"'{c}'" for c in categories)
+        + ") THEN amount END) AS DOUBLE) AS other FROM enr_a WHERE status = 'SUCCESS' GROUP BY 1")
     q["p15_top5_merchants"] = with_adapter("""
 SELECT merchant_id, MIN(merchant_name) AS merchant_name, CAST(SUM(revenue) AS DOUBLE) AS revenue
 FROM enr_a GROUP BY merchant_id ORDER BY SUM(revenue) DESC, merchant_id LIMIT 5""")
@@ -557,11 +561,22 @@ SELECT CAST(COUNT(*) AS BIGINT) AS n, {R('SUM(amount)', 'COUNT(*)', 6)} AS mean,
 SELECT 'n_txns' AS x, ROUND(corr(CAST(n_txns AS DOUBLE), CAST(lifetime_spend AS DOUBLE)), 6) AS r, CAST(COUNT(*) AS BIGINT) AS n FROM cfeat
 UNION ALL
 SELECT 'tenure_days', ROUND(corr(CAST(COALESCE(tenure_days, 0) AS DOUBLE), CAST(lifetime_spend AS DOUBLE)), 6), CAST(COUNT(*) AS BIGINT) FROM cfeat""")
-    q["t12_weekend_groups"] = W(f"""
-SELECT is_weekend, CAST(COUNT(*) AS BIGINT) AS n, {R('SUM(amount)', 'COUNT(*)', 6)} AS mean,
-       {R('COUNT(*) * SUM(amount * amount) - SUM(amount) * SUM(amount)', 'COUNT(*) * (COUNT(*) - 1)', 6)} AS var
-FROM {succ} GROUP BY 1""")
-    q["t13_mann_whitney_stat"] = W(f"""
+    # Sums of cents around the whole-cent mean of each group.
+    weekend = f"""
+wk AS (SELECT is_weekend, CAST(COUNT(*) AS DOUBLE) AS n, SUM(CAST(amount * 100 AS HUGEINT)) AS sx,
+              SUM(CAST(amount * 100 AS HUGEINT)) // COUNT(*) AS c FROM {succ} GROUP BY 1),
+wd AS (SELECT wk.is_weekend, n, sx, SUM(CAST(amount * 100 AS HUGEINT) - c) AS sd, SUM((CAST(amount * 100 AS HUGEINT) - c) * (CAST(amount * 100 AS HUGEINT) - c)) AS sdd
+       FROM {succ} AS f JOIN wk ON wk.is_weekend = f.is_weekend GROUP BY ALL),
+wm AS (SELECT is_weekend, n, CAST(sx AS DOUBLE) / 100 / n AS mean,
+              (CAST(sdd AS DOUBLE) - CAST(sd AS DOUBLE) * CAST(sd AS DOUBLE) / n) / (n - 1) / 10000 AS var FROM wd),
+welch AS (SELECT (a.mean - b.mean) / sqrt(a.var / a.n + b.var / b.n) AS t,
+                 (a.var / a.n + b.var / b.n) * (a.var / a.n + b.var / b.n)
+                 / (a.var / a.n * (a.var / a.n) / (a.n - 1) + b.var / b.n * (b.var / b.n) / (b.n - 1)) AS df,
+                 (a.mean - b.mean) / sqrt((a.var + b.var) / 2) AS cohens_d
+          FROM wm a, wm b WHERE a.is_weekend = 1 AND b.is_weekend = 0)"""
+    q["t12_weekend_groups"] = W("SELECT is_weekend, CAST(n AS BIGINT) AS n, ROUND(mean, 6) AS mean, ROUND(var, 6) AS var FROM wm", weekend)
+    q["t12_welch_stat"] = W("SELECT ROUND(t, 6) AS t, ROUND(df, 4) AS df, ROUND(cohens_d, 6) AS cohens_d FROM welch", weekend)
+    mw = f"""
 SELECT CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, ROUND(r1 - n1 * (n1 + 1) / 2.0, 6) AS u_statistic,
        ROUND(sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))), 6) AS sigma
 FROM (SELECT SUM(c1 * (cum - (t - 1) / 2.0)) AS r1, CAST(SUM(c1) AS DOUBLE) AS n1, CAST(SUM(c2) AS DOUBLE) AS n2,
@@ -569,13 +584,15 @@ FROM (SELECT SUM(c1 * (cum - (t - 1) / 2.0)) AS r1, CAST(SUM(c1) AS DOUBLE) AS n
       FROM (SELECT c1, c2, t, SUM(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
             FROM (SELECT amount AS v, COUNT(*) FILTER (WHERE is_weekend = 1) AS c1,
                          COUNT(*) FILTER (WHERE is_weekend = 0) AS c2, COUNT(*) AS t
-                  FROM {succ} GROUP BY amount)))""")
-    q["t15_anova_stat"] = W(f"""
+                  FROM {succ} GROUP BY amount)))"""
+    q["t13_mann_whitney_stat"] = W(mw)
+    anova = f"""
 SELECT CAST(k AS BIGINT) AS groups, CAST(k - 1 AS BIGINT) AS df_between, CAST(nn - k AS BIGINT) AS df_within,
        ROUND(((s2n - sx * sx / nn) / (k - 1)) / (ssw / (nn - k)), 4) AS f_statistic
 FROM (SELECT SUM(n) AS nn, SUM(sx) AS sx, COUNT(*) AS k, SUM(sx * sx / n) AS s2n,
              SUM(COALESCE(v, 0.0) * (n - 1)) AS ssw
-      FROM (SELECT merchant_category, COUNT(*) AS n, SUM({xd}) AS sx, var_samp({xd}) AS v FROM {succ} GROUP BY 1))""")
+      FROM (SELECT merchant_category, COUNT(*) AS n, SUM({xd}) AS sx, var_samp({xd}) AS v FROM {succ} GROUP BY 1))"""
+    q["t15_anova_stat"] = W(anova)
     q["t16_category_ticket_stats"] = W(f"""
 SELECT merchant_category, CAST(COUNT(*) AS BIGINT) AS n, {R('SUM(amount)', 'COUNT(*)', 0)} AS mean_ticket,
        ROUND(quantile_cont({xd}, 0.25), 6) AS q1, ROUND(quantile_cont({xd}, 0.5), 6) AS median,
@@ -587,22 +604,23 @@ FROM {succ} GROUP BY 1""")
         "SELECT bank_type, " + ", ".join(
             f"CAST(COUNT(*) FILTER (WHERE status = '{s}') AS BIGINT) AS \"{s}\"" for s in sts)
         + " FROM tfeat WHERE bank_type IS NOT NULL GROUP BY 1")
-    def chi(row: str, col: str, src: str = "tfeat") -> str:
+    def chi(row: str, col: str, tag: str = "") -> str:
+        """CTEs down to chi<tag>(chi2, dof, n, kr, kc) of a contingency table."""
         return f"""
-lt AS (SELECT CAST({row} AS VARCHAR) AS r, CAST({col} AS VARCHAR) AS c, COUNT(*) AS o FROM {src}
+lt{tag} AS (SELECT CAST({row} AS VARCHAR) AS r, CAST({col} AS VARCHAR) AS c, COUNT(*) AS o FROM tfeat
        WHERE {row} IS NOT NULL AND {col} IS NOT NULL GROUP BY 1, 2),
-rt AS (SELECT r, SUM(o) AS rt FROM lt GROUP BY r),
-ct AS (SELECT c, SUM(o) AS ct FROM lt GROUP BY c),
-nn AS (SELECT SUM(o) AS n FROM lt),
-cells AS (SELECT CAST(lt.o AS DOUBLE) AS o, CAST(rt.rt AS DOUBLE) * CAST(ct.ct AS DOUBLE) / CAST((SELECT n FROM nn) AS DOUBLE) AS e
-          FROM lt JOIN rt ON rt.r = lt.r JOIN ct ON ct.c = lt.c),
-st AS (SELECT (SELECT COUNT(*) FROM rt) AS kr, (SELECT COUNT(*) FROM ct) AS kc, (SELECT n FROM nn) AS n,
-              (SELECT SUM(o * o / e) FROM cells) AS s, (SELECT MAX(abs(o - e)) FROM cells) AS d,
-              (SELECT SUM(1.0 / rt) FROM rt) AS ir, (SELECT SUM(1.0 / ct) FROM ct) AS ic),
-chi AS (SELECT CASE WHEN (kr - 1) * (kc - 1) = 1
+rt{tag} AS (SELECT r, SUM(o) AS total FROM lt{tag} GROUP BY r),
+ct{tag} AS (SELECT c, SUM(o) AS total FROM lt{tag} GROUP BY c),
+nn{tag} AS (SELECT SUM(o) AS n FROM lt{tag}),
+cells{tag} AS (SELECT CAST(l.o AS DOUBLE) AS o, CAST(a.total AS DOUBLE) * CAST(b.total AS DOUBLE) / CAST((SELECT n FROM nn{tag}) AS DOUBLE) AS e
+          FROM lt{tag} l JOIN rt{tag} a ON a.r = l.r JOIN ct{tag} b ON b.c = l.c),
+st{tag} AS (SELECT (SELECT COUNT(*) FROM rt{tag}) AS kr, (SELECT COUNT(*) FROM ct{tag}) AS kc, (SELECT n FROM nn{tag}) AS n,
+              (SELECT SUM(o * o / e) FROM cells{tag}) AS s, (SELECT MAX(abs(o - e)) FROM cells{tag}) AS d,
+              (SELECT SUM(1.0 / total) FROM rt{tag}) AS ir, (SELECT SUM(1.0 / total) FROM ct{tag}) AS ic),
+chi{tag} AS (SELECT CASE WHEN (kr - 1) * (kc - 1) = 1
                     THEN GREATEST(d - 0.5, 0.0) * GREATEST(d - 0.5, 0.0) * CAST(n AS DOUBLE) * ir * ic
                     ELSE s - CAST(n AS DOUBLE) END AS chi2,
-               CAST((kr - 1) * (kc - 1) AS BIGINT) AS dof, CAST(n AS BIGINT) AS n, kr, kc FROM st)"""
+               CAST((kr - 1) * (kc - 1) AS BIGINT) AS dof, CAST(n AS BIGINT) AS n, kr, kc FROM st{tag})"""
     q["t18_chi_square_stat"] = W("""
 SELECT ROUND(chi2, 6) AS chi2, dof, n, ROUND(sqrt(chi2 / (n * (LEAST(kr, kc) - 1))), 6) AS cramers_v FROM chi""",
                                  chi("bank_type", "status"))
@@ -614,6 +632,31 @@ SELECT os_name, CAST(COUNT(*) FILTER (WHERE is_failed = 0) AS BIGINT) AS failed_
        {R('COUNT(*) FILTER (WHERE is_failed = 1)', 'COUNT(*)', 2, 100)} AS failure_rate_pct
 FROM tfeat WHERE os_name IS NOT NULL GROUP BY 1""")
     q["t20_os_chi_square_stat"] = W("SELECT ROUND(chi2, 6) AS chi2, dof, n FROM chi", chi("os_name", "is_failed"))
+    # Fixed critical values at 5 %: normal 1.959963984540054, with the first terms of its expansion for t;
+    # chi-square 9.487729 (4) and 3.841459 (1); the F limit from chi-square / df for the categories at hand.
+    t_star = "1.959963984540054 + (POWER(1.959963984540054, 3) + 1.959963984540054) / (4.0 * {df})"
+    q["t8_mean_ci"] = W(f"""
+SELECT n, mean, ROUND(sd, 6) AS std, ROUND(sem, 6) AS sem, ROUND(mean - tq * sem, 4) AS ci_low, ROUND(mean + tq * sem, 4) AS ci_high
+FROM (SELECT *, {t_star.format(df='(n - 1)')} + (5 * POWER(1.959963984540054, 5) + 16 * POWER(1.959963984540054, 3) + 3 * 1.959963984540054) / (96.0 * (n - 1) * (n - 1)) AS tq
+      FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n, {R('SUM(amount)', 'COUNT(*)', 6)} AS mean, stddev_samp({xd}) AS sd, stddev_samp({xd}) / sqrt(COUNT(*)) AS sem FROM {succ}))""")
+    both = weekend + ",\n" + chi("bank_type", "status").strip() + ",\n" + chi("os_name", "is_failed", "_os").strip()
+    q["t21_decisions"] = W(f"""
+SELECT 'welch' AS test, abs(t) > {t_star.format(df='df')} AS reject_h0 FROM welch
+UNION ALL SELECT 'mann_whitney', (GREATEST(u_statistic, CAST(n1 AS DOUBLE) * n2 - u_statistic) - CAST(n1 AS DOUBLE) * n2 / 2.0 - 0.5) / sigma > 1.959963984540054 FROM ({mw})
+UNION ALL SELECT 'anova', f_statistic > CASE df_between WHEN 4 THEN 2.3719 WHEN 5 THEN 2.2141 ELSE NULL END FROM ({anova})
+UNION ALL SELECT 'bank_type_chi_square', chi2 > CASE dof WHEN 2 THEN 5.991465 WHEN 4 THEN 9.487729 WHEN 6 THEN 12.591587 WHEN 8 THEN 15.507313 ELSE NULL END FROM chi
+UNION ALL SELECT 'os_chi_square', chi2 > CASE dof WHEN 1 THEN 3.841459 WHEN 2 THEN 5.991465 ELSE NULL END FROM chi_os
+UNION ALL SELECT 'pearson_' || x, abs(r) * sqrt((n - 2) / (1 - r * r)) > {t_star.format(df='(n - 2)')}
+FROM (SELECT 'n_txns' AS x, corr(CAST(n_txns AS DOUBLE), CAST(lifetime_spend AS DOUBLE)) AS r, COUNT(*) AS n FROM cfeat
+      UNION ALL SELECT 'tenure_days', corr(CAST(COALESCE(tenure_days, 0) AS DOUBLE), CAST(lifetime_spend AS DOUBLE)), COUNT(*) FROM cfeat)""",
+                           both)
+    q["f9_success_amount"] = W("SELECT transaction_id, CAST(amount * is_success AS DOUBLE) AS success_amount FROM tfeat")
+    q["x5_sorted_labels"] = with_adapter("""
+SELECT 'weekday' AS label_kind, strftime(txn_date, '%a') AS label, CAST(dayofweek(txn_date) AS INTEGER) AS sort_by, CAST(COUNT(*) AS BIGINT) AS txns FROM enr_a GROUP BY ALL
+UNION ALL SELECT 'month', strftime(txn_date, '%b'), CAST(month(txn_date) AS INTEGER), CAST(COUNT(*) AS BIGINT) FROM enr_a GROUP BY ALL""")
+    q["x1b_month_mode_state"] = with_adapter(f"""
+SELECT payment_mode, CAST(COUNT(*) AS BIGINT) AS total_transactions, CAST(SUM(CASE WHEN status = 'SUCCESS' THEN amount END) AS DOUBLE) AS gpv
+FROM enr_a WHERE month(txn_date) IN ({', '.join(map(str, slicers_b['txn_month']))}) AND year(txn_date) = {slicers_b['txn_year']} GROUP BY 1""")
     # ---------------- cashback
     q["b3_cashback_table"] = W("SELECT * REPLACE (CAST(cashback_amount AS DOUBLE) AS cashback_amount) FROM cashback")
     q["b4_cashback_summary"] = W("""

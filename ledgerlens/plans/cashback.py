@@ -18,7 +18,6 @@ from ledgerlens.plans.quality import clean_transactions
 from ledgerlens.sources import schemas as S
 
 HASH_BUCKETS = 10_000
-MAX_PROVEN_CAMPAIGNS = 10_000
 
 
 def selection_hash(transaction_id: str = "transaction_id", campaign_id: str = "campaign_id"):
@@ -38,7 +37,7 @@ def eligible(txn: DataFrame, merchants: DataFrame | None, campaigns: DataFrame)
     else:
         tx = txn.where(X.is_success()).select("transaction_id", "merchant_id", "amount", "txn_timestamp")
         tx = tx.join(merchants.select("merchant_id", "category"), "merchant_id")
-    c = F.broadcast(campaigns.select("campaign_id", "target_category", "start_date", "end_date",
+    c = (campaigns.select("campaign_id", "target_category", "start_date", "end_date",
                                      "cashback_rate", "max_cashback", "attach_rate"))
     cond = ((tx.category == c.target_category)
             & (tx.txn_timestamp >= c.start_date.cast("timestamp_ntz"))
@@ -77,7 +76,7 @@ def cashback_summary(cb: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Per campaign and month: rows and cashback total."""
     g = cb.groupBy("campaign_id", F.date_format("cashback_date", "yyyy-MM").alias("cashback_month")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("cashback_amount").alias("amt"))
-    names = F.broadcast(campaigns.select("campaign_id", "campaign_name"))
+    names = campaigns.select("campaign_id", "campaign_name")
     return g.join(names, "campaign_id", "left").select(
         "campaign_id", "campaign_name", "cashback_month",
         F.col("n").cast("bigint").alias("cashbacks"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
-from ledgerlens.operators.ranking import ROWS_PER_BUCKET, Key, global_rank, materialize, ntile_from_rank
+from ledgerlens.operators.ranking import Key, materialize, ntile_from_rank, tile_scores
 
 
 def newest_date(txn: DataFrame) -> Column:
@@ -48,30 +48,25 @@ def repeat_rate(txn: DataFrame) -> DataFrame:
     )
 
 
-def rfm_scores_ntile(e: DataFrame, as_of: Column, buckets: int = 5,
-                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def rfm_scores_ntile(e: DataFrame, as_of: Column, buckets: int = 5) -> DataFrame:
     """Per-customer recency / frequency / monetary with NTILE scores (ties by customer id)."""
     cust = e.groupBy("customer_id").agg(
         F.max("txn_date").alias("last_txn"),
         F.count(F.lit(1)).alias("frequency"),
         X.sum_success("amount").alias("monetary"),
     ).withColumn("recency_days", F.datediff(as_of, F.col("last_txn")).cast("bigint"))
-    scored = materialize(cust)
-    n = scored.count()
-    for name, key in (("r_score", Key("recency_days", ascending=False)),
-                      ("f_score", Key("frequency")),
-                      ("m_score", Key("monetary", nulls_first=True))):
-        ranked = global_rank(scored, [key, Key("customer_id")], rows_per_bucket=rows_per_bucket,
-                             checkpoint=False, n=n)
-        scored = ranked.withColumn(name, ntile_from_rank(F.col("__rn"), F.col("__n"), buckets)) \
-            .drop("__rn", "__n")
-    return scored
-
-
-def rfm_segments(e: DataFrame, as_of: Column, buckets: int = 5,
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    def tile(rank, n):
+        return ntile_from_rank(rank, n, buckets)
+    return tile_scores(materialize(cust), {
+        "r_score": ([Key("recency_days", ascending=False), Key("customer_id")], tile),
+        "f_score": ([Key("frequency"), Key("customer_id")], tile),
+        "m_score": ([Key("monetary", nulls_first=True), Key("customer_id")], tile),
+    })
+
+
+def rfm_segments(e: DataFrame, as_of: Column, buckets: int = 5) -> DataFrame:
     """Q2.3: RFM segments with NTILE(5) scores; counts and averages per segment."""
-    scored = rfm_scores_ntile(e, as_of, buckets, rows_per_bucket)
+    scored = rfm_scores_ntile(e, as_of, buckets)
     g = scored.groupBy(X.rfm_segment().alias("segment")).agg(
         F.count(F.lit(1)).alias("customers"),
         F.sum("recency_days").alias("sr"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
-from ledgerlens.operators.ranking import ROWS_PER_BUCKET, sql_rank
+from ledgerlens.operators.ranking import sql_rank
 
 
 def status_breakdown(e: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def status_breakdown(e: DataFrame) -> DataFrame:
         .orderBy(F.col("txns").desc(), "status")
 
 
-def bank_failure_rank(e: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def bank_failure_rank(e: DataFrame) -> DataFrame:
     """Q5.2: failure rate per bank with RANK worst-first over all banks (G1 RANK)."""
     g = e.groupBy("bank_id").agg(
         F.min("bank_name").alias("bank_name"),
@@ -27,7 +27,7 @@ def bank_failure_rank(e: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> D
         F.count(F.lit(1)).alias("n"),
         X.count_failed().alias("failed"))
     g = g.withColumn("ratio", F.col("failed").cast("double") / F.col("n").cast("double"))
-    ranked = sql_rank(g, "ratio", ascending=False, out="worst_rank", rows_per_bucket=rows_per_bucket)
+    ranked = sql_rank(g, "ratio", ascending=False, out="worst_rank")
     return ranked.select(
         "bank_name", "bank_type",
         F.col("n").cast("bigint").alias("txns"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
-from ledgerlens.operators.ranking import ROWS_PER_BUCKET, Key, global_rank, materialize, qcut_from_rank
+from ledgerlens.operators.ranking import Key, materialize, qcut_from_rank, quantiles, tile_scores
 
 TXN_FEATURE_COLUMNS = (
     "transaction_id", "customer_id", "merchant_id", "bank_id", "device_id", "amount", "status",
@@ -33,16 +33,21 @@ CUSTOMER_FEATURE_COLUMNS = (
 )
 
 
-def exact_percentile(df: DataFrame, col: str, p: float) -> Column:
-    """Linear-interpolation quantile of ``col`` as a scalar subquery (pandas .quantile)."""
-    return df.agg(F.percentile(F.col(col).cast("double"), p)).scalar()
+def percentile(df: DataFrame, col: str, p: float, approximate: bool = False) -> Column:
+    """Quantile of ``col`` as a scalar subquery: linear interpolation (pandas .quantile) or Spark's sketch."""
+    if approximate:
+        return df.agg(F.percentile_approx(F.col(col).cast("double"), p, 100_000)).scalar()
+    return quantiles(df, F.col(col), [p]).agg(F.max(F.col("q")[0])).scalar()
 
 
 def engineer_transaction_features(frame: DataFrame, hv_quantile: float = X.HIGH_VALUE_QUANTILE,
-                                  band_edges=X.PANDAS_BAND_EDGES) -> DataFrame:
-    """F1-F9 on the analysis frame (V3); returns the 39 columns of F10."""
+                                  band_edges=X.PANDAS_BAND_EDGES, approximate: bool = False) -> DataFrame:
+    """F1-F8 on the analysis frame (V3); returns the 39 columns of F10.
+
+    ``approximate`` takes the high-value limit (F6) from Spark's quantile sketch.
+    """
     dt = F.col("txn_dt")
-    p90 = exact_percentile(frame, "amount", hv_quantile)
+    p90 = percentile(frame, "amount", hv_quantile, approximate)
     out = frame.withColumns({
         "txn_hour": F.hour(dt),
         "txn_day": F.dayofmonth(dt),
@@ -74,8 +79,7 @@ def success_amount(txn_feat: DataFrame) -> DataFrame:
 
 
 def engineer_customer_features(txn_feat: DataFrame, customers: DataFrame,
-                               inactive_days: int = X.INACTIVE_DAYS, bins: int = 5,
-                               rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                               inactive_days: int = X.INACTIVE_DAYS, bins: int = 5) -> DataFrame:
     """One row per transacting customer (25 columns)."""
     data_max = txn_feat.agg(F.max("txn_dt")).scalar()
     succ_amt = F.when(F.col("is_success") == 1, F.col("amount_cents"))
@@ -105,8 +109,8 @@ def engineer_customer_features(txn_feat: DataFrame, customers: DataFrame,
         F.coalesce(F.try_divide(F.col("__spend").cast("double"), F.col("__nspend").cast("double")),
                    F.lit(0.0)).alias("avg_ticket"),
         "revenue_contributed",
-        X.round_ratio(F.col("n_success"), F.col("n_txns"), 4).alias("success_rate"),
-        X.round_ratio(F.col("high_value_txns"), F.col("n_txns"), 4).alias("high_value_share"),
+        X.round_ratio_even(F.col("n_success"), F.col("n_txns"), 4).alias("success_rate"),
+        X.round_ratio_even(F.col("high_value_txns"), F.col("n_txns"), 4).alias("high_value_share"),
         X.whole_days_between(F.col("last_txn"), data_max).alias("recency_days"),
         X.whole_days_between(F.col("first_txn"), F.col("last_txn")).alias("active_lifespan_days"),
         F.when(X.whole_days_between(F.col("last_txn"), data_max) > inactive_days, 1).otherwise(0)
@@ -115,14 +119,12 @@ def engineer_customer_features(txn_feat: DataFrame, customers: DataFrame,
         X.whole_days_between(F.col("registration_date").cast("timestamp_ntz"), data_max).alias("tenure_days"),
         "age", "gender", "state",
     )
-    # One reliable checkpoint and one count serve all three rankings.
-    scored = materialize(feats)
-    n = scored.count()
-    for name, col, reverse in (("r_score", "recency_days", True), ("f_score", "n_txns", False),
-                               ("m_score", "lifetime_spend", False)):
-        ranked = global_rank(scored, [Key(col), Key("customer_id")], rows_per_bucket=rows_per_bucket,
-                             checkpoint=False, n=n)
-        b = qcut_from_rank(F.col("__rn"), F.col("__n"), bins)
-        scored = ranked.withColumn(name, (F.lit(bins + 1) - b if reverse else b).cast("int")) \
-            .drop("__rn", "__n")
+    def tile(rank, n):
+        return qcut_from_rank(rank, n, bins)
+    scored = tile_scores(materialize(feats), {
+        "r_score": ([Key("recency_days"), Key("customer_id")], tile),
+        "f_score": ([Key("n_txns"), Key("customer_id")], tile),
+        "m_score": ([Key("lifetime_spend"), Key("customer_id")], tile),
+    })
+    scored = scored.withColumn("r_score", (F.lit(bins + 1) - F.col("r_score")).cast("int"))
     return scored.withColumn("segment", X.rfm_segment()).select(*CUSTOMER_FEATURE_COLUMNS)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
-from ledgerlens.operators.ranking import ROWS_PER_BUCKET, sql_rank
+from ledgerlens.operators.ranking import sql_rank
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,7 @@ FACT_MEASURES: tuple[Measure, ...] = (
             lambda: X.round_ratio(X.money_sum(_succ_amount()), F.count_distinct("customer_id"), 4)),      # M24
     Measure("failed_gpv", lambda: X.money_sum(F.when(X.is_failed(), F.col("amount_cents"))).cast("double")),   # M31
     Measure("est_revenue_lost",
-            lambda: F.sum(F.when(X.is_failed(), F.col("amount").cast(X.TICKET) * F.col("commission_rate"))).cast("double")),  # M32
+            lambda: F.sum(F.when(X.is_failed(), F.col("amount").cast("decimal(18,2)") * F.col("commission_rate"))).cast("double")),  # M32
     Measure("txns_per_merchant", lambda: _div0(_cnt(), F.count_distinct("merchant_id"), 4)),        # M37
     Measure("merchants_with_success",
             lambda: F.count_distinct(F.when(F.col("is_success") == 1, F.col("merchant_id"))).cast("bigint")),  # M39
@@ -99,10 +99,23 @@ MEASURES = {m.name: m for m in FACT_MEASURES + CUSTOMER_MEASURES}
 def apply_slicers(df: DataFrame, slicers: Mapping[str, object] | None) -> DataFrame:
     """Conjunctive filters from {column: value or list of values}; pushed to the scan."""
     for col, val in (slicers or {}).items():
-        if isinstance(val, (list, tuple, set, frozenset)):
-            df = df.where(F.col(col).isin(*sorted(val)))
-        else:
-            df = df.where(F.col(col) == F.lit(val))
+        many = list(val) if isinstance(val, (list, tuple, set, frozenset)) else [val]
+        if not many:
+            continue  # nothing selected: everything
+        known = [v for v in many if v is not None]
+        hit = F.col(col).isin(*known) if known else F.lit(False)
+        df = df.where(hit if len(known) == len(many) else F.coalesce(hit, F.lit(False)) | F.col(col).isNull())
+        if col == "txn_year" and known and len(known) == len(many) and "txn_year_month" in df.columns:
+            df = df.where(F.substring("txn_year_month", 1, 4).isin(*[str(v) for v in known]))  # prunes month folders
+    return df
+
+
+def months_of(df: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """Months from one date to another, on the column that the stored fact is partitioned by."""
+    if "txn_year_month" in df.columns:
+        for bound, keep in ((start, F.col("txn_year_month").__ge__), (end, F.col("txn_year_month").__le__)):
+            if bound is not None:
+                df = df.where(keep(F.date_format(bound, "yyyy-MM")))
     return df
 
 
@@ -164,7 +177,8 @@ def year_to_date(e: DataFrame) -> DataFrame:
 
 def cumulative_revenue_in_range(e: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Running revenue by date inside the selected date range."""
-    f = e
+    as_date = lambda x: F.lit(x).cast("date") if x else None
+    f = months_of(e, as_date(start), as_date(end))
     if start:
         f = f.where(F.col("txn_date") >= F.lit(start).cast("date"))
     if end:
@@ -193,11 +207,10 @@ def new_customers_by_date(calendar: DataFrame, customers: DataFrame) -> DataFram
         .select("date", F.coalesce("n", F.lit(0)).cast("bigint").alias("new_customers")).orderBy("date")
 
 
-def merchant_revenue_rank(e: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def merchant_revenue_rank(e: DataFrame) -> DataFrame:
     """RANK of each merchant's revenue over ALL merchants (G1, no single partition)."""
     per = e.groupBy("merchant_id").agg(X.money_sum("revenue_cents").alias("revenue"))
-    ranked = sql_rank(per, "revenue", ascending=False, out="merchant_revenue_rank",
-                      rows_per_bucket=rows_per_bucket)
+    ranked = sql_rank(per, "revenue", ascending=False, out="merchant_revenue_rank")
     return ranked.select("merchant_id", F.col("revenue").cast("double"), "merchant_revenue_rank")
 
 
@@ -223,7 +236,7 @@ def most_common_failure_reason(e: DataFrame) -> DataFrame:
 
 def active_customers_last_days(e: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
     """Distinct customers with a transaction on or after as_of - days."""
-    f = e.where(F.col("txn_date") >= F.date_sub(as_of, days))
+    f = months_of(e, F.date_sub(as_of, days)).where(F.col("txn_date") >= F.date_sub(as_of, days))
     return f.agg(F.count_distinct("customer_id").cast("bigint").alias(f"active_customers_{days}d"))
 
 
@@ -260,3 +273,14 @@ def star(t) -> DataFrame:
     """The fact left-joined to its four dimensions (the BI model's relationships)."""
     from ledgerlens.plans.views import analysis_frame
     return analysis_frame(t)
+
+
+def sorted_labels(e: DataFrame) -> DataFrame:
+    """Transactions by weekday name and by month name, each with its sort-by column (label_kind, label, sort_by, txns)."""
+    def count(kind: str, label: Column, order: Column) -> DataFrame:
+        return e.groupBy(label.alias("label"), order.cast("int").alias("sort_by")).agg(F.count(F.lit(1)).cast("bigint").alias("txns")) \
+            .select(F.lit(kind).alias("label_kind"), "label", "sort_by", "txns")
+
+    days = count("weekday", X.sql_day_name(), F.col("txn_dow"))
+    months = count("month", F.date_format("txn_date", "MMM"), F.col("txn_month"))
+    return days.unionByName(months).orderBy("label_kind", "sort_by")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from decimal import Decimal
 
 from ledgerlens.functions import exprs as X
-from ledgerlens.operators.ranking import ROWS_PER_BUCKET, Key, global_rank
+from ledgerlens.operators.ranking import Key, global_rank
 
 
 def _per_merchant(e: DataFrame) -> DataFrame:
@@ -81,11 +81,11 @@ def top_merchant_per_category(e: DataFrame, k: int = 1) -> DataFrame:
     return out.orderBy(F.col("revenue").desc(), "merchant_category")
 
 
-def pareto(e: DataFrame, share: float = 0.80, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def pareto(e: DataFrame, share: float = 0.80) -> DataFrame:
     """Q3.4: how many merchants (ranked by revenue) reach ``share`` of all revenue."""
     merch = e.groupBy("merchant_id").agg(X.money_sum("revenue_cents").alias("revenue"))
     ranked = global_rank(merch, [Key("revenue", ascending=False), Key("merchant_id")],
-                         sum_cols=["revenue"], rows_per_bucket=rows_per_bucket)
+                         sum_cols=["revenue"])
     total = ranked.agg(F.sum("revenue")).scalar()
     hit = ranked.where(F.col("__cum_revenue") >= F.lit(Decimal(str(share))) * total)
     g = hit.agg(F.min("__rn").alias("k"), F.max("__n").alias("n_all"))

@@ -53,9 +53,7 @@ def _dtype(df: DataFrame, col: str) -> T.DataType:
 def data_quality_report(txn: DataFrame) -> DataFrame:
     """The ten audit checks as (check, value) rows.
 
-    Two passes over the raw fact: the row-level checks ride along the
-    per-id grouping (map-side partial aggregation, so a hot id costs one
-    buffer per task), and full-row duplicates are a second grouping.
+    One pass over the raw fact and one shuffle, on the id.
     """
     ts = parsed_timestamp("txn_timestamp", _dtype(txn, "txn_timestamp"))
     amount = F.col("amount") if not isinstance(_dtype(txn, "amount"), T.StringType) \
@@ -71,16 +69,19 @@ def data_quality_report(txn: DataFrame) -> DataFrame:
         "reason_without_failure": (~F.coalesce(status == "FAILED", F.lit(False))) & reason.isNotNull(),
         "failure_without_reason": (status == "FAILED") & reason.isNull(),
     }
-    per_id = txn.groupBy("transaction_id").agg(
-        F.count(F.lit(1)).alias("__n"), *[F.count_if(c).alias(k) for k, c in flags.items()])
+    # One exchange on the id serves both groupings: equal rows first (they share the id), then ids.
+    rows = txn.select(*txn.columns, *[F.coalesce(c, F.lit(False)).alias(f"__{k}") for k, c in flags.items()]).repartition("transaction_id")
+    distinct = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__n"))
     # duplicated() counts every occurrence after the first: sum(n - 1) per key.
-    dup_rows = txn.groupBy(*txn.columns).count() \
-        .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("full_duplicate_rows"))
+    per_id = distinct.groupBy("transaction_id").agg(
+        F.sum("__n").alias("__n"), F.sum(F.col("__n") - 1).alias("__again"),
+        *[F.sum(F.when(F.col(f"__{k}"), F.col("__n")).otherwise(0)).alias(k) for k in flags])
     one = per_id.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_txn_ids"),
+        F.coalesce(F.sum("__again"), F.lit(0)).alias("full_duplicate_rows"),
         *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in flags],
-    ).withColumn("full_duplicate_rows", dup_rows.select("full_duplicate_rows").scalar())
+    )
     stack = ", ".join(f"'{c}', cast(`{c}` as bigint)" for c in AUDIT_CHECKS)
     return one.select(F.expr(f"stack({len(AUDIT_CHECKS)}, {stack}) as (check, value)"))
 
@@ -102,9 +103,9 @@ def _first_per_key(txn: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """One row per key: the first row under a total order, plus the key's row count."""
     others = [c for c in txn.columns if c != key]
     order_cols = [c for c in order if c in others] + [c for c in others if c not in order]
-    rank_key = F.struct(*[F.col(c) for c in order_cols])
-    row = F.struct(*[F.col(c) for c in others])
-    return (txn.groupBy(key).agg(F.min_by(row, rank_key).alias("__r"), F.count(F.lit(1)).alias("__copies"))
+    # One struct is both the row and its order.
+    first = F.min(F.struct(*order_cols)).alias("__r")
+    return (txn.groupBy(key).agg(first, F.count(F.lit(1)).alias("__copies"))
             .select(key, *[F.col(f"__r.{c}").alias(c) for c in others], "__copies"))
 
 
@@ -112,8 +113,8 @@ def dedupe_first(txn: DataFrame, key: str = "transaction_id",
                  order: Sequence[str] = DEFAULT_FIRST_ORDER) -> DataFrame:
     """Keep the first row per key under a total order (order columns, then all others).
 
-    ``min_by`` is an aggregate with a map-side partial step, so a hot key
-    never lands whole in one task.
+    ``min`` of a struct is an aggregate with a map-side partial step, so a hot
+    key never lands whole in one task.
     """
     return _first_per_key(txn, key, order).select(*txn.columns)
 
@@ -153,7 +154,7 @@ def cleaning_actions(txn: DataFrame, order: Sequence[str] = DEFAULT_FIRST_ORDER)
     steps = txn.sparkSession.createDataFrame(
         [(s, i) for i, s in enumerate(CLEAN_STEPS)], "action string, step int")
     counts = dups.unionByName(by_rule)
-    return (F.broadcast(steps).join(counts, "action", "left")
+    return (steps.join(counts, "action", "left")
             .select("step", "action", F.coalesce("n", F.lit(0)).cast("bigint").alias("rows_dropped")))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
+from ledgerlens.plans.measures import months_of
 
 
 def state_scorecard(e: DataFrame) -> DataFrame:
@@ -85,7 +86,7 @@ def state_success_rates(e: DataFrame, min_txns: int = 1000) -> DataFrame:
 
 def city_segmentation(e: DataFrame, customers: DataFrame, since: str = "2025-01-01") -> DataFrame:
     """R2: customers, transactions, spend and average per customer city since a date."""
-    f = e.where(F.col("txn_date") >= F.lit(since).cast("date")).select("customer_id", "amount_cents")
+    f = months_of(e, F.lit(since).cast("date")).where(F.col("txn_date") >= F.lit(since).cast("date")).select("customer_id", "amount_cents")
     per = f.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), X.money_sum("amount_cents").alias("amt"))
     j = per.join(customers.select("customer_id", "city"), "customer_id")
     g = j.groupBy("city").agg(F.count(F.lit(1)).alias("customers"), F.sum("n").alias("n"),

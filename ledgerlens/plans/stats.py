@@ -21,7 +21,7 @@ from ledgerlens.functions import dist
 from ledgerlens.functions import exprs as X
 from ledgerlens.operators.contingency import chi_square_stat, long_table, pivot_table, with_p_value
 from ledgerlens.operators.histogram import width_bucket_counts
-from ledgerlens.operators.ranking import ROWS_PER_BUCKET, Key, global_rank
+from ledgerlens.operators.ranking import Key, global_rank, quantiles
 
 ALPHA = 0.05
 STAT_DIGITS = 6
@@ -40,6 +40,11 @@ def _cnt() -> Column:
     return F.count(F.lit(1))
 
 
+def _quantiles(df: DataFrame, value: Column, probs: Sequence[float]) -> Column:
+    """Exact quantiles as an array from a scalar subquery (one row of G1's result)."""
+    return quantiles(df, value, probs).agg(F.max("q")).scalar()
+
+
 def successful_amounts(tf: DataFrame) -> DataFrame:
     return tf.where(F.col("is_success") == 1)
 
@@ -48,9 +53,8 @@ def successful_amounts(tf: DataFrame) -> DataFrame:
 def describe(df: DataFrame, col: str = "amount") -> DataFrame:
     """Count, mean, std, min, quartiles, max (pandas describe)."""
     x = F.col(col)
-    q = F.percentile(x.cast("double"), [0.25, 0.5, 0.75])
     g = df.agg(_cnt().alias("n"), F.sum(x).alias("s"), F.stddev_samp(x.cast("double")).alias("sd"),
-               F.min(x).alias("mn"), q.alias("q"), F.max(x).alias("mx"))
+               F.min(x).alias("mn"), F.max(x).alias("mx")).withColumn("q", _quantiles(df, x, [0.25, 0.5, 0.75]))
     return g.select(F.col("n").cast("bigint").alias("count"),
                     X.round_ratio(F.col("s"), F.col("n"), STAT_DIGITS).alias("mean"),
                     r6(F.col("sd")).alias("std"),
@@ -62,7 +66,7 @@ def describe(df: DataFrame, col: str = "amount") -> DataFrame:
 
 def amount_histogram_p99(tf: DataFrame, bins: int = 60) -> DataFrame:
     """Amounts clipped at p99, equal-width bins."""
-    p99 = tf.agg(F.percentile(F.col("amount").cast("double"), 0.99)).scalar()
+    p99 = _quantiles(tf, F.col("amount"), [0.99])[0]
     return width_bucket_counts(tf, F.least(F.col("amount").cast("double"), p99), bins)
 
 
@@ -150,11 +154,11 @@ def correlation_matrix(cf: DataFrame, features: Sequence[str] = N12_FEATURES,
     df = cf.select(*[F.col(c).cast("double").alias(c) for c in features])
     if dropna:
         df = df.na.drop()
-    pairs = [(a, b) for a in features for b in features]
-    row = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") if a != b else F.lit(1.0).alias(f"{a}__{b}")
-                   for a, b in pairs])
-    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
-    return row.select(F.expr(f"stack({len(pairs)}, {stack}) as (x, y, r)")).select("x", "y", r6(F.col("r")).alias("r"))
+    half = [(a, b) for i, a in enumerate(features) for b in features[i:]]
+    row = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in half])
+    cells = [(x, y, f"{a}__{b}") for a, b in half for x, y in dict.fromkeys(((a, b), (b, a)))]
+    stack = ", ".join(f"'{x}', '{y}', `{c}`" for x, y, c in cells)
+    return row.select(F.expr(f"stack({len(cells)}, {stack}) as (x, y, r)")).select("x", "y", r6(F.col("r")).alias("r"))
 
 
 def first_rows(df: DataFrame, columns: Sequence[str], order: Sequence[str], n: int = 5) -> DataFrame:
@@ -193,7 +197,7 @@ def qq_points(tf: DataFrame, points: int = 99) -> DataFrame:
         m[i - 1] = (i - 0.3175) / (points + 0.365)
     theo = [dist.norm_ppf(p) for p in m]
     s = successful_amounts(tf)
-    q = s.agg(F.percentile(F.ln(F.col("amount").cast("double")), m).alias("q"))
+    q = quantiles(s, F.ln(F.col("amount").cast("double")), m)
     spine = tf.sparkSession.createDataFrame(
         [(i + 1, float(p), float(t)) for i, (p, t) in enumerate(zip(m, theo))],
         "point int, prob double, theoretical double")
@@ -206,7 +210,7 @@ def qq_points(tf: DataFrame, points: int = 99) -> DataFrame:
 def iqr_outliers(tf: DataFrame) -> DataFrame:
     """T5: Q1, Q3, IQR fences, count and share of successful amounts outside them."""
     s = successful_amounts(tf).select(F.col("amount").cast("double").alias("x"))
-    q = s.agg(F.percentile("x", [0.25, 0.75])).scalar()
+    q = _quantiles(s, F.col("x"), [0.25, 0.75])
     q1, q3 = q[0], q[1]
     lo, hi = q1 - (q3 - q1) * 1.5, q3 + (q3 - q1) * 1.5
     g = s.agg(F.count_if((F.col("x") < lo) | (F.col("x") > hi)).alias("k"), _cnt().alias("n"))
@@ -230,9 +234,9 @@ def zscore_outliers(tf: DataFrame, threshold: float = 3.0) -> DataFrame:
 def boxplot_stats(tf: DataFrame, clip_q: float = 0.999) -> DataFrame:
     """T7 (a): box statistics of successful amounts clipped at p99.9 (Tukey whiskers)."""
     s = successful_amounts(tf).select(F.col("amount").cast("double").alias("a"))
-    cap = s.agg(F.percentile("a", clip_q)).scalar()
+    cap = _quantiles(s, F.col("a"), [clip_q])[0]
     c = s.select(F.least(F.col("a"), cap).alias("x"))
-    q = c.agg(F.percentile("x", [0.25, 0.5, 0.75])).scalar()
+    q = _quantiles(c, F.col("x"), [0.25, 0.5, 0.75])
     lo_f = q[0] - (q[2] - q[0]) * 1.5
     hi_f = q[2] + (q[2] - q[0]) * 1.5
     g = c.agg(F.min(F.when(F.col("x") >= lo_f, F.col("x"))).alias("wl"),
@@ -269,20 +273,29 @@ def _with_python(stat: DataFrame, fn, extra: str) -> DataFrame:
     return stat.mapInPandas(run, T.StructType(fields))
 
 
-def mean_ci_stat(tf: DataFrame) -> DataFrame:
-    """T8 (statistic part): n, mean, sample std, standard error of successful amounts."""
+def _rounded(df: DataFrame, /, **digits: int) -> DataFrame:
+    return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
+def _mean_ci_raw(tf: DataFrame) -> DataFrame:
     s = successful_amounts(tf)
     g = s.agg(_cnt().alias("n"), F.sum("amount").alias("sx"), F.stddev_samp(F.col("amount").cast("double")).alias("sd"))
     return g.select(F.col("n").cast("bigint").alias("n"), X.round_ratio(F.col("sx"), F.col("n"), STAT_DIGITS).alias("mean"),
-                    r6(F.col("sd")).alias("std"), r6(F.col("sd") / F.sqrt(F.col("n"))).alias("sem"))
+                    F.col("sd").alias("std"), (F.col("sd") / F.sqrt(F.col("n"))).alias("sem"))
+
+
+def mean_ci_stat(tf: DataFrame) -> DataFrame:
+    """T8 (statistic part): n, mean, sample std, standard error of successful amounts."""
+    return _rounded(_mean_ci_raw(tf), std=STAT_DIGITS, sem=STAT_DIGITS)
 
 
 def mean_ci(tf: DataFrame, level: float = 0.95) -> DataFrame:
     """T interval of the mean ticket (t quantile on the one-row frame)."""
     def fn(r):
         t = dist.t_ppf(0.5 + level / 2.0, r["n"] - 1)
-        return {"ci_low": round(r["mean"] - t * r["sem"], 4), "ci_high": round(r["mean"] + t * r["sem"], 4)}
-    return _with_python(mean_ci_stat(tf), fn, "ci_low double, ci_high double")
+        return {"ci_low": r["mean"] - t * r["sem"], "ci_high": r["mean"] + t * r["sem"]}
+    out = _with_python(_mean_ci_raw(tf), fn, "ci_low double, ci_high double")
+    return _rounded(out, std=STAT_DIGITS, sem=STAT_DIGITS, ci_low=4, ci_high=4)
 
 
 # Poisson(1) cumulative probabilities P(K <= k), k = 0..19.
@@ -339,59 +352,69 @@ def bootstrap_ci(tf: DataFrame, replicates: int = 500, seed: int = 0, level: flo
 
 def pearson_pairs_stat(cf: DataFrame) -> DataFrame:
     """T11 (statistic part): r and n for (n_txns, spend) and (tenure with null as 0, spend)."""
+    return _rounded(_pearson_raw(cf), r=STAT_DIGITS)
+
+
+def _pearson_raw(cf: DataFrame) -> DataFrame:
     d = cf.select(F.col("n_txns").cast("double").alias("a"),
                   F.coalesce(F.col("tenure_days"), F.lit(0)).cast("double").alias("b"),
                   F.col("lifetime_spend").cast("double").alias("y"))
     row = d.agg(F.corr("a", "y").alias("r1"), F.corr("b", "y").alias("r2"), _cnt().alias("n"))
-    return row.select(F.lit("n_txns").alias("x"), r6(F.col("r1")).alias("r"), F.col("n").cast("bigint").alias("n")) \
-        .unionByName(row.select(F.lit("tenure_days").alias("x"), r6(F.col("r2")).alias("r"),
-                                F.col("n").cast("bigint").alias("n")))
+    return row.select(F.explode(F.array(F.struct(F.lit("n_txns").alias("x"), F.col("r1").alias("r")), F.struct(F.lit("tenure_days").alias("x"), F.col("r2").alias("r")))).alias("p"),
+                      F.col("n").cast("bigint").alias("n")).select("p.x", "p.r", "n")
 
 
 def pearson_pairs(cf: DataFrame) -> DataFrame:
     """With the two-sided p-value."""
-    return _with_python(pearson_pairs_stat(cf), lambda r: {"p_value": dist.pearson_p(r["r"], int(r["n"]))},
-                        "p_value double")
+    return _rounded(_with_python(_pearson_raw(cf), lambda r: {"p_value": dist.pearson_p(r["r"], int(r["n"]))}, "p_value double"), r=STAT_DIGITS)
+
+
+def _weekend_moments(tf: DataFrame) -> DataFrame:
+    """is_weekend, n, mean and sample variance of successful tickets, exact but for the last divisions.
+
+    Squares are summed around the group's whole-cent mean, so the sums stay
+    far inside 38 digits (10^12 rows of 10^9) and nothing cancels.
+    """
+    s = successful_amounts(tf).select(F.col("is_weekend").cast("int").alias("is_weekend"), F.col("amount_cents").cast("decimal(18,0)").alias("x"))
+    centre = s.groupBy("is_weekend").agg(_cnt().alias("n"), F.sum("x").alias("sx")) \
+        .withColumn("c", F.call_function("div", F.col("sx"), F.col("n").cast("decimal(20,0)")).cast("decimal(18,0)"))
+    d = (F.col("x") - F.col("c")).cast("decimal(18,0)")
+    g = s.join(F.broadcast(centre), "is_weekend").groupBy("is_weekend").agg(  # two rows
+        F.max("n").alias("n"), F.max("sx").alias("sx"), F.sum(d).alias("sd"), F.sum((d * d).cast("decimal(38,0)")).alias("sdd"))
+    n = F.col("n").cast("double")
+    var = (F.col("sdd").cast("double") - F.col("sd").cast("double") * F.col("sd").cast("double") / n) / (n - 1) / 10000
+    return g.select("is_weekend", F.col("n").cast("bigint").alias("n"), F.col("sx"), (F.col("sx").cast("double") / 100 / n).alias("mean"), var.alias("var"))
 
 
 def weekend_groups(tf: DataFrame) -> DataFrame:
     """T12 (statistic part): count, mean, sample variance of successful tickets per weekend flag."""
-    s = successful_amounts(tf)
-    g = s.groupBy("is_weekend").agg(
-        _cnt().alias("n"), F.sum("amount").alias("sx"), F.sum(F.col("amount") * F.col("amount")).alias("sxx"))
-    # Sample variance from exact decimal sums: (n Σx² − (Σx)²) / (n (n − 1)).
-    num = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
-    return g.select(F.col("is_weekend").cast("int"), F.col("n").cast("bigint"),
-                    X.round_ratio(F.col("sx"), F.col("n"), STAT_DIGITS).alias("mean"),
-                    X.round_ratio(num, F.col("n") * (F.col("n") - 1), STAT_DIGITS).alias("var"))
+    return _weekend_moments(tf).select("is_weekend", "n", r6(F.col("mean")).alias("mean"), r6(F.col("var")).alias("var"))
 
 
-def welch_test(tf: DataFrame) -> DataFrame:
-    """T12 + T14 + T21: Welch t, Satterthwaite df, p, Cohen's d, decision (weekend vs weekday).
+def _welch_raw(tf: DataFrame) -> DataFrame:
+    g = _weekend_moments(tf)
+    of = lambda c, k: F.max(F.when(F.col("is_weekend") == k, F.col(c))).alias(f"{c}{2 - k}")
+    one = g.agg(*[of(c, k) for c in ("n", "mean", "var") for k in (1, 0)])
+    a, b = F.col("var1") / F.col("n1"), F.col("var2") / F.col("n2")
+    gap = F.col("mean1") - F.col("mean2")
+    return one.select((gap / F.sqrt(a + b)).alias("t"), ((a + b) * (a + b) / (a * a / (F.col("n1") - 1) + b * b / (F.col("n2") - 1))).alias("df"),
+                      (gap / F.sqrt((F.col("var1") + F.col("var2")) / 2)).alias("cohens_d"))
 
-    Both groups come from one aggregation with conditional aggregates.
-    """
-    s = successful_amounts(tf)
-    x = F.col("amount").cast("double")
-    wk = F.col("is_weekend") == 1
-    one = s.agg(F.count_if(wk).alias("n1"), F.avg(F.when(wk, x)).alias("m1"),
-                F.var_samp(F.when(wk, x)).alias("v1"),
-                F.count_if(~wk).alias("n2"), F.avg(F.when(~wk, x)).alias("m2"),
-                F.var_samp(F.when(~wk, x)).alias("v2"))
-    se2 = F.col("v1") / F.col("n1") + F.col("v2") / F.col("n2")
-    t = (F.col("m1") - F.col("m2")) / F.sqrt(se2)
-    df_ = se2 * se2 / ((F.col("v1") / F.col("n1")) ** 2 / (F.col("n1") - 1)
-                       + (F.col("v2") / F.col("n2")) ** 2 / (F.col("n2") - 1))
-    cohen = (F.col("m1") - F.col("m2")) / F.sqrt((F.col("v1") + F.col("v2")) / 2)
-    stat = one.select(r6(t).alias("t"), r6(df_).alias("df"), r6(cohen).alias("cohens_d"))
 
+def welch_stat(tf: DataFrame) -> DataFrame:
+    """T12 + T14 (statistic part): Welch t, Satterthwaite df and Cohen's d (weekend vs weekday)."""
+    return _rounded(_welch_raw(tf), t=STAT_DIGITS, df=4, cohens_d=STAT_DIGITS)
+
+
+def welch_test(tf: DataFrame) -> DataFrame:
+    """T12 + T14 + T21: with p and decision."""
     def fn(r):
         p = dist.t_two_sided_p(r["t"], r["df"])
         return {"p_value": p, "reject_h0": bool(p < ALPHA)}
-    return _with_python(stat, fn, "p_value double, reject_h0 boolean")
+    return _rounded(_with_python(_welch_raw(tf), fn, "p_value double, reject_h0 boolean"), t=STAT_DIGITS, df=4, cohens_d=STAT_DIGITS)
 
 
-def mann_whitney_stat(tf: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def mann_whitney_stat(tf: DataFrame) -> DataFrame:
     """T13 (statistic part): U of the weekend sample, on all rows, with tie correction.
 
     Rows are reduced to distinct amounts with per-group counts (a partial
@@ -404,7 +427,7 @@ def mann_whitney_stat(tf: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) ->
     wk = F.col("is_weekend") == 1
     vals = s.groupBy(x.alias("v")).agg(F.count_if(wk).alias("c1"), F.count_if(~wk).alias("c2")) \
         .withColumn("t", F.col("c1") + F.col("c2"))
-    ranked = global_rank(vals, [Key("v")], sum_cols=["t"], rows_per_bucket=rows_per_bucket)
+    ranked = global_rank(vals, [Key("v")], sum_cols=["t"])
     mid = F.col("__cum_t").cast("double") - (F.col("t").cast("double") - 1.0) / 2.0
     g = ranked.agg(F.sum(F.col("c1") * mid).alias("r1"), F.sum("c1").alias("n1"), F.sum("c2").alias("n2"),
                    F.sum(F.col("t").cast("double") ** 3 - F.col("t")).alias("ties"))
@@ -429,6 +452,10 @@ def mann_whitney(tf: DataFrame) -> DataFrame:
 
 def anova_stat(tf: DataFrame, group: str = "merchant_category") -> DataFrame:
     """T15 (statistic part): one-way ANOVA F across groups of successful amounts."""
+    return _rounded(_anova_raw(tf, group), f_statistic=4)
+
+
+def _anova_raw(tf: DataFrame, group: str) -> DataFrame:
     s = successful_amounts(tf).select(group, F.col("amount").cast("double").alias("x"))
     g = s.groupBy(group).agg(_cnt().alias("n"), F.sum("x").alias("sx"), F.var_samp("x").alias("v"))
     tot = g.agg(F.sum("n").alias("N"), F.sum("sx").alias("SX"), F.count(F.lit(1)).alias("k"),
@@ -439,7 +466,7 @@ def anova_stat(tf: DataFrame, group: str = "merchant_category") -> DataFrame:
     dfw = F.col("N") - F.col("k")
     f = (ssb / dfb) / (F.col("ssw") / dfw)
     return tot.select(F.col("k").cast("bigint").alias("groups"), dfb.cast("bigint").alias("df_between"),
-                      dfw.cast("bigint").alias("df_within"), F.round(f, 4).alias("f_statistic"))
+                      dfw.cast("bigint").alias("df_within"), f.alias("f_statistic"))
 
 
 def anova(tf: DataFrame, group: str = "merchant_category") -> DataFrame:
@@ -447,16 +474,17 @@ def anova(tf: DataFrame, group: str = "merchant_category") -> DataFrame:
     def fn(r):
         p = dist.f_sf(r["f_statistic"], r["df_between"], r["df_within"])
         return {"p_value": p, "reject_h0": bool(p < ALPHA)}
-    return _with_python(anova_stat(tf, group), fn, "p_value double, reject_h0 boolean")
+    return _rounded(_with_python(_anova_raw(tf, group), fn, "p_value double, reject_h0 boolean"), f_statistic=4)
 
 
 def category_ticket_stats(tf: DataFrame, upper_q: float = 0.95) -> DataFrame:
     """Mean ticket and box statistics per category (sorted by mean); the p95 display limit."""
     s = successful_amounts(tf).select("merchant_category", F.col("amount").cast("double").alias("x"),
                                       F.col("amount").alias("a"))
-    limit = s.agg(F.percentile("x", upper_q)).scalar()
-    g = s.groupBy("merchant_category").agg(
-        _cnt().alias("n"), F.sum("a").alias("sa"), F.percentile("x", [0.25, 0.5, 0.75]).alias("q"))
+    limit = _quantiles(s, F.col("x"), [upper_q])[0]
+    q = quantiles(s, F.col("x"), [0.25, 0.5, 0.75], by="merchant_category").withColumnRenamed("merchant_category", "of")
+    g = s.groupBy("merchant_category").agg(_cnt().alias("n"), F.sum("a").alias("sa")) \
+        .join(q, F.col("merchant_category").eqNullSafe(F.col("of")), "left")
     return g.select("merchant_category", F.col("n").cast("bigint"),
                     X.round_ratio(F.col("sa"), F.col("n"), 0).alias("mean_ticket"),
                     r6(F.col("q")[0]).alias("q1"), r6(F.col("q")[1]).alias("median"), r6(F.col("q")[2]).alias("q3"),
@@ -471,13 +499,16 @@ def bank_type_status_table(tf: DataFrame, statuses: Sequence[str] = X.VALID_STAT
 
 def bank_type_chi_square_stat(tf: DataFrame) -> DataFrame:
     """T18 (statistic part): chi-square, dof and Cramér's V of bank type x status."""
-    st = chi_square_stat(long_table(tf, "bank_type", "status"))
-    return st.select(r6(F.col("chi2")).alias("chi2"), "dof", "n", r6(F.col("cramers_v")).alias("cramers_v"))
+    return _rounded(_bank_type_raw(tf), chi2=STAT_DIGITS, cramers_v=STAT_DIGITS)
+
+
+def _bank_type_raw(tf: DataFrame) -> DataFrame:
+    return chi_square_stat(long_table(tf, "bank_type", "status")).select("chi2", "dof", "n", "cramers_v")
 
 
 def bank_type_chi_square(tf: DataFrame) -> DataFrame:
     """T18 + T21."""
-    return with_p_value(bank_type_chi_square_stat(tf), ALPHA)
+    return _rounded(with_p_value(_bank_type_raw(tf), ALPHA), chi2=STAT_DIGITS, cramers_v=STAT_DIGITS)
 
 
 def failure_rate_by_bank_type(tf: DataFrame) -> DataFrame:
@@ -499,10 +530,23 @@ def os_failure_table(tf: DataFrame) -> DataFrame:
 
 def os_chi_square_stat(tf: DataFrame) -> DataFrame:
     """T20 (b): chi-square of OS x failed with Yates' correction for the 2 x 2 table."""
-    st = chi_square_stat(long_table(tf, "os_name", "is_failed"))
-    return st.select(r6(F.col("chi2")).alias("chi2"), "dof", "n")
+    return _rounded(_os_raw(tf), chi2=STAT_DIGITS)
+
+
+def _os_raw(tf: DataFrame) -> DataFrame:
+    return chi_square_stat(long_table(tf, "os_name", "is_failed")).select("chi2", "dof", "n")
 
 
 def os_chi_square(tf: DataFrame) -> DataFrame:
     """T20 + T21."""
-    return with_p_value(os_chi_square_stat(tf), ALPHA)
+    return _rounded(with_p_value(_os_raw(tf), ALPHA), chi2=STAT_DIGITS)
+
+
+def decisions(tf: DataFrame, cf: DataFrame) -> DataFrame:
+    """The decision of every test at 5 %, from its p-value."""
+    out = None
+    for name, df in (("welch", welch_test(tf)), ("mann_whitney", mann_whitney(tf)), ("anova", anova(tf)),
+                     ("bank_type_chi_square", bank_type_chi_square(tf)), ("os_chi_square", os_chi_square(tf))):
+        row = df.select(F.lit(name).alias("test"), (F.col("p_value") < ALPHA).alias("reject_h0"))
+        out = row if out is None else out.unionByName(row)
+    return out.unionByName(pearson_pairs(cf).select(F.concat(F.lit("pearson_"), "x").alias("test"), (F.col("p_value") < ALPHA).alias("reject_h0")))

@@ -4,7 +4,7 @@ The reference builds its database and BI export once and serves every
 dashboard query from the flattened fact.  Here the same tables are written
 as parquet under the session's checkpoint folder (the shared, reliable
 location a cluster names in ``spark.checkpoint.dir``), keyed by the input
-snapshot (paths, sizes, modification times of the source files) and a
+snapshot (all source files, with size and modification time) and a
 layout version.  Queries then scan one table with month partition pruning
 instead of re-running the fact-to-dimension joins; a lost executor only
 re-reads files.  ``LEDGERLENS_STORE=0`` turns the store off (every query
@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,15 +32,16 @@ def enabled() -> bool:
     return os.environ.get("LEDGERLENS_STORE", "1") != "0"
 
 
-def _snapshot(paths: Sequence[str]) -> str:
+def _snapshot(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A name for the present state of the inputs: every file of each path, with size and time where the path is local."""
     h = hashlib.sha1(LAYOUT_VERSION.encode())
     for p in sorted(paths):
-        local = p.replace("file://", "")
-        if os.path.exists(local):
-            st = os.stat(local)
-            h.update(f"{p}:{st.st_size}:{int(st.st_mtime)}".encode())
-        else:
-            h.update(p.encode())
+        for f in sorted(spark.read.parquet(p).inputFiles()):
+            h.update(f.encode())
+            local = unquote(urlparse(f).path)
+            if f.startswith("file:") and os.path.exists(local):
+                st = os.stat(local)
+                h.update(f":{st.st_size}:{st.st_mtime_ns}".encode())
     return h.hexdigest()[:16]
 
 
@@ -49,9 +51,12 @@ def materialized(spark: SparkSession, name: str, sources: Sequence[str], build:
     if not enabled():
         return build()
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/ledgerlens-store/{_snapshot(sources)}/{name}"
+    path = f"{root}/ledgerlens-store/{_snapshot(spark, sources)}/{name}"
     if path not in _SCHEMAS:
         df = build()
+        if partition_by:
+            # Gathered by month, with large months split and small ones joined by AQE: few files each.
+            df = df.hint("rebalance", partition_by)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(partition_by)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
-from ledgerlens.operators.joins import fits_broadcast, fits_broadcast_cached, join_dim
+from ledgerlens.operators.joins import join_dim
 from ledgerlens.plans.quality import clean_transactions
 from ledgerlens.sources.adapter import DEVICE_VERSIONS, Tables
 
@@ -21,15 +21,25 @@ ENRICHED_COLUMNS = (
 )
 
 
+def with_minor_units(tx: DataFrame) -> DataFrame:
+    """``amount_cents`` of loaded transactions (the adapter's have it)."""
+    return tx if "amount_cents" in tx.columns else tx.withColumn("amount_cents", (F.col("amount") * 100).cast("long"))
+
+
+def with_basis_points(merchants: DataFrame) -> DataFrame:
+    """``commission_bp`` of loaded merchants (the adapter's have it)."""
+    return merchants if "commission_bp" in merchants.columns else \
+        merchants.withColumn("commission_bp", F.round(F.col("commission_rate") * 10000, 0).cast("long"))
+
+
 def enrich(tx: DataFrame, customers: DataFrame, merchants: DataFrame, banks: DataFrame,
-           devices: DataFrame, devices_rows: int | None = None, check_sizes: bool = True,
-           size_key=None) -> DataFrame:
+           devices: DataFrame, devices_rows: int | None = None) -> DataFrame:
     """V1: transactions joined N:1 to customers, merchants, banks (inner) and devices (left).
 
-    Each data-dependent dimension is broadcast only after ``fits_broadcast``
-    proved it below the session threshold; a large one keeps the sort-merge
-    join.
+    Takes loaded tables as well as the adapter's.  Only the fixed-size device
+    table is broadcast by hint; the rest is left to the optimizer and AQE.
     """
+    tx, merchants = with_minor_units(tx), with_basis_points(merchants)
     cus = customers.select("customer_id", F.col("state").alias("customer_state"),
                            F.col("city").alias("customer_city"),
                            F.col("gender").alias("customer_gender"),
@@ -38,13 +48,9 @@ def enrich(tx: DataFrame, customers: DataFrame, merchants: DataFrame, banks: Dat
                            F.col("category").alias("merchant_category"), "commission_rate", "commission_bp")
     bnk = banks.select("bank_id", "bank_name", "bank_type")
     dev = devices.select("device_id", "os_name", "os_version")
-    def ok(d, name):
-        if not check_sizes:
-            return None
-        return fits_broadcast_cached(d, (size_key, name)) if size_key else fits_broadcast(d)
-    j = join_dim(tx, cus, "customer_id", checked=ok(cus, "customers"))
-    j = join_dim(j, mer, "merchant_id", checked=ok(mer, "merchants"))
-    j = join_dim(j, bnk, "bank_id", checked=ok(bnk, "banks"))
+    j = join_dim(tx, cus, "customer_id")
+    j = join_dim(j, mer, "merchant_id")
+    j = join_dim(j, bnk, "bank_id")
     j = join_dim(j, dev, "device_id", "left", proven_rows=devices_rows)
     ts = F.col("txn_timestamp")
     dow = X.sql_dow("txn_timestamp")
@@ -85,7 +91,7 @@ def enriched(t: Tables, fact: str = "A") -> DataFrame:
 
     def build():
         return enrich(t.transactions(fact), t.customers, t.merchants, t.banks, t.devices,
-                      devices_rows=2 * DEVICE_VERSIONS, size_key=("enriched", t.sf_dir))
+                      devices_rows=2 * DEVICE_VERSIONS)
     return t._memo(("enriched", fact.upper()), lambda: materialized(
         t.spark, f"enriched_{fact.upper()}", source_paths(t, fact), build, partition_by="txn_year_month"))
 
@@ -111,20 +117,23 @@ def monthly_summary(e: DataFrame) -> DataFrame:
 
 
 def analysis_frame(t: Tables, fact: str = "A", tx: DataFrame | None = None) -> DataFrame:
-    """V3: cleaned transactions LEFT-joined to the four dimensions (pandas path)."""
-    txn = clean_transactions(tx if tx is not None else t.transactions(fact))
-    mer = t.merchants.select("merchant_id", "merchant_name",
-                             F.col("category").alias("merchant_category"), "commission_rate", "commission_bp",
-                             F.col("state").alias("merchant_state"), F.col("city").alias("merchant_city"))
-    cus = t.customers.select("customer_id", "age", "gender", F.col("state").alias("customer_state"),
-                             F.col("city").alias("customer_city"), "registration_date")
-    bnk = t.banks.select("bank_id", "bank_name", "bank_type")
-    dev = t.devices.select("device_id", "os_name", "os_version")
-    key = ("analysis", t.sf_dir)
-    j = join_dim(txn, mer, "merchant_id", "left", checked=fits_broadcast_cached(mer, key + ("merchants",)))
-    j = join_dim(j, cus, "customer_id", "left", checked=fits_broadcast_cached(cus, key + ("customers",)))
-    j = join_dim(j, bnk, "bank_id", "left", checked=fits_broadcast_cached(bnk, key + ("banks",)))
-    return join_dim(j, dev, "device_id", "left", proven_rows=2 * DEVICE_VERSIONS)
+    """V3 over the adapter tables."""
+    return join_dimensions(clean_transactions(tx if tx is not None else t.transactions(fact)),
+                           t.customers, t.merchants, t.banks, t.devices, devices_rows=2 * DEVICE_VERSIONS)
+
+
+def join_dimensions(txn: DataFrame, customers: DataFrame, merchants: DataFrame, banks: DataFrame,
+                    devices: DataFrame, devices_rows: int | None = None) -> DataFrame:
+    """V3: cleaned transactions LEFT-joined to the four dimensions (pandas path); loaded tables or the adapter's."""
+    mer = with_basis_points(merchants).select("merchant_id", "merchant_name",
+                                              F.col("category").alias("merchant_category"), "commission_rate", "commission_bp",
+                                              F.col("state").alias("merchant_state"), F.col("city").alias("merchant_city"))
+    cus = customers.select("customer_id", "age", "gender", F.col("state").alias("customer_state"),
+                           F.col("city").alias("customer_city"), "registration_date")
+    j = join_dim(txn, mer, "merchant_id", "left")
+    j = join_dim(j, cus, "customer_id", "left")
+    j = join_dim(j, banks.select("bank_id", "bank_name", "bank_type"), "bank_id", "left")
+    return join_dim(j, devices.select("device_id", "os_name", "os_version"), "device_id", "left", proven_rows=devices_rows)
 
 
 def dim_date(spark: SparkSession, start: dt.date | str = "2023-01-01",

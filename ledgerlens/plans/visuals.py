@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
@@ -48,7 +48,7 @@ def rfm_scatter(cf: DataFrame) -> DataFrame:
 
 def clv_top(cf: DataFrame, n: int = 20) -> DataFrame:
     """P5."""
-    return cf.select("customer_id", F.col("lifetime_spend").cast("double"), "n_txns", "segment") \
+    return cf.select("customer_id", F.col("lifetime_spend").cast("double"), "n_txns", "segment", "state") \
         .orderBy(F.col("lifetime_spend").desc(), "customer_id").limit(n)
 
 
@@ -107,16 +107,24 @@ def month_weekday_heatmap(e: DataFrame) -> DataFrame:
         .agg(_cnt().cast("bigint")).fillna(0).orderBy("txn_year_month")
 
 
+OTHER = "other"
+
+
+def _listed(col: str, values: Sequence[str]) -> Column:
+    """The value if it is listed, else "other", so that a matrix keeps the total."""
+    return F.when(F.col(col).isin(*values), F.col(col)).otherwise(F.lit(OTHER))
+
+
 def bank_type_reason_matrix(e: DataFrame, reasons: Sequence[str]) -> DataFrame:
-    """Failures per bank type x listed reason."""
-    return e.where(X.is_failed()).groupBy("bank_type").pivot("failure_reason", list(reasons)) \
-        .agg(_cnt().cast("bigint")).fillna(0).orderBy("bank_type")
+    """Failures per bank type x listed reason, with a column for all other reasons."""
+    return e.where(X.is_failed()).withColumn("reason", _listed("failure_reason", reasons)).groupBy("bank_type") \
+        .pivot("reason", [*reasons, OTHER]).agg(_cnt().cast("bigint")).fillna(0).orderBy("bank_type")
 
 
 def state_category_matrix(e: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """GPV per state x listed category."""
-    return e.where(X.is_success()).groupBy("customer_state").pivot("merchant_category", list(categories)) \
-        .agg(X.money_sum("amount_cents").cast("double")).orderBy("customer_state")
+    """GPV per state x listed category, with a column for all other categories."""
+    return e.where(X.is_success()).withColumn("category", _listed("merchant_category", categories)).groupBy("customer_state") \
+        .pivot("category", [*categories, OTHER]).agg(X.money_sum("amount_cents").cast("double")).orderBy("customer_state")
 
 
 def top_merchants_revenue(e: DataFrame, n: int = 5) -> DataFrame:

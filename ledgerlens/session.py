@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
@@ -22,14 +23,19 @@ LOCAL_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "ledgerlens") -> SparkSession:
-    """Local session for tests and the bench; a no-op wrapper on a cluster."""
-    master = master or os.environ.get("LEDGERLENS_MASTER", "local[8]")
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the defaults above where the launcher (spark-submit, properties) sets none."""
+    given = SparkConf()
+    builder = SparkSession.builder.appName(app_name)
+    master = master or os.environ.get("LEDGERLENS_MASTER") or (None if given.contains("spark.master") else "local[8]")
+    if master:
+        builder = builder.master(master)
     for k, v in LOCAL_CONF.items():
-        builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        if not given.contains(k):
+            builder = builder.config(k, v)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -49,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         # Only for local runs and tests: nothing names a shared folder.
         configured = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
     sc.setCheckpointDir(configured)

@@ -39,7 +39,12 @@ def load_raw(spark: SparkSession, raw_dir: str, fmt: str = "csv",
         schema = S.RAW_TRANSACTIONS if (name == "transactions" and raw_text) else S.TABLES[name]
         path = f"{raw_dir.rstrip('/')}/{name}.{fmt}"
         reader = spark.read.schema(schema)
-        out[name] = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+        if fmt != "csv":
+            out[name] = reader.parquet(path)
+            continue
+        # The header must name the columns in order, and a value that doesn't parse is an error
+        # (the audited text columns always parse).
+        out[name] = reader.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     return out
 
 
@@ -52,6 +57,27 @@ def load_tables(spark: SparkSession, raw_dir: str, fmt: str = "csv") -> dict[str
     return load_raw(spark, raw_dir, fmt, raw_text=False)
 
 
+def round_trip(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet") -> DataFrame:
+    """Write all tables, read them back and compare: (table_name, n, n_back, same).
+
+    ``same`` compares counts and an order-free checksum of the rows' text.
+    """
+    def mark(df: DataFrame) -> list:
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns])
+        return [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(text).cast("decimal(38,0)")).alias("sum")]
+
+    out = None
+    for name, path in rebuild(tables, out_dir, fmt).items():
+        reader = tables[name].sparkSession.read.schema(tables[name].schema)
+        back = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+        a = tables[name].agg(*mark(tables[name])).select("n", "sum")
+        b = back.agg(*mark(back)).select(F.col("n").alias("n_back"), F.col("sum").alias("sum_back"))
+        row = a.crossJoin(b).select(F.lit(name).alias("table_name"), "n", "n_back", (F.col("n") == F.col("n_back")) & F.col("sum").eqNullSafe(F.col("sum_back")))
+        row = row.toDF("table_name", "n", "n_back", "same")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def register_views(tables: Mapping[str, DataFrame], enriched: DataFrame | None = None,
                    monthly: DataFrame | None = None) -> None:
     """Temp views for SQL users: the seven tables plus the two reporting views."""

@@ -1,4 +1,7 @@
-"""Explicit schemas of the payments star schema (no inference anywhere)."""
+"""Explicit schemas of the payments star schema (no inference anywhere).
+
+Keys are text in the files (fixed: CUST00001, ...); the adapter's tables have numbers of their own.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +11,7 @@ MONEY = T.DecimalType(18, 2)
 RATE = T.DecimalType(6, 4)
 
 BANKS = T.StructType([
-    T.StructField("bank_id", T.LongType(), False),
+    T.StructField("bank_id", T.StringType(), False),
     T.StructField("bank_name", T.StringType()),
     T.StructField("bank_type", T.StringType()),
     T.StructField("market_share", T.DoubleType()),
@@ -23,7 +26,7 @@ DEVICES = T.StructType([
 ])
 
 MERCHANTS = T.StructType([
-    T.StructField("merchant_id", T.LongType(), False),
+    T.StructField("merchant_id", T.StringType(), False),
     T.StructField("merchant_name", T.StringType()),
     T.StructField("category", T.StringType()),
     T.StructField("city", T.StringType()),
@@ -44,22 +47,22 @@ CAMPAIGNS = T.StructType([
 ])
 
 CUSTOMERS = T.StructType([
-    T.StructField("customer_id", T.LongType(), False),
+    T.StructField("customer_id", T.StringType(), False),
     T.StructField("customer_name", T.StringType()),
     T.StructField("age", T.IntegerType()),
     T.StructField("gender", T.StringType()),
     T.StructField("city", T.StringType()),
     T.StructField("state", T.StringType()),
     T.StructField("registration_date", T.DateType()),
-    T.StructField("primary_bank_id", T.LongType()),
+    T.StructField("primary_bank_id", T.StringType()),
     T.StructField("device_id", T.StringType()),
 ])
 
 TRANSACTIONS = T.StructType([
     T.StructField("transaction_id", T.StringType(), False),
-    T.StructField("customer_id", T.LongType()),
-    T.StructField("merchant_id", T.LongType()),
-    T.StructField("bank_id", T.LongType()),
+    T.StructField("customer_id", T.StringType()),
+    T.StructField("merchant_id", T.StringType()),
+    T.StructField("bank_id", T.StringType()),
     T.StructField("device_id", T.StringType()),
     T.StructField("amount", MONEY),
     T.StructField("status", T.StringType()),
@@ -107,9 +110,3 @@ FOREIGN_KEYS = (
     ("cashback", "transaction_id", "transactions", "transaction_id"),
     ("cashback", "campaign_id", "campaigns", "campaign_id"),
 )
-
-PRIMARY_KEYS = {
-    "banks": "bank_id", "devices": "device_id", "merchants": "merchant_id",
-    "campaigns": "campaign_id", "customers": "customer_id",
-    "transactions": "transaction_id", "cashback": "cashback_id",
-}

@@ -37,8 +37,11 @@ def test_load_tables_requires_every_file():
 
 def test_verify_schema_and_row_counts(spark):
     t = tables(spark, SF_SMALL)
-    out = {r.column: r.ok for r in IO.verify_schema(t.transactions_a.drop("amount_cents"), S.TRANSACTIONS).collect()}
+    texts = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TRANSACTIONS.fields]
+    out = {r.column: r.ok for r in IO.verify_schema(t.transactions_a.select(*texts), S.TRANSACTIONS).collect()}
     assert all(out.values()), out
+    keys = {r.column for r in IO.verify_schema(t.transactions_a, S.TRANSACTIONS).collect() if not r.ok}
+    assert keys == {"customer_id", "merchant_id", "bank_id"}  # numbers in the adapter, text in files
     counts = {r.table_name: r.n for r in IO.row_counts({"banks": t.banks, "devices": t.devices}).collect()}
     assert counts == {"banks": t.banks.count(), "devices": 12}
 
@@ -57,14 +60,14 @@ def test_incremental_load_cleans_and_dedupes(spark):
     landing, target, ckpt = (os.path.join(base, x) for x in ("landing", "target", "ckpt"))
     os.makedirs(landing)
     _write_csv(os.path.join(landing, "a.csv"),
-               [_row(1), _row(2), _row(3, amount="-1"), _row(4, ts="not-a-date"), _row(5, status="succes")])
+               [_row(1), _row(2), _row(3, amount="-1"), _row(4, ts="not-a-date"), _row(5, status="succes"), _row(7, ts="2025-06-01 00:00:00")])
     q = load_incrementally(spark, landing, target, ckpt)
     q.awaitTermination(120)
-    _write_csv(os.path.join(landing, "b.csv"), [_row(2), _row(6, status=" success ")])
+    _write_csv(os.path.join(landing, "b.csv"), [_row(2), _row(6, status=" success "), _row(8, ts="2019-01-01 00:00:00"), _row(8, ts="2019-01-01 00:00:00")])
     q = load_incrementally(spark, landing, target, ckpt)
     q.awaitTermination(120)
     ids = sorted(r.transaction_id for r in spark.read.parquet(target).collect())
-    assert ids == ["T1", "T2", "T6"]
+    assert ids == ["T1", "T2", "T6", "T7", "T8"]  # T8 is years late
 
 
 def test_export_star_schema_and_rebuild(spark):
@@ -78,3 +81,43 @@ def test_export_star_schema_and_rebuild(spark):
     assert fact.where("txn_year_month = '1996-01'").count() == e.where("txn_year_month = '1996-01'").count()
     rebuilt = IO.rebuild({"banks": t.banks, "devices": t.devices}, os.path.join(d, "db"))
     assert spark.read.parquet(rebuilt["devices"]).count() == 12
+
+
+FILES = {
+    "banks": "bank_id,bank_name,bank_type,market_share,base_failure_rate\nBANK01,First,Public,0.6,0.1\nBANK02,Second,Private,0.4,0.2\n",
+    "devices": "device_id,os_name,os_version,device_model\nDEV1,Android,14,X\n",
+    "merchants": "merchant_id,merchant_name,category,city,state,commission_rate,popularity\nMER001,Shop,Food,Pune,MH,0.0150,1.0\nMER002,Mart,Travel,Agra,UP,0.0200,2.0\n",
+    "campaigns": "campaign_id,campaign_name,target_category,start_date,end_date,cashback_rate,max_cashback,attach_rate\nCAMP1,Spring,Food,2024-01-01,2024-02-01,0.05,50.00,1.0\n",
+    "customers": "customer_id,customer_name,age,gender,city,state,registration_date,primary_bank_id,device_id\nCUST00001,Ann,30,F,Pune,MH,2023-05-01,BANK01,DEV1\nCUST00002,Bob,40,M,Agra,UP,2023-06-01,BANK02,DEV1\n",
+    "transactions": "transaction_id,customer_id,merchant_id,bank_id,device_id,amount,status,failure_reason,payment_mode,txn_timestamp\n"
+                    "T1,CUST00001,MER001,BANK01,DEV1,100.00,SUCCESS,,UPI,2024-01-05 10:00:00\nT2,CUST00002,MER002,BANK02,DEV1,1000000000.50,SUCCESS,,CARD,2024-02-05 11:00:00\n"
+                    "T2,CUST00002,MER002,BANK02,DEV1,1000000000.50,SUCCESS,,CARD,2024-02-05 11:00:00\nT3,CUST00001,MER002,BANK01,DEV1,50.00,FAILED,Timeout,UPI,2024-02-06 12:00:00\n"
+                    "T4,CUST00001,MER002,BANK01,DEV1,oops,SUCCESS,,UPI,2024-02-06 12:00:00\n",
+    "cashback": "cashback_id,transaction_id,campaign_id,cashback_amount,cashback_date\nCB1,T1,CAMP1,5.00,2024-01-05\n",
+}
+
+
+def test_files_with_text_keys_end_to_end(spark, tmp_path):
+    from ledgerlens.plans import executive as E
+    from ledgerlens.plans import quality as C
+    from ledgerlens.plans import views as V
+    for name, text in FILES.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    raw = IO.load_raw(spark, str(tmp_path))
+    audit = {r.check: r.value for r in C.data_quality_report(raw["transactions"]).collect()}
+    assert audit["rows"] == 5 and audit["duplicate_txn_ids"] == audit["full_duplicate_rows"] == 1
+    tx = C.clean_transactions(raw["transactions"]).withColumn("txn_timestamp", F.col("txn_dt"))
+    dims = {k: raw[k] for k in ("customers", "merchants", "banks", "devices")}
+    e = V.enrich(tx, **dims)
+    assert {r.transaction_id: (r.customer_id, float(r.revenue)) for r in e.collect()} == {
+        "T1": ("CUST00001", 1.5), "T2": ("CUST00002", 20000000.01), "T3": ("CUST00001", 0.0)}
+    months = {r.txn_year_month: r.gpv for r in E.mom_growth(e).collect()}
+    assert months == {"2024-01": 100.0, "2024-02": 1000000001.0} or months == {"2024-01": 100.0, "2024-02": 1000000000.5}
+    assert V.join_dimensions(tx, **dims).where("merchant_category = 'Travel'").count() == 2
+    # Views by name; a wrong header is an error.
+    IO.register_views(raw, e)
+    assert IO.read_view(spark, "v_transaction_enriched").count() == 3 and IO.read_view(spark, "banks").count() == 2
+    assert all(r.same for r in IO.round_trip({k: raw[k] for k in ("banks", "devices", "customers")}, str(tmp_path / "out")).collect())
+    (tmp_path / "banks.csv").write_text(FILES["banks"].replace("bank_id,bank_name", "bank_name,bank_id"))
+    with pytest.raises(Exception):
+        IO.load_raw(spark, str(tmp_path))["banks"].collect()

@@ -1,7 +1,6 @@
 """Spark plans vs their DuckDB oracle text (the driver's correctness gate, run locally).
 
-A representative subset runs at sf0.001 by default; LEDGERLENS_FULL_ORACLE=1 runs
-every registered query with an oracle.
+Every registered query of the reference's operators runs at sf0.001.
 """
 
 import os
@@ -12,19 +11,12 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from ledgerlens import catalog
 from tools.check_oracle import TABLES, compare
 
-SUBSET = (
-    "q1_1_headline_kpis", "q1_3_mom_growth", "q2_3_rfm_segments", "q2_5_cohort_retention",
-    "q3_3_top_merchant_per_category", "q3_4_pareto", "q4_3_daily_volume", "q4_6_stickiness",
-    "q5_2_bank_failure_rank", "q5_8_gpv_lost", "q6_3_state_revenue_share", "q6_4_top_category_per_state",
-    "c1_quality_audit", "c6_cleaning_actions", "u8_customer_features", "m_kpi_card",
-    "m15_revenue_previous_month", "p9_category_merchant_hierarchy", "p12_month_weekday_heatmap",
-    "n12_correlation_matrix", "t13_mann_whitney_stat", "t18_chi_square_stat", "b3_cashback_table",
-)
-
 ORACLE = entry.oracle_sql()
-NAMES = sorted(ORACLE) if os.environ.get("LEDGERLENS_FULL_ORACLE") else SUBSET
+# The training-data queries are held against theirs in tests/llm.
+NAMES = sorted(catalog.oracle())
 
 
 @pytest.fixture(scope="module")

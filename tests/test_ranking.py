@@ -17,7 +17,7 @@ def _frame(spark, n=1500, distinct=4, seed=7):
 
 def test_global_rank_matches_window_with_many_buckets(spark):
     df = _frame(spark)
-    ranked = global_rank(df, [Key("k", ascending=False), Key("id")], sum_cols=["k"], rows_per_bucket=100)
+    ranked = global_rank(df, [Key("k", ascending=False), Key("id")], sum_cols=["k"], partitions=10)
     w = Window.orderBy(F.col("k").desc(), "id")
     ref = df.select("id", F.row_number().over(w).alias("rn"),
                     F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
@@ -29,7 +29,7 @@ def test_global_rank_matches_window_with_many_buckets(spark):
 
 def test_nulls_first_ordering(spark):
     df = _frame(spark, n=300)
-    ranked = global_rank(df, [Key("m", nulls_first=True), Key("id")], rows_per_bucket=40)
+    ranked = global_rank(df, [Key("m", nulls_first=True), Key("id")], partitions=7)
     ref = df.select("id", F.row_number().over(Window.orderBy(F.col("m").asc_nulls_first(), "id")).alias("rn"))
     got = {r.id: r["__rn"] for r in ranked.select("id", "__rn").collect()}
     assert all(got[r.id] == r.rn for r in ref.collect())
@@ -62,7 +62,7 @@ def test_qcut_formula_matches_pandas_rule(spark):
 
 def test_sql_rank_matches_rank_window(spark):
     df = _frame(spark, n=800, distinct=6)
-    got = sql_rank(df, "k", ascending=False, out="rk", rows_per_bucket=2)
+    got = sql_rank(df, "k", ascending=False, out="rk", partitions=5)
     ref = df.select("id", F.rank().over(Window.orderBy(F.col("k").desc())).alias("rk"))
     a = {r.id: r.rk for r in got.select("id", "rk").collect()}
     assert all(a[r.id] == r.rk for r in ref.collect())

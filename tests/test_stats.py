@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dist
+from ledgerlens.functions import exprs as X
 from ledgerlens.operators.contingency import chi_square_stat, long_table
 from ledgerlens.operators.histogram import width_bucket_counts
+from ledgerlens.operators.ranking import quantiles
 from ledgerlens.plans import stats as ST
 
 
@@ -69,7 +71,7 @@ def test_mann_whitney_matches_brute_force(spark):
     amounts = [rnd.choice([5, 10, 10, 20, 35, 35, 35, 50]) + rnd.choice([0, 0.5]) for _ in range(120)]
     weekend = [rnd.randint(0, 1) for _ in range(120)]
     df = _tf(spark, amounts, weekend)
-    got = ST.mann_whitney_stat(df, rows_per_bucket=3).collect()[0]
+    got = ST.mann_whitney_stat(df).collect()[0]
     x = [a for a, w in zip(amounts, weekend) if w == 1]
     y = [a for a, w in zip(amounts, weekend) if w == 0]
     u = sum((1.0 if a > b else 0.5 if a == b else 0.0) for a in x for b in y)
@@ -105,3 +107,48 @@ def test_histogram_last_bin_closed(spark):
     df = spark.createDataFrame([(float(v),) for v in (0, 1, 2, 3, 4, 10)], "x double")
     got = {r.bin: r["count"] for r in width_bucket_counts(df, "x", 5).collect()}
     assert got == {1: 2, 2: 2, 3: 1, 5: 1}
+
+
+def test_tails_at_the_ends():
+    assert abs(dist.t_ppf(0.9999, 1) - 3183.0987) < 1e-2
+    assert abs(dist.t_two_sided_p(1.96, 1e12) - 0.0499958) < 1e-7
+    assert abs(dist.t_two_sided_p(2.0, 1e7 - 1) - dist.t_two_sided_p(2.0, 1e7 + 1)) < 1e-8
+    assert abs(dist.f_sf(2.3719, 4, 1e9) - 0.05) < 1e-4
+
+
+def test_welch_interval_and_quantiles_against_plain_formulas(spark):
+    import statistics as st
+
+    import numpy as np
+    rng = np.random.default_rng(3)
+    amounts = [round(float(x), 2) for x in rng.lognormal(6, 1, 400)]
+    rows = [(i, Decimal(str(a)), int(round(a * 100)), i % 3 == 0, 1) for i, a in enumerate(amounts)]
+    tf = spark.createDataFrame([(str(i), a, c, int(w), s) for i, a, c, w, s in rows],
+                               "transaction_id string, amount decimal(18,2), amount_cents long, is_weekend int, is_success int")
+    x, y = [a for i, a in enumerate(amounts) if i % 3 == 0], [a for i, a in enumerate(amounts) if i % 3]
+    got = ST.welch_test(tf).collect()[0]
+    a, b = st.variance(x) / len(x), st.variance(y) / len(y)
+    t = (st.mean(x) - st.mean(y)) / (a + b) ** 0.5
+    df = (a + b) ** 2 / (a * a / (len(x) - 1) + b * b / (len(y) - 1))
+    assert abs(got.t - t) < 1e-5 and abs(got.df - df) < 1e-3 and abs(got.p_value - dist.t_two_sided_p(t, df)) < 1e-9
+    assert abs(got.cohens_d - (st.mean(x) - st.mean(y)) / ((st.variance(x) + st.variance(y)) / 2) ** 0.5) < 1e-5
+    ci = ST.mean_ci(tf).collect()[0]
+    half = dist.t_ppf(0.975, 399) * st.stdev(amounts) / 20
+    assert abs(ci.ci_low - (st.mean(amounts) - half)) < 1e-3 and abs(ci.ci_high - (st.mean(amounts) + half)) < 1e-3
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
+    for col, by in (("amount", None), ("is_weekend", None), ("amount", "is_weekend")):
+        out = quantiles(tf, F.col(col), probs, by=by, partitions=6).collect()
+        for r in out:
+            values = [float(v) for i, v in enumerate(amounts) if by is None or int(i % 3 == 0) == r.is_weekend] if col == "amount" else [float(i % 3 == 0) for i in range(400)]
+            assert np.allclose(r.q, np.quantile(values, probs), rtol=1e-12)
+
+
+def test_rates_round_half_to_even(spark):
+    got = spark.createDataFrame([(1, 32), (5, 32), (3, 32), (2, 3), (0, 7), (7, 7)], "a long, n long").select(
+        X.round_ratio_even(F.col("a"), F.col("n"), 4).alias("r")).collect()
+    assert [g.r for g in got] == [0.0312, 0.1562, 0.0938, 0.6667, 0.0, 1.0]
+
+
+def test_sums_hold_huge_counts(spark):
+    df = spark.createDataFrame([(9_000_000_000_000_000_000,)] * 5, "c long")
+    assert df.agg(X.money_sum("c").alias("s")).first().s == Decimal("450000000000000000.00")
