@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import blocks, map_arrow, segment_sums
+from ledgerlens.llm.common import blocks, map_arrow, segment_sums, stored
 
 BITS = 16
 MOST_ROWS = 8_000
@@ -117,26 +117,26 @@ def fit(docs: DataFrame, label: str = "lang", most_rows: int = MOST_ROWS) -> Tex
     return TextModel(languages, table)
 
 
-def with_evidence(rows: DataFrame, text: Column, host: Column | None = None, declared: Column | None = None) -> DataFrame:
-    """``row`` (a struct of all columns of ``rows``) and the evidence; the host's domain and suffix are its last two labels and its last."""
+def with_evidence(rows: DataFrame, text: Column, host: Column | None = None, declared: Column | None = None, carry=None) -> DataFrame:
+    """``row`` (a struct of the columns ``carry`` of ``rows``, by default all) and the evidence; the host's domain and suffix are its last two labels and its last."""
     empty = F.lit("")
     host = F.coalesce(F.lower(host), empty) if host is not None else empty
     dotted = F.contains(host, F.lit("."))
     declared = F.coalesce(F.lower(F.regexp_extract(declared, "^[A-Za-z]+", 0)), empty) if declared is not None else empty
-    return rows.select(F.struct(*rows.columns).alias("row"), F.coalesce(text, empty).alias("text"), host.alias("host"), F.when(dotted, F.substring_index(host, ".", -2)).otherwise(empty).alias("domain"),
+    return rows.select(F.struct(*(carry or rows.columns)).alias("row"), F.coalesce(text, empty).alias("text"), host.alias("host"), F.when(dotted, F.substring_index(host, ".", -2)).otherwise(empty).alias("domain"),
                        F.when(dotted, F.substring_index(host, ".", -1)).otherwise(empty).alias("suffix"), declared.alias("declared"))
 
 
-def page_evidence(pages: DataFrame) -> DataFrame:
+def page_evidence(pages: DataFrame, carry=None) -> DataFrame:
     """Evidence of web pages (url, html): visible text, the host of the address, the language that the markup declares."""
     text = F.regexp_replace("html", "(?is)<(script|style)\\b.*?</\\1>|<!--.*?-->|<[^>]*>", " ")
     host = F.regexp_extract("url", "://([^/?#:]*)", 1)
-    return with_evidence(pages, text, host, F.regexp_extract("html", "(?i)<html[^>]*\\blang\\s*=\\s*[\"']?([A-Za-z]+)", 1))
+    return with_evidence(pages, text, host, F.regexp_extract("html", "(?i)<html[^>]*\\blang\\s*=\\s*[\"']?([A-Za-z]+)", 1), carry)
 
 
-def document_evidence(docs: DataFrame) -> DataFrame:
+def document_evidence(docs: DataFrame, carry=None) -> DataFrame:
     """Evidence of documents (text, source, lang): the source stands for the host, ``lang`` for the declared language."""
-    return with_evidence(docs, F.col("text"), F.col("source").cast("string"), F.col("lang").cast("string"))
+    return with_evidence(docs, F.col("text"), F.col("source").cast("string"), F.col("lang").cast("string"), carry)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -156,7 +156,8 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(g.astype(np.int32))], names=[*LEVELS, "guess"])
 
     guesses = map_arrow(rows.select("text", *LEVELS), guess, ", ".join(f"{c} string" for c in LEVELS) + ", guess int")
-    tallies = guesses.groupBy(*LEVELS, "guess").agg(F.count("*").alias("n")).checkpoint()
+    tallies = guesses.groupBy(*LEVELS, "guess").agg(F.count("*").alias("n"))
+    tallies = stored(tallies, "language-tallies")  # as files their size is known, so small counts are broadcast and texts stay where they are
     by = lambda c: tallies.groupBy(c).agg(F.array(*[F.sum(F.when(F.col("guess") == i, F.col("n")).otherwise(0)) for i in range(n)]).alias(f"{c}_n")) if n else tallies.groupBy(c).agg(F.array().cast("array<bigint>").alias(f"{c}_n"))
     whole = np.zeros(n)
     for r in tallies.groupBy("guess").agg(F.sum("n").alias("n")).collect():  # a row for each language
@@ -211,12 +212,12 @@ def keep(docs: DataFrame, model: TextModel, languages=None, confidence: float =
 def digest(docs: DataFrame) -> DataFrame:
     """The columns of query op5: every document with its language, the confidence, and whether it is kept."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source")
-    found = identify(document_evidence(rows), fit(rows))
+    found = identify(document_evidence(rows, ["doc_id", "lang"]), fit(rows))
     return found.select("row.doc_id", F.col("row.lang").alias("declared"), "language", "confidence", F.col("guess").alias("text_language"), wanted().alias("keep"))
 
 
 def page_digest(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """Every page with its language, by a text model fit on ``docs``."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    found = identify(page_evidence(rows), fit(docs))
+    found = identify(page_evidence(rows, ["page_id"]), fit(docs))
     return found.select("row.page_id", "language", "confidence", F.col("guess").alias("text_language"), wanted().alias("keep"))
