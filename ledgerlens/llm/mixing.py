@@ -74,7 +74,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, most: int = MOST, seed: i
     goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goal = goal.withColumn("certain", whole).withColumn("wanted", F.col("target") - F.col("certain") * F.col("source_size"))
-    goal = goal.select(F.col("source").alias("of"), "source_size", "target", "certain", "wanted").checkpoint()
+    # As files, tables with a row for each source have a known size: Spark broadcasts them while they are small.
+    goal = stored(goal.select(F.col("source").alias("of"), "source_size", "target", "certain", "wanted"), "targets")
     rows = rows.join(goal, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     u = _random(seed)
     # Odds of u by the inclusion odds, brought into (0, 1) in the same order for the histogram.
@@ -84,6 +85,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, most: int = MOST, seed: i
     upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("before", F.coalesce(F.sum("in_bin").over(upto), F.lit(0)))
     cut = bins.where("before < bin_wanted AND before + in_bin >= bin_wanted").select(F.col("source").alias("of"), F.col("bin").alias("cut"), "before")
+    cut = stored(cut, "cuts")
     rows = rows.join(cut, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     near = F.col("bin") == F.col("cut")
     # In the bin of the cut, in order of rank.
