@@ -178,7 +178,7 @@ def index(rows: DataFrame, k: int = K, shard: int = SHARD) -> DataFrame:
 def search(graphs: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM, block: int = BLOCK) -> DataFrame:
     """The ``k`` nearest found for each of ``queries`` (vec_id, embedding): query_id, rank, vec_id, score."""
     ship(graphs.sparkSession)
-    shards = [r.shard for r in graphs.select("shard").collect()]  # a number for each shard
+    last = graphs.agg(F.coalesce(F.max("shard"), F.lit(0)).alias("last")).first()["last"]
     blocks = -(-queries.count() // block) or 1
 
     def look(key, graph, asked):
@@ -210,7 +210,7 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM,
         return pa.table({c: np.concatenate([np.zeros(0, t), *out[c]]).astype(t) for c, t in kinds.items()})
 
     asked = queries.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
-    asked = asked.withColumn("shard", F.explode(F.array(*[F.lit(s) for s in shards])) if shards else F.lit(0))
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(last))))
     many = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = many.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(look, FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
