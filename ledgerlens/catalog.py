@@ -218,6 +218,15 @@ def _all_tables(t: Tables) -> dict[str, DataFrame]:
             "customers": t.customers, "transactions": t.transactions_a, "cashback": _cashback(t)}
 
 
+def build_store(spark: SparkSession, sf_dir: str) -> None:
+    """Write the stored tables for the present inputs in one explicit step; queries that find none write what they need."""
+    t = _t(spark, sf_dir)
+    for fact in "AB":
+        V.enriched(t, fact)
+    txn_features(t)
+    customer_features(t)
+
+
 def extended_registry() -> dict[str, QueryFn]:
     def tx(spark, sf):
         return _t(spark, sf).transactions_a

@@ -258,16 +258,6 @@ class Tables:
     def transactions(self, fact: str = "A") -> DataFrame:
         return self.transactions_a if fact.upper() == "A" else self.transactions_b
 
-    def as_dict(self, fact: str = "A") -> dict[str, DataFrame]:
-        """The seven payments tables, the cashback table derived (plans.cashback)."""
-        from ledgerlens.plans.cashback import cashback_table
-        tx = self.transactions(fact)
-        return {
-            "banks": self.banks, "devices": self.devices, "merchants": self.merchants,
-            "campaigns": self.campaigns, "customers": self.customers, "transactions": tx,
-            "cashback": cashback_table(tx, self.merchants, self.campaigns),
-        }
-
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir.rstrip("/"))
