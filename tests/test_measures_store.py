@@ -50,3 +50,37 @@ def test_store_writes_once_and_reads_back(spark):
     b = store.materialized(spark, "unit_test_table", [f"{SF_SMALL}/region.parquet"], build, partition_by="k")
     assert len(calls) == 1
     assert a.columns == ["id", "k"] and sorted(r.id for r in b.collect()) == list(range(10))
+
+
+def test_store_sees_files_added_in_folders(spark, tmp_path):
+    src = f"{tmp_path}/t.parquet"
+    spark.range(5).write.parquet(f"{src}/part=1")
+
+    def read():
+        return store.materialized(spark, "unit_test_nested", [src], lambda: spark.read.parquet(src).select("id"))
+    assert read().count() == 5
+    spark.range(7).write.parquet(f"{src}/part=2")
+    assert read().count() == 12
+
+
+def test_slicers_take_nothing_as_all_and_null_as_a_value(spark):
+    f = spark.createDataFrame([(1, "a", 2024), (2, None, 2024), (3, "b", 2023)], "id int, c string, txn_year int")
+    ids = lambda s: sorted(r.id for r in M.apply_slicers(f, s).collect())
+    assert ids({"c": []}) == [1, 2, 3] and ids({"c": ["a", None]}) == [1, 2] and ids({"c": None}) == [2]
+    assert ids({"c": ["b"], "txn_year": [2024]}) == [] and ids({"txn_year": 2024}) == [1, 2]
+
+
+def test_matrices_keep_what_is_not_listed(spark):
+    from ledgerlens.plans import visuals as P
+    e = spark.createDataFrame([("P", "x", "FAILED", "S", "C1", 100), ("P", "y", "FAILED", "S", "C2", 100), ("P", None, "FAILED", "S", "C2", 5),
+                               ("P", None, "SUCCESS", "S", "C1", 300), ("P", None, "SUCCESS", "S", None, 50)],
+                              "bank_type string, failure_reason string, status string, customer_state string, merchant_category string, amount_cents long")
+    assert P.bank_type_reason_matrix(e, ["x"]).first().asDict() == {"bank_type": "P", "x": 1, "other": 2}
+    assert P.state_category_matrix(e, ["C1"]).first().asDict() == {"customer_state": "S", "C1": 3.0, "other": 0.5}
+
+
+def test_year_slicer_prunes_month_folders(spark, tmp_path):
+    rows = [(f"{y}-{m:02d}", y, i) for i, (y, m) in enumerate((y, m) for y in (2022, 2023) for m in range(1, 13))]
+    spark.createDataFrame(rows, "txn_year_month string, txn_year int, id int").write.partitionBy("txn_year_month").parquet(f"{tmp_path}/f")
+    kept = M.apply_slicers(spark.read.parquet(f"{tmp_path}/f"), {"txn_year": [2023]})
+    assert kept.count() == 12 and "PartitionFilters: [isnotnull(txn_year_month" in kept._jdf.queryExecution().toString()
