@@ -28,10 +28,3 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "i
     if proven_rows is not None and proven_rows <= MAX_PROVEN_BROADCAST_ROWS:
         dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)
-
-
-def anti_join_count(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Rows of ``child`` whose non-null key has no parent (LEFT JOIN ... IS NULL)."""
-    keys = parent.select(F.col(parent_col).alias("__k")).distinct()
-    return child.where(F.col(child_col).isNotNull()) \
-        .join(keys, F.col(child_col) == F.col("__k"), "left_anti")

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.exprs import VALID_STATUSES
-from ledgerlens.operators.joins import anti_join_count
 from ledgerlens.sources import schemas as S
 
 # Order of the audit checks.
@@ -160,19 +159,26 @@ def cleaning_actions(txn: DataFrame, order: Sequence[str] = DEFAULT_FIRST_ORDER)
 
 # ------------------------------------------------------------------ C8-C11
 def orphan_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """For every foreign key, rows whose non-null key has no parent."""
-    parts = []
-    for child, ccol, parent, pcol in S.FOREIGN_KEYS:
-        if child not in tables or parent not in tables:
-            continue
-        n = anti_join_count(tables[child].select(ccol), ccol, tables[parent], pcol) \
-            .agg(F.count(F.lit(1)).cast("bigint").alias("orphans"))
-        parts.append(n.select(F.lit(child).alias("child_table"), F.lit(ccol).alias("child_column"),
-                              F.lit(parent).alias("parent_table"), "orphans"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """For every foreign key, rows whose non-null key has no parent.
+
+    Each table is read once as a child and once as a parent; keys are counted
+    before the shuffle, so a hot key is one row for each task.
+    """
+    keys = [(i, *k) for i, k in enumerate(S.FOREIGN_KEYS) if k[0] in tables and k[2] in tables]
+
+    def pairs(name: str, of: int, col: int) -> DataFrame:
+        mine = [F.struct(F.lit(k[0]).alias("i"), F.col(k[col]).cast("string").alias("k")) for k in keys if k[of] == name]
+        rows = tables[name].select(F.explode(F.array(*mine)).alias("x")).select("x.i", "x.k").where(F.col("k").isNotNull())
+        return rows.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n"))
+
+    used = [pairs(name, 1, 2).withColumn("parents", F.lit(0)) for name in dict.fromkeys(k[1] for k in keys)]
+    held = [pairs(name, 3, 4).select("i", "k", F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("parents")) for name in dict.fromkeys(k[3] for k in keys)]
+    every = None
+    for part in used + held:
+        every = part if every is None else every.unionByName(part)
+    lost = every.groupBy("i", "k").agg(F.sum("n").alias("n"), F.max("parents").alias("parents")).where("parents = 0").groupBy("i").agg(F.sum("n").alias("n"))
+    names = next(iter(tables.values())).sparkSession.createDataFrame([k[:4] for k in keys], "i int, child_table string, child_column string, parent_table string")
+    return names.join(lost, "i", "left").select("child_table", "child_column", "parent_table", F.coalesce("n", F.lit(0)).cast("bigint").alias("orphans"))
 
 
 def load_kpis(enriched: DataFrame) -> DataFrame:
