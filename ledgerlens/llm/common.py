@@ -50,9 +50,18 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
+#: Whole texts travel in small batches: at most so many rows, and bytes, in one (a longer row is one of its own).
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
 def map_arrow(df: DataFrame, work, schema: str) -> DataFrame:
-    """``df.mapInArrow``, with this package at hand on the executors."""
-    ship(df.sparkSession)
+    """``df.mapInArrow``, with this package at hand on the executors and batches that workers can hold."""
+    spark = df.sparkSession
+    ship(spark)
+    for key, most in BATCH.items():
+        now = int("".join(c for c in spark.conf.get(key) if c.isdigit()) or 0)
+        if not 0 < now <= most:
+            spark.conf.set(key, most)
     return df.mapInArrow(work, schema)
 
 
