@@ -29,7 +29,7 @@ from ledgerlens.llm.common import running_totals, stored
 WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)       # of all words, as a fraction
 MOST = 2             # copies of a document
-BINS = 1 << 14
+BINS = 1 << 12
 SEED = 17
 WORD = "[^\\x20\\x09-\\x0D]+"
 
