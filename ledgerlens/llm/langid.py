@@ -9,10 +9,16 @@ For each language, the log of its posterior is a sum of
 * the host's prior: shares of languages among the host's texts, smoothed by its domain's, those by the
   corpus's, each as strong as ``STRENGTH`` texts.
 
+Beside the languages stands one more class, none of these: a text whose trigrams are on average less likely
+under its best language than that language's ``least`` is rather in none.  ``least`` is calibrated in ``fit`` on
+labelled rows left out of the count: a part ``MARGIN`` of the way from how well texts of the other languages
+fit the language (at least a uniform model's fit plus ``FLOOR``) to how well its own do.  By the text alone, none
+starts at odds of ``DOUBT``; it has its own shares and its own declared languages and suffixes, like a language.
+
 The last three come from one grouped count of (host, domain, suffix, declared, text guess) over all rows;
 each row leaves itself out.  The text model is fit on labelled rows; the sample has a bound,
 ``most_rows`` rows with the lowest hash of doc_id.  A row is kept if its best language is wanted and has
-at least ``CONFIDENCE``.
+at least ``CONFIDENCE``, of which none of these takes its part.
 
 Rows are scored where they lie: only counts are shuffled, and counts are joined to rows by host, domain,
 suffix and declared language (a hot host's rows are split by adaptive execution, or its counts broadcast
@@ -36,6 +42,8 @@ EFFECTIVE = 60.0
 STRENGTH = 8.0
 SMOOTH = 0.5
 CONFIDENCE = 0.5
+MARGIN, FLOOR, DOUBT = 0.125, 0.25, 0.01
+HELD_OUT = 5   # one in so many rows of the sample calibrates
 LEVELS = ("host", "domain", "suffix", "declared")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -72,13 +80,33 @@ def grams(texts):
 class TextModel:
     """Log likelihoods of trigrams: a row for each language, a column for each trigram."""
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    def __init__(self, languages: list[str], counts: np.ndarray, held: np.ndarray | None = None):
+        """``counts`` of trigrams by language, and of these the ones in rows held out for calibration."""
         self.languages = languages
-        p = (counts + SMOOTH) / (counts.sum(0) + SMOOTH * len(counts))
-        self.logs = np.ascontiguousarray(np.log(p).astype(np.float32).T)
+        self.logs = self._fit(counts)
+        self.least = self._calibrated(counts, np.zeros_like(counts) if held is None else held)
 
-    def evidence(self, texts) -> np.ndarray:
-        """Tempered log likelihood of each language for each text."""
+    @staticmethod
+    def _fit(counts: np.ndarray) -> np.ndarray:
+        p = (counts + SMOOTH) / (counts.sum(0) + SMOOTH * len(counts))
+        return np.ascontiguousarray(np.log(p).astype(np.float32).T)
+
+    def _calibrated(self, counts: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """The least mean log likelihood of a trigram for a text of each language."""
+        n, uniform = len(self.languages), -np.log(len(counts))
+        total = held.sum(0)
+        # Row: the model without the rows held out; column: whose rows these are.
+        mean = self._fit(counts - held).astype(np.float64) @ held / np.maximum(total, 1)
+        mean[:, total == 0] = uniform
+        own = mean.diagonal()
+        others = np.where(np.eye(n, dtype=bool), -np.inf, mean).max(1, initial=-np.inf)
+        # Wrong labels can't raise it above halfway to the language's own texts.
+        others = np.maximum(np.minimum(others, (own + uniform) / 2), uniform + FLOOR)
+        return others + MARGIN * np.maximum(own - others, 0)
+
+    def _weighed(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Tempered log likelihood of each language for each text, and the tempered number of its trigrams."""
+        sizes = [np.zeros(0)]
         out = [np.zeros((0, len(self.languages)))]
         for found, n in grams(texts):
             sums = np.zeros((len(n), len(self.languages)))
@@ -86,35 +114,52 @@ class TextModel:
                 logs = self.logs[k]
                 sums[:, k] = segment_sums(logs[found[0]], n) if len(found) == 1 else sum(logs[f].sum(dtype=np.float64) for f in found)
             out.append(sums * (EFFECTIVE / (EFFECTIVE + n))[:, None])
-        return np.concatenate(out)
+            sizes.append(n * (EFFECTIVE / (EFFECTIVE + n)))
+        return np.concatenate(out), np.concatenate(sizes)
+
+    def evidence(self, texts) -> np.ndarray:
+        """Tempered log likelihood of each language for each text."""
+        return self._weighed(texts)[0]
+
+    def judged(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The evidence with a last column for none of these, and the best class by the text alone."""
+        e, size = self._weighed(texts)
+        if not self.languages:
+            return e, np.full(len(e), -1)
+        none = size * self.least[e.argmax(1)] + np.log(DOUBT)
+        e = np.column_stack((e, none))
+        return e, e.argmax(1)
 
 
 def fit(docs: DataFrame, label: str = "lang", most_rows: int = MOST_ROWS) -> TextModel:
     """A text model from the labelled rows of ``docs`` (doc_id, text, ``label``), with a language for each label."""
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce("text", F.lit("")).alias("__text"), F.col(label).alias("__lang")).where("__lang IS NOT NULL")
+    rows = rows.withColumn("__held", F.pmod(F.xxhash64(F.lit("held out"), "__id"), F.lit(HELD_OUT)) == 0)
     chosen = rows.select("__id", F.xxhash64("__id").alias("__order")).distinct().orderBy("__order", "__id").limit(most_rows).select("__id")
 
     def count(batches):
         total = {}
         for batch in batches:
-            langs = batch.column(1).to_pylist()
-            for lang in sorted(set(langs)):
-                mine = total.setdefault(lang, np.zeros(1 << BITS, np.int64))
-                for found, _ in grams([t for t, x in zip(batch.column(0).to_pylist(), langs) if x == lang]):
+            kinds = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            for kind in sorted(set(kinds)):
+                mine = total.setdefault(kind, np.zeros(1 << BITS, np.int64))
+                for found, _ in grams([t for t, x in zip(batch.column(0).to_pylist(), kinds) if x == kind]):
                     for f in found:
                         mine += np.bincount(f, minlength=1 << BITS)
-        for lang, mine in total.items():
+        for (lang, held), mine in total.items():
             at = np.flatnonzero(mine)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(mine[at])], names=["lang", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array([held] * len(at), pa.bool_()), pa.array(at), pa.array(mine[at])], names=["lang", "held", "gram", "n"])
 
     # No more than most_rows ids; the counts are no more than languages times trigrams.
-    sample = rows.join(F.broadcast(chosen), "__id", "left_semi").select("__text", "__lang")
-    counts = map_arrow(sample, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect()
-    languages = sorted({r.lang for r in counts})
-    table = np.zeros((1 << BITS, len(languages)))
-    for r in counts:
-        table[r.gram, languages.index(r.lang)] = r.n
-    return TextModel(languages, table)
+    sample = rows.join(F.broadcast(chosen), "__id", "left_semi").select("__text", "__lang", "__held")
+    counts = map_arrow(sample, count, "lang string, held boolean, gram long, n long").groupBy("lang", "held", "gram").agg(F.sum("n").alias("n")).toArrow()
+    languages = sorted(set(counts["lang"].to_pylist()))
+    place = {lang: i for i, lang in enumerate(languages)}
+    at = counts["gram"].to_numpy(), np.array([place[x] for x in counts["lang"].to_pylist()], np.int64)
+    table, left_out = np.zeros((1 << BITS, len(languages))), np.zeros((1 << BITS, len(languages)))
+    np.add.at(table, at, counts["n"].to_numpy())
+    np.add.at(left_out, at, np.where(counts["held"].to_numpy(), counts["n"].to_numpy(), 0))
+    return TextModel(languages, table, left_out)
 
 
 def with_evidence(rows: DataFrame, text: Column, host: Column | None = None, declared: Column | None = None, carry=None) -> DataFrame:
@@ -147,20 +192,20 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
 def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     """``row`` of each of ``rows`` (from ``with_evidence``) with its language, confidence and guess (by the text alone)."""
     n = len(model.languages)
+    classes = n + 1 if n else 0  # the last is none of these
     held = rows.sparkSession.sparkContext.broadcast(model)  # trigrams times languages
 
     def guess(batches):
         for batch in batches:
-            e = held.value.evidence(batch.column(0).to_pylist())
-            g = e.argmax(1) if n else np.full(len(e), -1)
+            _, g = held.value.judged(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(g.astype(np.int32))], names=[*LEVELS, "guess"])
 
     guesses = map_arrow(rows.select("text", *LEVELS), guess, ", ".join(f"{c} string" for c in LEVELS) + ", guess int")
     tallies = guesses.groupBy(*LEVELS, "guess").agg(F.count("*").alias("n"))
     tallies = stored(tallies, "language-tallies")  # as files their size is known, so small counts are broadcast and texts stay where they are
-    by = lambda c: tallies.groupBy(c).agg(F.array(*[F.sum(F.when(F.col("guess") == i, F.col("n")).otherwise(0)) for i in range(n)]).alias(f"{c}_n")) if n else tallies.groupBy(c).agg(F.array().cast("array<bigint>").alias(f"{c}_n"))
-    whole = np.zeros(n)
-    for r in tallies.groupBy("guess").agg(F.sum("n").alias("n")).collect():  # a row for each language
+    by = lambda c: tallies.groupBy(c).agg(F.array(*[F.sum(F.when(F.col("guess") == i, F.col("n")).otherwise(0)) for i in range(classes)]).alias(f"{c}_n")) if n else tallies.groupBy(c).agg(F.array().cast("array<bigint>").alias(f"{c}_n"))
+    whole = np.zeros(classes)
+    for r in tallies.groupBy("guess").agg(F.sum("n").alias("n")).collect():  # a row for each class
         if r["guess"] >= 0:
             whole[r["guess"]] = r.n
     joined = rows
@@ -172,23 +217,27 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
             rows_n = batch.num_rows
             if not rows_n:
                 continue
-            e = held.value.evidence(batch.column("text").to_pylist())
-            counts = {c: np.array(batch.column(f"{c}_n").to_pylist(), np.float64).reshape(rows_n, n) for c in LEVELS}
+            e, g = held.value.judged(batch.column("text").to_pylist())
+            counts = {c: np.array(batch.column(f"{c}_n").to_pylist(), np.float64).reshape(rows_n, classes) for c in LEVELS}
             if not n:
                 made = [pa.nulls(rows_n, pa.string()), pa.array(np.zeros(rows_n)), pa.nulls(rows_n, pa.string())]
             else:
-                g = e.argmax(1)
-                own = np.eye(n)[g]
-                share = (whole - own + 1) / (whole.sum() - 1 + n)
+                own = np.eye(classes)[g]
+                share = (whole - own + 1) / (whole.sum() - 1 + classes)
                 for c in ("domain", "host"):
                     others = counts[c] - own
                     share = (others + STRENGTH * share) / (others.sum(1, keepdims=True) + STRENGTH)
                 post = e + np.log(share)
                 for c in ("declared", "suffix"):  # of the texts of each language, how many have this value
-                    post = post + np.log((counts[c] - own + SMOOTH) / (whole - own + 2 * SMOOTH))
-                post = np.exp(_log_softmax(post))
+                    left, among = counts[c] - own, whole - own
+                    has = (left + SMOOTH) / (among + 2 * SMOOTH)
+                    # None of these may be empty: it starts from how many of all texts have this value.
+                    rate = (left.sum(1) + SMOOTH) / (among.sum(1) + 2 * SMOOTH)
+                    has[:, n] = (left[:, n] + rate) / (among[:, n] + 1)
+                    post = post + np.log(has)
+                post = np.exp(_log_softmax(post))[:, :n]
                 best = post.argmax(1)
-                name = np.array(held.value.languages, object)
+                name = np.array([*held.value.languages, None], object)
                 made = [pa.array(name[best], pa.string()), pa.array(post.max(1)), pa.array(name[g], pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *made], names=["row", "language", "confidence", "guess"])
 

@@ -70,6 +70,20 @@ def test_langid_without_labels_identifies_nothing(docs):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+FOREIGN = ["Все люди рождаются свободными и равными в своем достоинстве и правах", "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待",
+           "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw", "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan",
+           "8f3a09bc77e1d2045ab6cf90817e3d5526b4a90cc1f7e8d3" * 3, "?;:!.,-)(#;;:.?!--,.:;)(##!?" * 5]
+
+
+def test_langid_rejects_what_is_in_none_of_the_languages(spark):
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    texts = [(10**9 + i, t, None, "planted") for i, t in enumerate(FOREIGN)]
+    got = langid.digest(known.unionByName(spark.createDataFrame(texts, known.schema))).collect()
+    assert {r.doc_id: r.keep for r in got if r.doc_id >= 10**9} == {t[0]: False for t in texts}
+    assert {r.text_language for r in got if r.doc_id >= 10**9} == {None}
+    assert all(r.keep and r.text_language == r.language for r in got if r.doc_id < 10**9)
+
+
 def test_simhash_keeps_one_of_each_group(docs, none):
     kept = simhash.keep_one(docs)
     # 1 and its copy; null, empty and blank; the repeated row; each once.
