@@ -22,8 +22,9 @@ at least ``CONFIDENCE``, of which none of these takes its part.
 
 Rows are scored where they lie: only counts are shuffled, and counts are joined to rows by host, domain,
 suffix and declared language (a hot host's rows are split by adaptive execution, or its counts broadcast
-by size).  Null evidence is a value of its own, the empty string; null and empty texts have an even
-likelihood, so the other evidence decides.  Repeated rows count and are scored each; an empty table gives no rows;
+by size).  Null evidence is a value of its own, the empty string.  White space counts as one blank, and none
+at the ends.  Texts without trigrams (null, empty, blank, under 3 bytes) have an even likelihood and no
+guess, and are in no count, so the other evidence decides.  Repeated rows count and are scored each; an empty table gives no rows;
 without labelled rows nothing is identified (null, confidence 0).  All columns of the input go along in one struct, so no name clashes.
 """
 
@@ -67,8 +68,9 @@ def grams(texts):
     """Hashed trigrams of blocks of texts, as a list of arrays, and the number of each text.
 
     Memory is bounded: a text longer than a block is one of its own and comes in several arrays.
+    White space in a row is one blank, and none at the ends: markup leaves much of it.
     """
-    for _, held in blocks(texts, 1 << 18):
+    for _, held in blocks((" ".join(t.split()) if t else "" for t in texts), 1 << 18):
         if len(held) > 1 or len(held[0]) <= PIECE:
             found, n = _grams(held)
             yield [found], n
@@ -122,13 +124,13 @@ class TextModel:
         return self._weighed(texts)[0]
 
     def judged(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        """The evidence with a last column for none of these, and the best class by the text alone."""
+        """The evidence with a last column for none of these, and the best class by the text alone (-1: no trigrams)."""
         e, size = self._weighed(texts)
         if not self.languages:
             return e, np.full(len(e), -1)
         none = size * self.least[e.argmax(1)] + np.log(DOUBT)
         e = np.column_stack((e, none))
-        return e, e.argmax(1)
+        return e, np.where(size > 0, e.argmax(1), -1)
 
 
 def fit(docs: DataFrame, label: str = "lang", most_rows: int = MOST_ROWS) -> TextModel:
@@ -222,8 +224,8 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
             if not n:
                 made = [pa.nulls(rows_n, pa.string()), pa.array(np.zeros(rows_n)), pa.nulls(rows_n, pa.string())]
             else:
-                own = np.eye(classes)[g]
-                share = (whole - own + 1) / (whole.sum() - 1 + classes)
+                own = np.eye(classes)[g] * (g >= 0)[:, None]
+                share = (whole - own + 1) / (whole - own + 1).sum(1, keepdims=True)
                 for c in ("domain", "host"):
                     others = counts[c] - own
                     share = (others + STRENGTH * share) / (others.sum(1, keepdims=True) + STRENGTH)

@@ -84,6 +84,16 @@ def test_langid_rejects_what_is_in_none_of_the_languages(spark):
     assert all(r.keep and r.text_language == r.language for r in got if r.doc_id < 10**9)
 
 
+def test_langid_texts_without_trigrams_do_not_vote(spark):
+    text = {"de": "das haus und der garten des königs", "en": "the house and the garden of the king", "fr": "la maison et le jardin du roi"}
+    rows = [(i, t + f" {i}", x, "s" + x) for i in range(40) for x, t in text.items()]
+    rows += [(1000 + i, text["en"] + f" {i}", "en", "hot") for i in range(10)] + [(2000 + i, (None, "", "ab", " \n\t ")[i % 4], "en", "hot") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = langid.digest(docs).collect()
+    assert {(r.language, r.text_language, r.keep) for r in got if r.doc_id >= 2000} == {("en", None, True)}
+    assert {r.language for r in got if 1000 <= r.doc_id < 2000} == {"en"} and sorted({r.language for r in got if r.doc_id < 40}) == ["de", "en", "fr"]
+
+
 def test_simhash_keeps_one_of_each_group(docs, none):
     kept = simhash.keep_one(docs)
     # 1 and its copy; null, empty and blank; the repeated row; each once.
