@@ -16,8 +16,8 @@ fit the language (at least a uniform model's fit plus ``FLOOR``) to how well its
 starts at odds of ``DOUBT``; it has its own shares and its own declared languages and suffixes, like a language.
 
 The last three come from one grouped count of (host, domain, suffix, declared, text guess) over all rows;
-each row leaves itself out.  The text model is fit on labelled rows; the sample has a bound,
-``most_rows`` rows with the lowest hash of doc_id.  A row is kept if its best language is wanted and has
+each row leaves itself out.  The text model is fit on labelled rows.  Its languages are all labels of
+all rows; the sample has a bound for each of them, the ``most_rows`` ids with the lowest hash.  A row is kept if its best language is wanted and has
 at least ``CONFIDENCE``, of which none of these takes its part.
 
 Rows are scored where they lie: only counts are shuffled, and counts are joined to rows by host, domain,
@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import blocks, map_arrow, segment_sums, stored
@@ -133,11 +133,22 @@ class TextModel:
         return e, np.where(size > 0, e.argmax(1), -1)
 
 
+def _cuts(rows: DataFrame, most_rows: int) -> DataFrame:
+    """For each language the hash that is the ``most_rows``-th lowest of its ids (or the highest)."""
+    ids = stored(rows.select("__lang", "__order").distinct(), "label-hashes")
+    sizes = ids.groupBy("__lang").agg(F.count("*").alias("size"))
+    # Hashes are even, so twice the wanted part holds the wanted rows: a label of any size puts few into its window.
+    low = ids.join(F.broadcast(sizes), "__lang").where(F.col("__order") / F.lit(2.0 ** 63) * F.col("size") <= 2 * most_rows + 100)
+    first = low.withColumn("place", F.row_number().over(Window.partitionBy("__lang").orderBy("__order"))).where(F.col("place") <= most_rows)
+    return stored(first.groupBy("__lang").agg(F.max("__order").alias("__cut")), "label-cuts")
+
+
 def fit(docs: DataFrame, label: str = "lang", most_rows: int = MOST_ROWS) -> TextModel:
     """A text model from the labelled rows of ``docs`` (doc_id, text, ``label``), with a language for each label."""
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce("text", F.lit("")).alias("__text"), F.col(label).alias("__lang")).where("__lang IS NOT NULL")
+    rows = rows.where("__id IS NOT NULL").withColumn("__order", F.call_function("shiftrightunsigned", F.xxhash64("__id"), F.lit(1)))
     rows = rows.withColumn("__held", F.pmod(F.xxhash64(F.lit("held out"), "__id"), F.lit(HELD_OUT)) == 0)
-    chosen = rows.select("__id", F.xxhash64("__id").alias("__order")).distinct().orderBy("__order", "__id").limit(most_rows).select("__id")
+    cuts = _cuts(rows, most_rows)
 
     def count(batches):
         total = {}
@@ -152,8 +163,8 @@ def fit(docs: DataFrame, label: str = "lang", most_rows: int = MOST_ROWS) -> Tex
             at = np.flatnonzero(mine)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array([held] * len(at), pa.bool_()), pa.array(at), pa.array(mine[at])], names=["lang", "held", "gram", "n"])
 
-    # No more than most_rows ids; the counts are no more than languages times trigrams.
-    sample = rows.join(F.broadcast(chosen), "__id", "left_semi").select("__text", "__lang", "__held")
+    # A row for each language; the counts are no more than languages times trigrams.
+    sample = rows.join(F.broadcast(cuts), "__lang").where("__order <= __cut").select("__text", "__lang", "__held")
     counts = map_arrow(sample, count, "lang string, held boolean, gram long, n long").groupBy("lang", "held", "gram").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(counts["lang"].to_pylist()))
     place = {lang: i for i, lang in enumerate(languages)}

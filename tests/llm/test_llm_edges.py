@@ -94,6 +94,14 @@ def test_langid_texts_without_trigrams_do_not_vote(spark):
     assert {r.language for r in got if 1000 <= r.doc_id < 2000} == {"en"} and sorted({r.language for r in got if r.doc_id < 40}) == ["de", "en", "fr"]
 
 
+def test_langid_knows_rare_languages(spark):
+    rows = [(i, f"the house and the garden of the king {i}", "en", "s") for i in range(1000)] + [(5000 + i, f"das haus und der garten des königs {i}", "de", "s") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = langid.fit(docs, most_rows=20)
+    assert model.languages == ["de", "en"]
+    assert {(r.row.lang, r.language) for r in langid.identify(langid.document_evidence(docs), model).collect()} == {("de", "de"), ("en", "en")}
+
+
 def test_simhash_keeps_one_of_each_group(docs, none):
     kept = simhash.keep_one(docs)
     # 1 and its copy; null, empty and blank; the repeated row; each once.
