@@ -4,7 +4,8 @@ The library's pre-tokenizer cuts a text into pieces (words with their leading sp
 punctuation, white space) and merges inside each piece alone, so a piece has the same ids wherever
 it stands.  Pieces are found here with numpy over blocks of texts, and the library's model encodes
 each distinct piece once for each Python worker; a bounded table keeps the ids.  Texts with
-characters outside the ranges below go through the library's own ``encode``.
+characters outside the ranges below, or with an added token (such as ``<|endoftext|>``) spelt out, go
+through the library's own ``encode``.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.classes, self.letters = _class_table(), _byte_letters()
         rng = np.random.Generator(np.random.PCG64(7))
@@ -189,10 +190,14 @@ class Encoder:
         """The ids of each text in turn (null: none), with bounded memory beside the text itself."""
         for _, held in blocks(texts, size):
             joined, points = laid_out(held)
-            if settled(points, len(held)):
+            special = any(a in joined for a in self.added)
+            if not special and settled(points, len(held)):
                 yield from np.split(*self._cuts(held, joined, points))
                 continue
             for t in held:
+                if special and any(a in t for a in self.added):
+                    yield self.plain(t)
+                    continue
                 joined, points = laid_out([t])
                 yield self.block([t], joined, points)[0] if settled(points, 1) else self.plain(t)
 

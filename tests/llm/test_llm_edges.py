@@ -4,9 +4,10 @@ import hashlib
 
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ledgerlens.llm import ann, fingerprint, langid, mixing, packing, quality, simhash, tokens, urlfilter, warc
+from ledgerlens.llm import ann, fingerprint, langid, mixing, packing, quality, simhash, tokenize, tokens, urlfilter, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, words string, size long, row string, label int, copies int"
 LONG = " ".join(f"word{i % 977}" for i in range(250_000))  # over 2 MB
@@ -123,6 +124,13 @@ def test_packing_loses_no_token(docs, none):
     assert [(r.length, r.start) for r in rows if r.doc_id == 2] == [(1, 0)]
 
 
+def test_added_tokens_in_texts_are_the_librarys():
+    texts = ["a<|endoftext|>b", "plain text", "<|endoftext|>" * 3, "日本<|endoftext|> x", "<|endoftext", None]
+    fresh = Tokenizer.from_file(tokenize.default_path())
+    got = [x.tolist() for x in tokenize.Encoder.at(None).encode(texts)]
+    assert got == [fresh.encode(t or "", add_special_tokens=False).ids for t in texts] and got[0] == [64, 50256, 65]
+
+
 def test_url_filter_defined_for_all(spark):
     rows = [(1, None, 1), (2, "", 1), (3, "example.net/en/x", 1), (None, "http://A.net", 1), (5, "http://x.org/fr/?casino", 1), (5, "http://x.org/fr/?casino", 1), (6, "h://" + "a" * 3_000_000, 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, host long")
