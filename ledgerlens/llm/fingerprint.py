@@ -1,14 +1,16 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs, in built-in functions only.
 
-A fingerprint is an array of longs: the number of pieces, then ``DENSE`` words and ``LANES`` words,
-each of five 12-bit lanes that are summed modulo 2^12 side by side.
+A fingerprint is an array of longs: the number of pieces, then ``DENSE`` words of five 12-bit lanes that
+are summed modulo 2^12 side by side, 5 * ``LANES`` lanes with a long each, and ``DENSE`` sums modulo the
+prime 2^61 - 1.
 
 * A paragraph is what stands between line breaks.  Its dense words are five 12-bit parts of a 64-bit
-  hash of the whole paragraph, so sums that agree mean equal multisets of paragraphs.
+  hash of the whole paragraph, and its sums the hash's upper 61 bits.  Sums that agree mean equal
+  multisets of paragraphs, as repeats of a paragraph vanish modulo a prime only at its multiples.
 * A paragraph's pieces are its phrases, cut at blanks after punctuation.  Each adds a 0 or 1 (a hash bit) to each of the 120 lanes.
   A lane less half the number of pieces is a sum of +-1/2 over the pieces, so the products of two
   documents' lanes estimate the inner product of their counts of pieces, and from it the cosine:
-  that is the likeness (standard error about 0.09).
+  that is the likeness (standard error about 0.09).  Lanes don't wrap, however long the text.
 
 Sums don't depend on order, and ``plus`` and ``minus`` insert and delete paragraphs without the
 rest of the text.  Null text counts as empty; the empty text has the zero fingerprint, and two empty
@@ -27,7 +29,9 @@ LOW = HIGH - ONES                           # the others
 PART = HIGH | LOW
 PARAGRAPH_BREAK = "[\\r\\n]+"
 PIECE_BREAK = "[\\r\\n]+|(?<=[^\\p{L}\\p{N}\\s])[ \\t]+"
-FIELDS = 1 + DENSE + LANES
+PRIME = (1 << 61) - 1
+FIELDS = 1 + DENSE + 5 * LANES + DENSE
+SHORT = 1023   # up to so many pieces the digits are the count and the words modulo 2^12 alone
 
 
 def _plus(a: Column, b: Column) -> Column:
@@ -53,44 +57,62 @@ def of_text(text: Column) -> Column:
 
     def bits(values: Column) -> Column:
         # A 64-bit hash serves twelve words: shifted by k, every twelfth bit is another set of five bits.
-        return F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: F.aggregate(
-            values, zero, lambda a, h: (a.bitwiseAND(F.lit(LOW)) + F.call_function("shiftrightunsigned", h, k).bitwiseAND(F.lit(ONES))).bitwiseXOR(a.bitwiseAND(F.lit(HIGH)))))
+        # So many hashes are summed at a time that no 12-bit lane is full; the parts' lanes are then added as longs.
+        most = MODULUS - 1
+        parts = F.transform(F.sequence(F.lit(0), F.floor(F.size(values) / most).cast("int")), lambda i: F.slice(values, i * most + 1, F.lit(most)))
+        sums = lambda v, k: F.aggregate(v, zero, lambda a, h: a + F.call_function("shiftrightunsigned", h, k).bitwiseAND(F.lit(ONES)))
+        lane = lambda words, i: F.aggregate(words, zero, lambda a, w: a + F.call_function("shiftright", w, i * 12).bitwiseAND(F.lit(MODULUS - 1)))
+        by_part = F.transform(F.array(parts), lambda p: F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: F.transform(p, lambda v: sums(v, k))))[0]
+        return F.flatten(F.transform(by_part, lambda words: F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: lane(words, i))))
+
+    def prime_sum(values: Column) -> Column:
+        return F.aggregate(values, zero, lambda a, h: (a + F.call_function("shiftrightunsigned", h, F.lit(3))) % PRIME)
 
-    dense = F.array(*[total(hashes(PARAGRAPH_BREAK, j), lambda h: h.bitwiseAND(F.lit(PART))) for j in range(DENSE)])
     # Lambda variables bind the arrays, which are computed once.
-    bound = F.transform(F.array(F.array(hashes(PIECE_BREAK, 101), hashes(PIECE_BREAK, 102))), lambda x: F.concat(
-        F.array(F.size(x[0]).cast("long")), dense, bits(x[0]), bits(x[1])))
+    dense = F.transform(F.array(F.array(*[hashes(PARAGRAPH_BREAK, j) for j in range(DENSE)])), lambda x: F.struct(
+        F.transform(x, lambda v: total(v, lambda h: h.bitwiseAND(F.lit(PART)))).alias("words"), F.transform(x, prime_sum).alias("sums")))
+    bound = F.transform(F.arrays_zip(F.array(F.array(hashes(PIECE_BREAK, 101), hashes(PIECE_BREAK, 102))).alias("x"), dense.alias("d")), lambda z: F.concat(
+        F.array(F.size(z["x"][0]).cast("long")), z["d"]["words"], bits(z["x"][0]), bits(z["x"][1]), z["d"]["sums"]))
     return bound[0]
 
 
+def _by_field(a: Column, b: Column, packed, lanes, sums) -> Column:
+    return F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x, i: F.when((i > 0) & (i <= DENSE), packed(x["a"], x["b"])).when(
+        i < FIELDS - DENSE, lanes(x["a"], x["b"])).otherwise(sums(x["a"], x["b"])))
+
+
 def plus(a: Column, b: Column) -> Column:
     """Fingerprint of both texts' paragraphs together."""
-    return F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x, i: F.when(i == 0, x["a"] + x["b"]).otherwise(_plus(x["a"], x["b"])))
+    return _by_field(a, b, _plus, lambda x, y: x + y, lambda x, y: (x + y) % PRIME)
 
 
 def minus(a: Column, b: Column) -> Column:
     """Fingerprint of the first text without the second's paragraphs, which it has."""
-    return F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x, i: F.when(i == 0, x["a"] - x["b"]).otherwise(_minus(x["a"], x["b"])))
+    return _by_field(a, b, _minus, lambda x, y: x - y, lambda x, y: F.pmod(x - y, F.lit(PRIME)))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated cosine of the two texts' counts of pieces, 0 to 1; 1 for equal fingerprints."""
 
-    def centred(words: Column, word: Column, lane: Column) -> Column:
-        half = F.floor(words[0] / 2)
-        value = F.call_function("shiftright", F.get(words, word), lane * 12).bitwiseAND(F.lit(MODULUS - 1))
-        return F.pmod(value - half + MODULUS // 2, F.lit(MODULUS)) - MODULUS // 2 + half - words[0] / 2
-
-    lanes = F.transform(F.sequence(F.lit(0), F.lit(5 * LANES - 1)), lambda i: F.array(*[
-        centred(x, (F.floor(i / 5) + (1 + DENSE)).cast("int"), F.pmod(i, F.lit(5))) for x in (a, b)]))
+    centred = lambda x: F.transform(F.slice(x, 2 + DENSE, 5 * LANES), lambda v: v - x[0] / 2)
+    lanes = F.zip_with(centred(a), centred(b), lambda x, y: F.array(x, y))
     sums = F.aggregate(lanes, F.array(*[F.lit(0.0)] * 3), lambda s, x: F.array(s[0] + x[0] * x[1], s[1] + x[0] * x[0], s[2] + x[1] * x[1]))
     cosine = F.transform(F.array(sums), lambda s: F.when(s[1] * s[2] == 0, F.lit(0.0)).otherwise(s[0] / F.sqrt(s[1] * s[2])))[0]
     return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)))
 
 
 def as_text(words: Column) -> Column:
-    """The fingerprint as lower-case hexadecimal digits."""
-    return F.lower(F.array_join(F.transform(words, lambda w, i: F.when(i == 0, F.lpad(F.hex(w), 8, "0")).otherwise(F.lpad(F.hex(w), 15, "0"))), ""))
+    """The fingerprint as lower-case hexadecimal digits.
+
+    That is the count, the dense words and the lanes modulo 2^12, five in a word; with more than ``SHORT`` pieces,
+    where many repeats could vanish modulo 2^12, the sums and the rest of each lane follow.
+    """
+    digits = lambda values, n: F.array_join(F.transform(values, lambda w: F.lpad(F.hex(w), n, "0")), "")
+    lanes = F.slice(words, 2 + DENSE, 5 * LANES)
+    packed = F.transform(F.array(lanes), lambda x: F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda k: sum(
+        (F.call_function("shiftleft", F.get(x, k * 5 + i).bitwiseAND(F.lit(MODULUS - 1)), F.lit(12 * i)) for i in range(1, 5)), F.get(x, k * 5).bitwiseAND(F.lit(MODULUS - 1)))))[0]
+    rest = F.concat(digits(F.slice(words, FIELDS - DENSE + 1, DENSE), 16), digits(F.transform(lanes, lambda v: F.call_function("shiftright", v, F.lit(12))), 5))
+    return F.lower(F.concat(F.lpad(F.hex(words[0]), 8, "0"), digits(F.slice(words, 2, DENSE), 15), digits(packed, 15), F.when(words[0] > SHORT, rest).otherwise("")))
 
 
 def _askers(docs: DataFrame) -> DataFrame:

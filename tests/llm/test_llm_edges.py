@@ -57,6 +57,14 @@ def test_fingerprint_next_of_last_is_first_and_null_is_empty(docs):
     assert rows[8].n_chars == len(LONG)
 
 
+def test_fingerprints_of_many_repeats(spark):
+    others = "".join(f"Line {i}.\n" for i in range(50))
+    rows = [("P.\n" * 4096, "Q.\n" * 4096, False), *[("One line.\n" * n, "One line.\n" * (n // 2) + others, True) for n in (4096, 5000, 8000)]]
+    a, b = (fingerprint.of_text(F.col(c)) for c in ("x", "y"))
+    got = spark.createDataFrame(rows, "x string, y string, near boolean").select("near", fingerprint.likeness(a, b).alias("l"), fingerprint.as_text(a).alias("a"), fingerprint.as_text(b).alias("b")).collect()
+    assert all(r.a != r.b and (r.l > 0.95 if r.near else r.l < 0.5) for r in got)
+
+
 def test_quality_keeps_columns(docs, labels, none):
     w = quality.fit(docs, labels)
     kept = quality.keep(docs, w, 0.0)
