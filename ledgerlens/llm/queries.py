@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import ann, fingerprint, langid, mixing, packing, quality, simhash, tokens, urlfilter, warc
+from ledgerlens.llm import ann, divergence, fingerprint, infill, langid, mixing, packing, quality, simhash, tokens, urlfilter, warc
 from ledgerlens.llm.common import table
 
 
@@ -51,9 +51,17 @@ def op10_nearest_neighbours(spark, sf_dir):
     return ann.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    return infill.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def registry():
-    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op4_warc_fixity, op5_language_id, llm_language_id_pages, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter, op10_nearest_neighbours)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op4_warc_fixity, op5_language_id, llm_language_id_pages, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter, op10_nearest_neighbours, op11_fill_in_middle, op13_source_divergence)}
 
 
 def oracle():
-    return {"op6_mixing_sources": mixing.ORACLE, "op9_url_filter": urlfilter.ORACLE}
+    return {"op6_mixing_sources": mixing.ORACLE, "op9_url_filter": urlfilter.ORACLE, "op11_fill_in_middle": infill.ORACLE, "op13_source_divergence": divergence.ORACLE}
