@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import ann, divergence, fingerprint, infill, langid, mixing, packing, quality, simhash, tokens, urlfilter, warc
+from ledgerlens.llm import ann, divergence, fingerprint, infill, langid, mixing, packing, quality, setjoin, simhash, tokens, urlfilter, warc
 from ledgerlens.llm.common import table
 
 
@@ -55,12 +55,16 @@ def op11_fill_in_middle(spark, sf_dir):
     return infill.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_ngram_jaccard_join(spark, sf_dir):
+    return setjoin.digest(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark, sf_dir):
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
 def registry():
-    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op4_warc_fixity, op5_language_id, llm_language_id_pages, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter, op10_nearest_neighbours, op11_fill_in_middle, op13_source_divergence)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op2_quality_classifier, op3_simhash_near_dedup, op4_warc_fixity, op5_language_id, llm_language_id_pages, op6_mixing_sources, op7_best_fit_packing, op8_token_shards, op9_url_filter, op10_nearest_neighbours, op11_fill_in_middle, op12_ngram_jaccard_join, op13_source_divergence)}
 
 
 def oracle():
