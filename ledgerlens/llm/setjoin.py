@@ -46,7 +46,6 @@ PERCENT = 80       # of the union that two sets must share
 ORDER_BITS = 24    # the sketch of counts has 2^24 places of one byte
 CHUNK = 1 << 16
 BLOCK = 1 << 19    # shingles in a block of a cluster
-ALONE = 2          # the class of shingles that one set has (see Tally.order)
 LISTED = "token long, c long, n int, pos int"
 SHARED = "c long, n int, pivot long"
 ANSWERS = "a long, b long, links long"
@@ -109,7 +108,7 @@ class Tally:
 
     @staticmethod
     def order(parts: DataFrame, bits: int) -> np.ndarray:
-        """One byte for each place, twice the logarithm of its count over all tasks: 0 for none, ``ALONE`` for one, more for more."""
+        """One byte for each place, twice the logarithm of its count over all tasks: 0 for none, more for more."""
 
         def summed(batches):
             total = {}
@@ -183,7 +182,7 @@ def _each_set(batches, shingle: int, seed: int):
 
 
 def index_lists(docs: DataFrame, order, shingle: int, percent: int, bits: int, seed: int) -> DataFrame:
-    """The lists' entries: token, c, n, pos, for the shingles of each prefix that more than one set may have."""
+    """The lists' entries: token, c, n, pos, for the shingles of each prefix."""
     level = docs.sparkSession.sparkContext.broadcast(order)  # 2^bits bytes
 
     def work(batches):
@@ -196,10 +195,8 @@ def index_lists(docs: DataFrame, order, shingle: int, percent: int, bits: int, s
             kind = at[s >> np.uint64(64 - bits)]
             n = len(s)
             first = np.argsort(kind, kind="stable")[:n - -(-percent * n // 100) + 1]  # s is in order, so equal kinds are by hash
-            pos = np.flatnonzero(kind[first] > ALONE)
-            if len(pos):
-                held.append((s[first[pos]].view(np.int64), np.full(len(pos), c, np.int64), np.full(len(pos), n, np.int32), pos.astype(np.int32)))
-                size += len(pos)
+            held.append((s[first].view(np.int64), np.full(len(first), c, np.int64), np.full(len(first), n, np.int32), np.arange(len(first), dtype=np.int32)))
+            size += len(first)
             if size > 200_000:
                 yield from out()
                 held, size = [], 0
