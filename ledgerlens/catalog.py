@@ -83,6 +83,12 @@ def _r2(spark, sf):
     return Q6.city_segmentation(V.enriched(t, "A"), t.customers, since=SINCE)
 
 
+def _b1(spark, sf):
+    from ledgerlens.plans import cashback as B
+    e = V.enriched(_t(spark, sf), "A")
+    return B.campaign_totals(B.eligible(e, None, B.monthly_campaigns(e)))
+
+
 def registry() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "v1_enriched_fact": _enriched_out,
@@ -136,6 +142,10 @@ def registry() -> dict[str, QueryFn]:
             _t(s, sf).transactions_a, _t(s, sf).customers, start=COHORT_START, n=COHORTS, with_signups=True),
         "q3_5b_worst_merchants": _ea(lambda e: Q3.merchant_success_rates(e, min_txns=Q35_MIN_TXNS, ascending=True)),
         "q4_3b_daily_volume_spine": _eb(Q4.daily_volume_spine),
+        # mechanisms that the rows above need at scale
+        "q4_3c_moving_ticket": lambda s, sf: Q4.moving_ticket(_t(s, sf).transactions_a),
+        "q4_6c_sketched_active_users": _ea(Q4.sketched_active_users),
+        "b1_overlapping_campaigns": _b1,
     }
     q.update(extended_registry())
     return q

@@ -2,9 +2,9 @@
 
 B1 is an interval join: a transaction qualifies for a campaign when its
 merchant category is the campaign's target and its timestamp lies in
-[start, end + 1 day).  Campaigns are a handful of rows (proven bound), so
-they are broadcast and the join stays a hash join on category plus a range
-condition.  B2 replaces the reference's seeded sample by a repeatable
+[start, end + 1 day).  It runs on the interval index (``operators/intervals``),
+so any number of overlapping campaigns in one category spreads over buckets
+of days instead of meeting in one task.  B2 replaces the reference's seeded sample by a repeatable
 per-(transaction, campaign) hash threshold, independent of partitioning.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
+from ledgerlens.operators.intervals import days, interval_join
 from ledgerlens.plans.quality import clean_transactions
 from ledgerlens.sources import schemas as S
 
@@ -37,12 +38,30 @@ def eligible(txn: DataFrame, merchants: DataFrame | None, campaigns: DataFrame)
     else:
         tx = txn.where(X.is_success()).select("transaction_id", "merchant_id", "amount", "txn_timestamp")
         tx = tx.join(merchants.select("merchant_id", "category"), "merchant_id")
-    c = (campaigns.select("campaign_id", "target_category", "start_date", "end_date",
-                                     "cashback_rate", "max_cashback", "attach_rate"))
-    cond = ((tx.category == c.target_category)
-            & (tx.txn_timestamp >= c.start_date.cast("timestamp_ntz"))
-            & (tx.txn_timestamp < F.date_add(c.end_date, 1).cast("timestamp_ntz")))
-    return tx.join(c, cond, "inner")
+    c = campaigns.select("campaign_id", F.col("target_category").alias("category"), "cashback_rate", "max_cashback", "attach_rate",
+                         days(F.col("start_date")).alias("first_day"), (days(F.col("end_date")) + 1).alias("after_day"))
+    tx = tx.withColumn("day", days(F.to_date("txn_timestamp")))
+    return interval_join(tx, c, "category", "day", "first_day", "after_day")
+
+
+def campaign_totals(elig: DataFrame) -> DataFrame:
+    """Eligible transactions of each campaign and the cashback that they would earn."""
+    g = elig.groupBy("campaign_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.round(F.col("amount") * 100).cast("long")).alias("cents"),
+        F.sum((F.least(F.round(F.col("amount") * F.col("cashback_rate"), 2), F.col("max_cashback")) * 100).cast("long")).alias("earned"))
+    return g.select("campaign_id", F.col("n").cast("bigint").alias("eligible"), F.col("cents").alias("amount_cents"), F.col("earned").alias("cashback_cents"))
+
+
+def monthly_campaigns(e: DataFrame) -> DataFrame:
+    """A campaign for each category and month with sales, from the month's first day on, 10 to 65 days long: they overlap."""
+    month = F.to_date(F.date_trunc("month", "txn_date"))
+    g = e.select(F.col("merchant_category").alias("target_category"), month.alias("start_date")).distinct()
+    length = 10 + 5 * (F.month("start_date") % 12)
+    return g.select(
+        F.concat_ws(":", "target_category", F.date_format("start_date", "yyyy-MM")).alias("campaign_id"), "target_category", "start_date",
+        F.date_add("start_date", length - 1).alias("end_date"), F.lit("0.0500").cast("decimal(6,4)").alias("cashback_rate"),
+        F.lit("75.00").cast(S.MONEY).alias("max_cashback"), F.lit(1.0).alias("attach_rate"))
 
 
 def attached(elig: DataFrame) -> DataFrame:

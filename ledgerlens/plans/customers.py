@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
+from ledgerlens.operators.bitsets import active, month_number, month_sets
 from ledgerlens.operators.ranking import Key, materialize, ntile_from_rank, tile_scores
 
 
@@ -103,22 +104,18 @@ def cohort_retention(txn: DataFrame, customers: DataFrame, start: str = "2023-01
                      offsets: tuple[int, ...] = (1, 3, 6), with_signups: bool = False) -> DataFrame:
     """Q2.5: signup-month cohorts; customers active k months after signing up.
 
-    Transactions are reduced to distinct (customer, month) before the join,
-    and the per-offset distinct counts become per-customer flags, so no
-    ``Expand`` multiplies the fact.
+    Transactions are reduced to one set of active months a customer (bits), and
+    every offset is a shift on it: no offset adds a shuffle or an ``Expand``.
     """
-    months = txn.select("customer_id",
-                        (F.year("txn_timestamp") * 12 + F.month("txn_timestamp")).alias("ym")).distinct()
+    months = month_sets(txn, "customer_id", F.col("txn_timestamp"))
     firsts = customers.select(
         "customer_id",
         F.date_format("registration_date", "yyyy-MM").alias("cohort"),
-        (F.year("registration_date") * 12 + F.month("registration_date")).alias("cym"),
+        month_number(F.col("registration_date")).alias("signup"),
     ).where(F.col("cohort") >= start)
-    act = months.join(firsts, "customer_id").withColumn("month_offset", F.col("ym") - F.col("cym"))
-    per = act.groupBy("cohort", "customer_id").agg(
-        *[F.max(F.when(F.col("month_offset") == k, 1).otherwise(0)).alias(f"f{k}") for k in offsets])
+    per = months.join(firsts, "customer_id")
     g = per.groupBy("cohort").agg(F.count(F.lit(1)).alias("cohort_size"),
-                                  *[F.sum(f"f{k}").alias(f"m{k}_active") for k in offsets])
+                                  *[F.sum(active(F.col("months"), F.col("signup") + k)).alias(f"m{k}_active") for k in offsets])
     out = g.select("cohort", F.col("cohort_size").cast("bigint"),
                    *[F.col(f"m{k}_active").cast("bigint") for k in offsets])
     if with_signups:

@@ -2,7 +2,7 @@
 
 Ordered windows here run over one row per hour, day or month: their size is
 bounded by the calendar, not by the data, so a single window partition is
-the right plan.
+the right plan.  Frames over transactions (``moving_ticket``) go by blocks.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import exprs as X
+from ledgerlens.operators.distinct import bound, counts, estimate, exact, merged, sketches
+from ledgerlens.operators.ranking import Key
+from ledgerlens.operators.sliding import global_lag, sliding
 
 
 def hourly_distribution(e: DataFrame) -> DataFrame:
@@ -118,3 +121,34 @@ def true_stickiness(e: DataFrame) -> DataFrame:
         X.round_ratio(F.col("sum_dau"), F.col("days"), 0).alias("avg_daily_active"),
         X.round_ratio(F.col("sum_dau"), F.col("days") * F.col("mau"), 1, 100).alias("stickiness_pct"),
     ).orderBy("txn_year_month")
+
+
+def moving_ticket(txn: DataFrame, window_rows: int = 7) -> DataFrame:
+    """Q4.3's moving average over transactions instead of days: each one's amount, the one before and the average of the last rows.
+
+    The order has a row for each transaction, so the frames run over frozen ranges with halos (``operators/sliding``).
+    """
+    rows = txn.select("transaction_id", "txn_timestamp", "amount_cents")
+    keys = [Key("txn_timestamp"), Key("transaction_id"), Key("amount_cents")]
+    out = sliding(rows, keys, {"total": F.sum("amount_cents"), "n": F.count("amount_cents")}, window_rows - 1)
+    out = global_lag(out, keys, "amount_cents", 1, "prev_cents")
+    return out.select("transaction_id", F.to_date("txn_timestamp").alias("txn_date"), "amount_cents", "prev_cents",
+                      X.round_ratio(F.col("total"), F.col("n"), 2).alias("ma7_cents"))
+
+
+def sketched_active_users(e: DataFrame) -> DataFrame:
+    """Q4.5 and Q4.6 from daily sketches: monthly users by merging days, each estimate held against the exact count.
+
+    ``mau_within`` and ``days_within`` say whether (and on how many days) the estimate lies within the sketch's bound.
+    """
+    most = bound()
+    daily = sketches(e, ["txn_year_month", "txn_date"], "customer_id")
+    monthly = merged(daily, ["txn_year_month"]).select("txn_year_month", estimate().alias("about"))
+    pairs = exact(e, ["txn_year_month", "txn_date"], "customer_id")
+    near = lambda about, n: F.abs(F.col(about) - F.col(n)) <= F.greatest(F.lit(1.0), F.col(n) * most)
+    mau = counts(pairs, ["txn_year_month"], "customer_id", "mau")
+    dau = counts(pairs, ["txn_year_month", "txn_date"], "customer_id", "dau")
+    days = daily.select("txn_year_month", "txn_date", estimate().alias("about")).join(dau, ["txn_year_month", "txn_date"])
+    days = days.groupBy("txn_year_month").agg(F.count(F.lit(1)).alias("days"), F.count_if(near("about", "dau")).alias("days_within"))
+    return monthly.join(mau, "txn_year_month").join(days, "txn_year_month").select(
+        "txn_year_month", F.col("mau").cast("bigint"), near("about", "mau").alias("mau_within"), F.col("days").cast("bigint"), F.col("days_within").cast("bigint")).orderBy("txn_year_month")
