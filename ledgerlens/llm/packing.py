@@ -1,7 +1,7 @@
 """Best-fit packing of token sequences, certified by dual-feasible lower bounds, with exchange between partitions.
 
 Documents become pieces of at most ``capacity`` tokens: only a longer document is cut, its first
-piece taking what is over.  The pieces are dealt out by hash, and each partition packs its own by
+piece taking what is over.  The pieces are dealt out by a hash of their row, and each partition packs its own by
 best-fit decreasing and computes a lower bound on its bins from two families of dual-feasible
 functions.  Bins equal to the bound certify the partition, and all its bins but the emptiest stay.
 A partition with a gap keeps its full bins only.  What is left is dealt out again among fewer
@@ -22,7 +22,7 @@ from ledgerlens.llm.common import map_arrow, stored
 from ledgerlens.llm.tokenize import END_ID, Encoder, id_crc
 
 CAPACITY = 1024
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, deal long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long, certified boolean, settled boolean"
 #: Pieces in a partition: bounds a task's memory (about 100 bytes each) and is enough for a tight packing.
 PER_PARTITION = 200_000
@@ -34,7 +34,7 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None
 
     def pieces(batches):
         encoder = Encoder.at(vocabulary)
-        names = ["doc_id", "piece", "start", "length", "ids_crc32", "deal"]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
@@ -50,10 +50,9 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None
                     a, n, k = a + n, capacity, k + 1
             row = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(row), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-                                              pa.array(crc, pa.int64()), batch.column(2).take(row)], names=names)
+                                              pa.array(crc, pa.int64())], names=names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("deal"))
-    return map_arrow(rows, pieces, PIECES)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), pieces, PIECES)
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
@@ -102,6 +101,12 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets, np.array(made, np.int64)
 
 
+def dealt(pieces: DataFrame, partitions: int, number: int) -> DataFrame:
+    """``pieces`` by a hash of a row's place in the stored files, which a retry reads alike: equal rows are dealt apart."""
+    rows = pieces.select(*[c.split()[0] for c in PIECES.split(", ")]).withColumn("deal", F.xxhash64(F.monotonically_increasing_id(), F.lit(number)))
+    return rows.repartition(partitions, "deal").drop("deal")
+
+
 def _round(pieces: DataFrame, number: int, last: bool, partitions: int, capacity: int) -> DataFrame:
     def pack(batches):
         held = [b for b in batches if b.num_rows]
@@ -123,8 +128,7 @@ def _round(pieces: DataFrame, number: int, last: bool, partitions: int, capacity
         rows = rows.append_column("certified", pa.array(np.full(n, certified))).append_column("settled", pa.array(settled[bins]))
         yield from rows.to_batches(max_chunksize=20_000)
 
-    dealt = pieces.select(*[c.split()[0] for c in PIECES.split(", ")]).repartition(partitions, F.xxhash64("deal", "piece", F.lit(number)))
-    return stored(map_arrow(dealt, pack, PACKED), "packed")
+    return stored(map_arrow(dealt(pieces, partitions, number), pack, PACKED), "packed")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, per_partition: int = PER_PARTITION,

@@ -5,10 +5,12 @@ its own.  ``leaves`` reads an archive's files back and hashes each record's byte
 bytes can't be taken for one at its place is skipped to the next gzip member.  ``tree`` hashes ordered runs
 of ``FANOUT`` nodes, with the offset range that they cover, into the node above, up to a root for each file.
 ``audit`` compares the roots of two replicas and then only the children of nodes that differ, level by
-level, down to the records that are changed, missing or extra.
+level, down to the records that differ by place.  ``align`` matches these by digest, record id and order,
+so one dropped record is one missing record, though all behind it have moved.
 
-Levels are small joins and groups of at most ``FANOUT`` rows by (file, level, place): no file's
-records meet in one task beyond reading the file, and no tree is collected.
+Levels are small joins and groups of at most ``FANOUT`` rows by (file, level, place); alignment sorts the
+places of a file that has gaps on both sides.  No more of a file's records meet in one task than in reading
+the file, and no tree is collected.
 
 Null urls and texts are written as empty; repeated rows are records each; null ids stay null.  A
 very long page is a long record.  An empty table makes an archive without files, and an audit without rows.
@@ -24,7 +26,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import map_arrow, open_fs, shared_path, stored
@@ -187,6 +189,82 @@ def audit(ours: list[DataFrame], theirs: list[DataFrame], fanout: int = FANOUT)
     return differ.select("file", "place", "start", "stop", "other_start", "other_stop", status.alias("status"))
 
 
+def align(ours: DataFrame, theirs: DataFrame, found: DataFrame) -> DataFrame:
+    """Match the records behind the differences of ``audit``: file, place, other_place, status.
+
+    A record that is missing or inserted moves all behind it, so what differs by place is matched anew in
+    its file: first by the digest (such records are intact, at whatever place: ``same``), then by record id,
+    then, where damage took the id, by order between two matched neighbours (both ``changed``).  What is
+    left is ``missing`` or ``extra``.
+    """
+    nth = lambda *by: F.row_number().over(Window.partitionBy("file", *by).orderBy("place"))
+    side = lambda status, leaves: found.where(F.col("status") != status).select("file", "place").join(leaves.select("file", "place", "digest", "record_id"), ["file", "place"]).checkpoint()
+    mine, other = side("extra", ours), side("missing", theirs)
+
+    def matched(a, b, *by):
+        b = b.withColumn("nth", nth(*by)).select("file", *by, "nth", F.col("place").alias("other_place"))
+        return a.withColumn("nth", nth(*by)).join(b, ["file", *by, "nth"]).select("file", "place", "other_place").checkpoint()
+
+    def rest(a, b, pairs):
+        return (a.join(pairs, ["file", "place"], "left_anti").checkpoint(), b.join(pairs.select("file", F.col("other_place").alias("place")), ["file", "place"], "left_anti").checkpoint())
+
+    intact = matched(mine, other, "digest")
+    a, b = rest(mine, other, intact)
+    named = matched(a.where("record_id IS NOT NULL"), b.where("record_id IS NOT NULL"), "record_id")
+    a, b = rest(a, b, named)
+    # What is left lies in gaps: a gap has the number of our last matched record before it.
+    pairs = intact.unionByName(named)
+    files = a.select("file").intersect(b.select("file"))
+    before = Window.partitionBy("file").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+
+    def in_gaps(left, leaves, differ, anchors):
+        at = leaves.select("file", "place").join(files, "file", "left_semi").join(differ.select("file", "place", F.lit(True).alias("differs")), ["file", "place"], "left")
+        at = at.join(anchors, ["file", "place"], "left").withColumn("anchor", F.when(F.col("differs").isNull(), F.col("place")).otherwise(F.col("anchor")))
+        gap = at.select("file", "place", F.coalesce(F.last("anchor", ignorenulls=True).over(before), F.lit(-1).cast("long")).alias("gap"))
+        return left.join(gap, ["file", "place"])
+
+    in_order = matched(in_gaps(a, ours, mine, pairs.select("file", "place", F.col("place").alias("anchor"))),
+                       in_gaps(b, theirs, other, pairs.select("file", F.col("other_place").alias("place"), F.col("place").alias("anchor"))), "gap")
+    a, b = rest(a, b, in_order)
+    status = lambda df, name: df.withColumn("status", F.lit(name))
+    none = F.lit(None).cast("long")
+    return status(intact, "same").unionByName(status(named.unionByName(in_order), "changed")).unionByName(
+        status(a.select("file", "place", none.alias("other_place")), "missing")).unionByName(status(b.select("file", none.alias("place"), F.col("place").alias("other_place")), "extra"))
+
+
+def copy_records(files: DataFrame, edit, folder: str | None = None) -> DataFrame:
+    """Copy an archive record by record; ``edit`` (file, number, bytes) gives the bytes to write instead, for trials."""
+    folder = folder or shared_path(files.sparkSession, "warc-edited")
+
+    def copy(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                fs, inner = open_fs(row["path"])
+                path = f"{folder}/{row['path'].rsplit('/', 1)[1].split('.')[0]}-{uuid.uuid4().hex}.warc.gz"
+                to, to_inner = open_fs(path)
+                to.create_dir(to_inner.rsplit("/", 1)[0], recursive=True)
+                with fs.open_input_stream(inner, compression=None) as source, to.open_output_stream(to_inner, compression=None) as out:
+                    for number, (_, _, _, raw) in enumerate(_Stream(source)):
+                        out.write(edit(row["file"], number, raw))
+                yield pa.RecordBatch.from_pylist([row | {"path": path}], schema=batch.schema)
+
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_arrow(files.repartition(n), copy, FILES).checkpoint()
+
+
+def dropped_and_inserted(every: int, drop: int = 10, insert: int = 30):
+    """Edits for trials: of every ``every`` records of a file, one is dropped, and before another a foreign one is inserted."""
+
+    def edit(file: int, number: int, raw: bytes) -> bytes:
+        if number % every == drop % every:
+            return b""
+        if number % every == insert % every:
+            return record(None, "urn:inserted", b"inserted", str(uuid.uuid5(uuid.NAMESPACE_URL, f"inserted/{file}/{number}"))) + raw
+        return raw
+
+    return edit
+
+
 def copy_archive(files: DataFrame, folder: str | None = None, damage=None) -> DataFrame:
     """Copy an archive's files to another folder.  ``damage`` (file, data of a window, its offset) may change the bytes, for trials."""
     folder = folder or shared_path(files.sparkSession, "warc-replica")
@@ -221,15 +299,20 @@ def planted(every: int):
     return change
 
 
-def fixity(pages: DataFrame, damage_every: int = 64) -> DataFrame:
-    """Archive ``pages``, copy the archive with planted damage, and audit the copy: every record with its status in the copy.
+def compared(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Every record of two replicas (their ``leaves``) with its status: page_id, file, record, offset, length, digest, status.
 
-    ``same`` if no branch above it differs down to it; the offsets and the digest are the first archive's.
+    ``same`` if no branch above it differs down to it, or if it is there at another place; ``changed``; ``missing``
+    in theirs; ``extra`` there.  Places, offsets and digests are ours, but for extra records, which have theirs.
     """
+    found = align(ours, theirs, audit(tree(ours), tree(theirs))).checkpoint()
+    out = ours.join(found.where("status <> 'extra'").select("file", "place", "status"), ["file", "place"], "left").withColumn("status", F.coalesce("status", F.lit("same")))
+    extra = theirs.join(found.where("status = 'extra'").select("file", F.col("other_place").alias("place"), "status"), ["file", "place"])
+    return out.unionByName(extra).select("page_id", "file", F.col("place").alias("record"), F.col("start").alias("offset"), (F.col("stop") - F.col("start")).alias("length"), "digest", "status")
+
+
+def fixity(pages: DataFrame, damage_every: int = 64, edit_every: int = 97) -> DataFrame:
+    """Archive ``pages``, copy the archive with planted damage, dropped and inserted records, and audit the copy: every record of both with its status."""
     files = write_archive(pages)
-    replica = copy_archive(files, damage=planted(damage_every))
-    ours, theirs = leaves(files), leaves(replica)
-    found = audit(tree(ours), tree(theirs)).select("file", "place", "status", "other_start", "other_stop")
-    out = ours.join(found.where("status <> 'extra'"), ["file", "place"], "left")
-    return out.select("page_id", "file", F.col("place").alias("record"), F.col("start").alias("offset"), (F.col("stop") - F.col("start")).alias("length"),
-                      "digest", F.coalesce("status", F.lit("same")).alias("status"))
+    replica = copy_archive(copy_records(files, dropped_and_inserted(edit_every)), damage=planted(damage_every))
+    return compared(leaves(files), leaves(replica))

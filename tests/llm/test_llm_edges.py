@@ -151,7 +151,7 @@ def test_url_filter_defined_for_all(spark):
 def test_warc_defined_for_all(spark):
     pages = spark.createDataFrame([(1, None, None, 1), (None, "http://a\nb", "x", 1), (2, "", "", 1), (2, "", "", 1), (3, "u", LONG, 1)], "page_id long, url string, html string, digest long")
     got = warc.fixity(pages, damage_every=10**6).collect()
-    assert len(got) == 5 and warc.fixity(pages.limit(0)).count() == 0
+    assert len(got) == 5 and {r.status for r in got} <= {"same", "changed"} and warc.fixity(pages.limit(0)).count() == 0
 
 
 def test_neighbours_leave_out_what_has_no_direction(spark):
