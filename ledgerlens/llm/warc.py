@@ -233,7 +233,7 @@ def align(ours: DataFrame, theirs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def copy_records(files: DataFrame, edit, folder: str | None = None) -> DataFrame:
-    """Copy an archive record by record; ``edit`` (file, number, bytes) gives the bytes to write instead, for trials."""
+    """Copy an archive record by record; ``edit`` (file, number, offset, bytes) gives the bytes to write instead, for trials."""
     folder = folder or shared_path(files.sparkSession, "warc-edited")
 
     def copy(batches):
@@ -244,20 +244,27 @@ def copy_records(files: DataFrame, edit, folder: str | None = None) -> DataFrame
                 to, to_inner = open_fs(path)
                 to.create_dir(to_inner.rsplit("/", 1)[0], recursive=True)
                 with fs.open_input_stream(inner, compression=None) as source, to.open_output_stream(to_inner, compression=None) as out:
-                    for number, (_, _, _, raw) in enumerate(_Stream(source)):
-                        out.write(edit(row["file"], number, raw))
+                    for number, (start, _, _, raw) in enumerate(_Stream(source)):
+                        out.write(edit(row["file"], number, start, raw))
                 yield pa.RecordBatch.from_pylist([row | {"path": path}], schema=batch.schema)
 
     n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return map_arrow(files.repartition(n), copy, FILES).checkpoint()
 
 
-def dropped_and_inserted(every: int, drop: int = 10, insert: int = 30):
-    """Edits for trials: of every ``every`` records of a file, one is dropped, and before another a foreign one is inserted."""
+def dropped_and_inserted(every: int, drop: int = 10, insert: int = 30, damage_every: int = 0):
+    """Edits for trials: of every ``every`` records of a file, one is dropped, and before another a foreign one is inserted.
 
-    def edit(file: int, number: int, raw: bytes) -> bytes:
+    With ``damage_every``, the byte in the middle of every so many stretches of 4096 bytes is changed too.
+    """
+
+    def edit(file: int, number: int, start: int, raw: bytes) -> bytes:
         if number % every == drop % every:
             return b""
+        if damage_every:
+            out = np.frombuffer(raw, np.uint8).copy()
+            out[(2048 - start) % (4096 * damage_every)::4096 * damage_every] ^= 0x55
+            raw = out.tobytes()
         if number % every == insert % every:
             return record(None, "urn:inserted", b"inserted", str(uuid.uuid5(uuid.NAMESPACE_URL, f"inserted/{file}/{number}"))) + raw
         return raw
@@ -287,18 +294,6 @@ def copy_archive(files: DataFrame, folder: str | None = None, damage=None) -> Da
     return map_arrow(files.repartition(n), copy, FILES).checkpoint()
 
 
-def planted(every: int):
-    """Damage for trials: of each window, the byte in the middle of every ``every``-th stretch of 4096 bytes is changed."""
-
-    def change(file: int, data: bytes, at: int) -> bytes:
-        spots = np.arange(2048, len(data), 4096 * every)
-        out = np.frombuffer(data, np.uint8).copy()
-        out[spots] ^= 0x55
-        return out.tobytes()
-
-    return change
-
-
 def compared(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Every record of two replicas (their ``leaves``) with its status: page_id, file, record, offset, length, digest, status.
 
@@ -314,5 +309,5 @@ def compared(ours: DataFrame, theirs: DataFrame) -> DataFrame:
 def fixity(pages: DataFrame, damage_every: int = 64, edit_every: int = 97) -> DataFrame:
     """Archive ``pages``, copy the archive with planted damage, dropped and inserted records, and audit the copy: every record of both with its status."""
     files = write_archive(pages)
-    replica = copy_archive(copy_records(files, dropped_and_inserted(edit_every)), damage=planted(damage_every))
+    replica = copy_records(files, dropped_and_inserted(edit_every, damage_every=damage_every))
     return compared(leaves(files), leaves(replica))

@@ -252,12 +252,12 @@ def test_fixity_of_dropped_inserted_and_damaged_records(spark):
 
     foreign = warc.record(None, "urn:x", b"x", "0")
     damaged = lambda raw: raw[:len(raw) // 2] + bytes([raw[len(raw) // 2] ^ 0x55]) + raw[len(raw) // 2 + 1:]
-    assert outcome(lambda f, n, raw: raw) == ({"same": 100}, set())
-    assert outcome(lambda f, n, raw: b"" if n == 10 else raw) == ({"same": 99, "missing": 1}, {("missing", 10)})
-    assert outcome(lambda f, n, raw: foreign + raw if n == 40 else raw) == ({"same": 100, "extra": 1}, {("extra", 40)})
-    assert outcome(lambda f, n, raw: b"" if n == 10 else damaged(raw) if n in (5, 60, 61) else raw) == (
+    assert outcome(lambda f, n, at, raw: raw) == ({"same": 100}, set())
+    assert outcome(lambda f, n, at, raw: b"" if n == 10 else raw) == ({"same": 99, "missing": 1}, {("missing", 10)})
+    assert outcome(lambda f, n, at, raw: foreign + raw if n == 40 else raw) == ({"same": 100, "extra": 1}, {("extra", 40)})
+    assert outcome(lambda f, n, at, raw: b"" if n == 10 else damaged(raw) if n in (5, 60, 61) else raw) == (
         {"same": 96, "missing": 1, "changed": 3}, {("missing", 10), ("changed", 5), ("changed", 60), ("changed", 61)})
-    assert outcome(lambda f, n, raw: b"") == ({"missing": 100}, {("missing", k) for k in range(100)})
+    assert outcome(lambda f, n, at, raw: b"") == ({"missing": 100}, {("missing", k) for k in range(100)})
 
 
 def test_packing_deals_equal_rows_apart(spark):
