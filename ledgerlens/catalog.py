@@ -165,6 +165,7 @@ def oracle() -> dict[str, str]:
 # Families beyond the 35 SQL queries.
 # --------------------------------------------------------------------------
 from ledgerlens.plans import cashback as B  # noqa: E402
+from ledgerlens.plans import lattice as LA  # noqa: E402
 from ledgerlens.plans import features as FE  # noqa: E402
 from ledgerlens.plans import measures as M  # noqa: E402
 from ledgerlens.plans import quality as C  # noqa: E402
@@ -211,6 +212,15 @@ def customer_features(t: Tables) -> DataFrame:
         lambda: FE.engineer_customer_features(txn_features(t), t.customers)))
 
 
+def _lattice(t: Tables) -> LA.Lattice:
+    return LA.Lattice(V.enriched(t, "A"), "A", V.source_paths(t, "A"))
+
+
+def _la(fn):
+    """Query over the aggregate lattice of the enriched fact A."""
+    return lambda spark, sf: fn(_lattice(_t(spark, sf)))
+
+
 def _tf(fn):
     return lambda spark, sf: fn(txn_features(_t(spark, sf)))
 
@@ -285,19 +295,19 @@ def extended_registry() -> dict[str, QueryFn]:
         "m42_base_failure_rate_avg": lambda s, sf: M.base_failure_rate_avg(_t(s, sf).banks),
         "m43_bank_success_rate": _ea(M.bank_success_rate),
         "m50_ticket_band_column": _ea(lambda e: _double_decimals(M.ticket_band_column(e, EDGES_A))),
-        "x1_sliced_measures": _ea(lambda e: M.measure_query(
-            e, ["total_transactions", "gpv", "total_revenue", "success_rate_pct", "active_customers"],
+        "x1_sliced_measures": _la(lambda lattice: lattice.answer(
+            ["total_transactions", "gpv", "total_revenue", "success_rate_pct", "active_customers"],
             by=["txn_year", "merchant_category"], slicers=SLICERS_X1)),
-        "x1b_month_mode_state": _ea(lambda e: M.measure_query(
-            e, ["total_transactions", "gpv"], by=["payment_mode"], slicers=SLICERS_X1B)),
+        "x1b_month_mode_state": _la(lambda lattice: lattice.answer(
+            ["total_transactions", "gpv"], by=["payment_mode"], slicers=SLICERS_X1B)),
         "x5_sorted_labels": _ea(lambda e: M.sorted_labels(e)),
         "x2_drill_through_merchant": _ea(lambda e: _double_decimals(M.drill_through(e, "merchant_id", DRILL_MERCHANT))),
         "x3_visual_top_n": _ea(lambda e: M.visual_top_n(
             M.measure_query(e, ["total_revenue", "total_transactions"], by=["customer_state"]),
             "total_revenue", "customer_state", 5)),
         # visuals
-        "p1_revenue_by_payment_mode": _ea(P.revenue_by_payment_mode),
-        "p2_revenue_by_quarter": _ea(P.revenue_by_quarter),
+        "p1_revenue_by_payment_mode": _la(LA.revenue_by_payment_mode),
+        "p2_revenue_by_quarter": _la(LA.revenue_by_quarter),
         "p3_customers_per_segment": _cf(P.customers_per_segment),
         "p4_rfm_scatter": _cf(P.rfm_scatter),
         "p5_clv_top": _cf(P.clv_top),
@@ -317,8 +327,8 @@ def extended_registry() -> dict[str, QueryFn]:
         "p16_avg_amount_by_age": _ea(P.avg_amount_by_age),
         "p17_commission_by_merchant": _ea(P.commission_by_merchant),
         "p17_txns_by_category": _ea(P.txns_by_category),
-        "p18_bank_volume_share": lambda s, sf: P.bank_volume_share(V.enriched(_t(s, sf), "A"), _t(s, sf).banks),
-        "p18_os_share": _ea(P.os_share),
+        "p18_bank_volume_share": lambda s, sf: LA.bank_volume_share(_lattice(_t(s, sf)), _t(s, sf).banks),
+        "p18_os_share": _la(LA.os_share),
         "p19_transaction_detail": lambda s, sf: P.transaction_detail(
             V.enriched(_t(s, sf), "A"), _t(s, sf).customers, after=("1996-06-30", "99999")),
         "p20_failure_rate_by_date": _ea(P.failure_rate_by_date),
