@@ -37,7 +37,7 @@ def best_fit_packing(spark, docs, sf_dir):
 
 
 STAGES = [(f.__name__, f) for f in (quality_classifier, language_id, simhash_near_dedup, mixing_sources, best_fit_packing)]
-#: Trained scores, hashes and token ids are beyond SQL; the tests hold the stages against brute force.
+#: Trained scores, hashes and token ids are beyond SQL; the tests hold the stages' operators one by one.
 ORACLE_SQL = None
 
 
