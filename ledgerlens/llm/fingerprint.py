@@ -1,16 +1,18 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs, in built-in functions only.
 
-A fingerprint is an array of longs: the number of pieces, then ``DENSE`` words of five 12-bit lanes that
-are summed modulo 2^12 side by side, 5 * ``LANES`` lanes with a long each, and ``DENSE`` sums modulo the
-prime 2^61 - 1.
-
-* A paragraph is what stands between line breaks.  Its dense words are five 12-bit parts of a 64-bit
-  hash of the whole paragraph, and its sums the hash's upper 61 bits.  Sums that agree mean equal
-  multisets of paragraphs, as repeats of a paragraph vanish modulo a prime only at its multiples.
-* A paragraph's pieces are its phrases, cut at blanks after punctuation.  Each adds a 0 or 1 (a hash bit) to each of the 120 lanes.
-  A lane less half the number of pieces is a sum of +-1/2 over the pieces, so the products of two
-  documents' lanes estimate the inner product of their counts of pieces, and from it the cosine:
-  that is the likeness (standard error about 0.09).  Lanes don't wrap, however long the text.
+A fingerprint is an array of longs: the number of pieces, ``DENSE`` words that are sums modulo 2^61,
+and ``LANES`` lanes that are plain sums.
+
+* A paragraph is what stands between line breaks.  Each adds 61 bits of a seeded hash of the whole
+  paragraph to each word.  Words that agree mean equal multisets of paragraphs: 2^k repeats of one
+  paragraph cost each word k of its 61 bits and no more.
+* A paragraph's pieces are phrases of about three words, cut where the text itself says so, so that an edit moves
+  only the cuts beside it: at blanks after punctuation, after a letter outside ASCII or after a word that ends in
+  d, r, s, 0 or 5; before each letter of scripts that are written without blanks; and 40 characters after the last
+  cut at most.  Each piece adds a 0 or 1 (a hash bit) to each of the 128 lanes.  A lane less half the number of
+  pieces is a sum of +-1/2 over the pieces, so the products of two documents' lanes estimate the
+  inner product of their counts of pieces, and from it the cosine: that is the likeness (standard error about
+  0.09).  Lanes don't wrap, however long the text.
 
 Sums don't depend on order, and ``plus`` and ``minus`` insert and delete paragraphs without the
 rest of the text.  Null text counts as empty; the empty text has the zero fingerprint, and two empty
@@ -22,79 +24,68 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DENSE, LANES, MODULUS = 4, 24, 1 << 12
-ONES = sum(1 << 12 * i for i in range(5))   # the lowest bit of each lane
-HIGH = ONES << 11                           # the highest
-LOW = HIGH - ONES                           # the others
-PART = HIGH | LOW
+DENSE, LANES = 4, 128
+MASK = (1 << 61) - 1                                  # a word is a sum modulo 2^61
+BIT_OF_4 = sum(1 << 4 * i for i in range(16))         # the lowest bit of each 4-bit field
+FIELD_4 = sum(15 << 16 * i for i in range(4))         # the lowest 4-bit field of each 16-bit field
+FEW, MANY = 7, 4681                                   # so many ones (sevens) fill a 4-bit (16-bit) field but for its sign
 PARAGRAPH_BREAK = "[\\r\\n]+"
-PIECE_BREAK = "[\\r\\n]+|(?<=[^\\p{L}\\p{N}\\s])[ \\t]+"
-PRIME = (1 << 61) - 1
-FIELDS = 1 + DENSE + 5 * LANES + DENSE
-SHORT = 1023   # up to so many pieces the digits are the count and the words modulo 2^12 alone
-
-
-def _plus(a: Column, b: Column) -> Column:
-    """Lane by lane, modulo 2^12: the low bits can't carry over, the high ones add without carry."""
-    high = a.bitwiseXOR(b).bitwiseAND(F.lit(HIGH))
-    return (a.bitwiseAND(F.lit(LOW)) + b.bitwiseAND(F.lit(LOW))).bitwiseXOR(high)
-
-
-def _minus(a: Column, b: Column) -> Column:
-    high = a.bitwiseXOR(F.bitwise_not(b)).bitwiseAND(F.lit(HIGH))
-    return (a.bitwiseOR(F.lit(HIGH)) - b.bitwiseAND(F.lit(LOW))).bitwiseXOR(high)
+PIECE_BREAK = ("[\\r\\n]+|[ \\t](?<=(?:[^a-zA-Z0-9\\s]|[drsDRS05])[ \\t])[ \\t]*"
+               "|(?=[\\u0E00-\\u0EFF\\u1000-\\u109F\\u1780-\\u17FF\\u3040-\\u30FF\\u3400-\\u9FFF])|(?<=\\G[^\\r\\n]{40})")
+FIELDS = 1 + DENSE + LANES
+SALTS = 32   # rows without a doc_id are dealt over so many keys
 
 
 def of_text(text: Column) -> Column:
     """The fingerprint of a text."""
     text = F.coalesce(text, F.lit(""))
     parts = lambda pattern: F.filter(F.split(text, pattern), lambda x: x != "")
-    hashes = lambda pattern, seed: F.transform(parts(pattern), lambda x: F.xxhash64(F.lit(seed), x))
     zero = F.lit(0).cast("long")
+    steps = lambda use, by: F.transform(F.array(*[F.lit(by * i) for i in range(4)]), use)
+    bind = lambda value, use: F.transform(F.array(value), use)[0]  # noqa: E731  (a lambda's variable is computed once)
+
+    def word(pars: Column, seed: int) -> Column:
+        return F.aggregate(pars, zero, lambda a, x: (a + F.xxhash64(F.lit(seed), x).bitwiseAND(F.lit(MASK))).bitwiseAND(F.lit(MASK)))
 
-    def total(values: Column, part) -> Column:
-        return F.aggregate(values, zero, lambda a, h: _plus(a, part(h)))
+    def chunks(values: Column, n: int) -> Column:
+        count = F.floor((F.size(values) + (n - 1)) / n).cast("int")
+        return F.when(count == 0, F.array_repeat(values, 0)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.slice(values, (i - 1) * n + 1, F.lit(n))))
 
-    def bits(values: Column) -> Column:
-        # A 64-bit hash serves twelve words: shifted by k, every twelfth bit is another set of five bits.
-        # So many hashes are summed at a time that no 12-bit lane is full; the parts' lanes are then added as longs.
-        most = MODULUS - 1
-        parts = F.transform(F.sequence(F.lit(0), F.floor(F.size(values) / most).cast("int")), lambda i: F.slice(values, i * most + 1, F.lit(most)))
-        sums = lambda v, k: F.aggregate(v, zero, lambda a, h: a + F.call_function("shiftrightunsigned", h, k).bitwiseAND(F.lit(ONES)))
-        lane = lambda words, i: F.aggregate(words, zero, lambda a, w: a + F.call_function("shiftright", w, i * 12).bitwiseAND(F.lit(MODULUS - 1)))
-        by_part = F.transform(F.array(parts), lambda p: F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: F.transform(p, lambda v: sums(v, k))))[0]
-        return F.flatten(F.transform(by_part, lambda words: F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: lane(words, i))))
+    def fields(values: Column, shift: Column, mask: int) -> Column:
+        return F.aggregate(values, zero, lambda a, v: a + F.call_function("shiftrightunsigned", v, shift).bitwiseAND(F.lit(mask)))
 
-    def prime_sum(values: Column) -> Column:
-        return F.aggregate(values, zero, lambda a, h: (a + F.call_function("shiftrightunsigned", h, F.lit(3))) % PRIME)
+    def lanes(pieces: Column, seed: int) -> Column:
+        # Bits k, k + 4, .. of up to 7 hashes are added in 4-bit fields, up to 4,681 such sums in 16-bit fields, and these as longs.
+        hashes = F.transform(pieces, lambda x: F.xxhash64(F.lit(seed), x))
+        fours = bind(hashes, lambda h: bind(chunks(h, FEW), lambda groups: steps(lambda k: F.transform(groups, lambda g: fields(g, k, BIT_OF_4)), 1)))
+        wide = lambda groups, j: F.transform(groups, lambda g: fields(g, j, FIELD_4))
+        split = lambda words: steps(lambda f: fields(words, f, 65535), 16)
+        return F.flatten(F.transform(fours, lambda sums: bind(chunks(sums, MANY), lambda groups: F.flatten(steps(lambda j: bind(wide(groups, j), split), 4)))))
 
-    # Lambda variables bind the arrays, which are computed once.
-    dense = F.transform(F.array(F.array(*[hashes(PARAGRAPH_BREAK, j) for j in range(DENSE)])), lambda x: F.struct(
-        F.transform(x, lambda v: total(v, lambda h: h.bitwiseAND(F.lit(PART)))).alias("words"), F.transform(x, prime_sum).alias("sums")))
-    bound = F.transform(F.arrays_zip(F.array(F.array(hashes(PIECE_BREAK, 101), hashes(PIECE_BREAK, 102))).alias("x"), dense.alias("d")), lambda z: F.concat(
-        F.array(F.size(z["x"][0]).cast("long")), z["d"]["words"], bits(z["x"][0]), bits(z["x"][1]), z["d"]["sums"]))
-    return bound[0]
+    return bind(F.struct(parts(PARAGRAPH_BREAK).alias("pars"), parts(PIECE_BREAK).alias("pieces")), lambda z: F.concat(
+        F.array(F.size(z["pieces"]).cast("long"), *[word(z["pars"], j) for j in range(DENSE)]), lanes(z["pieces"], 101), lanes(z["pieces"], 102)))
 
 
-def _by_field(a: Column, b: Column, packed, lanes, sums) -> Column:
-    return F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x, i: F.when((i > 0) & (i <= DENSE), packed(x["a"], x["b"])).when(
-        i < FIELDS - DENSE, lanes(x["a"], x["b"])).otherwise(sums(x["a"], x["b"])))
+def _is_word(i: Column) -> Column:
+    return (i > 0) & (i <= DENSE)
 
 
 def plus(a: Column, b: Column) -> Column:
     """Fingerprint of both texts' paragraphs together."""
-    return _by_field(a, b, _plus, lambda x, y: x + y, lambda x, y: (x + y) % PRIME)
+    added = F.zip_with(a, b, lambda x, y: x + y)
+    return F.transform(added, lambda v, i: F.when(_is_word(i), v.bitwiseAND(F.lit(MASK))).otherwise(v))
 
 
 def minus(a: Column, b: Column) -> Column:
     """Fingerprint of the first text without the second's paragraphs, which it has."""
-    return _by_field(a, b, _minus, lambda x, y: x - y, lambda x, y: F.pmod(x - y, F.lit(PRIME)))
+    left = F.zip_with(a, b, lambda x, y: x - y)
+    return F.transform(left, lambda v, i: F.when(_is_word(i), v.bitwiseAND(F.lit(MASK))).otherwise(v))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated cosine of the two texts' counts of pieces, 0 to 1; 1 for equal fingerprints."""
 
-    centred = lambda x: F.transform(F.slice(x, 2 + DENSE, 5 * LANES), lambda v: v - x[0] / 2)
+    centred = lambda x: F.transform(F.slice(x, 2 + DENSE, LANES), lambda v: v - x[0] / 2)
     lanes = F.zip_with(centred(a), centred(b), lambda x, y: F.array(x, y))
     sums = F.aggregate(lanes, F.array(*[F.lit(0.0)] * 3), lambda s, x: F.array(s[0] + x[0] * x[1], s[1] + x[0] * x[0], s[2] + x[1] * x[1]))
     cosine = F.transform(F.array(sums), lambda s: F.when(s[1] * s[2] == 0, F.lit(0.0)).otherwise(s[0] / F.sqrt(s[1] * s[2])))[0]
@@ -102,17 +93,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def as_text(words: Column) -> Column:
-    """The fingerprint as lower-case hexadecimal digits.
-
-    That is the count, the dense words and the lanes modulo 2^12, five in a word; with more than ``SHORT`` pieces,
-    where many repeats could vanish modulo 2^12, the sums and the rest of each lane follow.
-    """
-    digits = lambda values, n: F.array_join(F.transform(values, lambda w: F.lpad(F.hex(w), n, "0")), "")
-    lanes = F.slice(words, 2 + DENSE, 5 * LANES)
-    packed = F.transform(F.array(lanes), lambda x: F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda k: sum(
-        (F.call_function("shiftleft", F.get(x, k * 5 + i).bitwiseAND(F.lit(MODULUS - 1)), F.lit(12 * i)) for i in range(1, 5)), F.get(x, k * 5).bitwiseAND(F.lit(MODULUS - 1)))))[0]
-    rest = F.concat(digits(F.slice(words, FIELDS - DENSE + 1, DENSE), 16), digits(F.transform(lanes, lambda v: F.call_function("shiftright", v, F.lit(12))), 5))
-    return F.lower(F.concat(F.lpad(F.hex(words[0]), 8, "0"), digits(F.slice(words, 2, DENSE), 15), digits(packed, 15), F.when(words[0] > SHORT, rest).otherwise("")))
+    """The fingerprint's fields as lower-case hexadecimal digits with points between them."""
+    return F.lower(F.array_join(F.transform(words, lambda w: F.hex(w)), "."))
 
 
 def _askers(docs: DataFrame) -> DataFrame:
@@ -129,12 +111,18 @@ def _askers(docs: DataFrame) -> DataFrame:
     after = firsts.select("range", F.coalesce(F.lead("first").over(by_range), top).alias("after"))
     inside = F.lead("id").over(Window.partitionBy("range").orderBy(F.col("id").desc()))
     linked = ranged.withColumn("inside", inside).join(F.broadcast(after), "range").withColumn("next", F.coalesce("inside", "after"))
-    return linked.select(*_key("", F.col("next.doc_id")), F.col("id.doc_id").alias("asker"), F.col("n").alias("needs"))
+    return linked.select(F.col("next.doc_id").alias("next"), F.col("id.doc_id").alias("asker"), F.col("n").alias("needs"))
+
+
+def _key(prefix: str, doc_id: Column, salt: Column) -> list[Column]:
+    """Three columns that stand for a doc_id or null in joins, null in ``SALTS`` parts."""
+    return [F.coalesce(doc_id, F.lit(0)).alias(prefix + "k"), doc_id.isNull().alias(prefix + "z"), F.when(doc_id.isNull(), salt).otherwise(F.lit(0)).alias(prefix + "s")]
 
 
-def _key(prefix: str, doc_id: Column) -> list[Column]:
-    """Two columns that stand for a doc_id or null in joins."""
-    return [F.coalesce(doc_id, F.lit(0)).alias(prefix + "k"), doc_id.isNull().alias(prefix + "z")]
+def _in_all_parts(rows: DataFrame, prefix: str, doc_id: str) -> DataFrame:
+    """The rows with the key of ``doc_id``: one row each, or one in every part where it is null."""
+    salted = rows.withColumn("salt", F.explode(F.when(F.col(doc_id).isNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    return salted.select("*", *_key(prefix, F.col(doc_id), F.col("salt"))).drop("salt", doc_id)
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
@@ -146,14 +134,19 @@ def with_edits(docs: DataFrame) -> DataFrame:
     table gives no rows; only ``doc_id`` and ``text`` are read, whatever other columns exist.
 
     Texts are shuffled by doc_id once, and at most half of each once more, to the row whose next it is.
+    Rows without a doc_id are dealt over ``SALTS`` keys by their text's hash, and the smallest of all parts'
+    texts is the next of the one id that asks for it.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # Both uses below need the same columns dealt out by the same key, so Spark shuffles them once.
-    base = docs.select(*_key("", F.col("doc_id")), "text", of_text(F.col("text")).alias("words"))
-    earlier = F.lag(F.lit(1)).over(Window.partitionBy("k", "z").orderBy("text"))
-    given = base.withColumn("earlier", earlier).where("earlier IS NULL").join(_askers(docs), ["k", "z"]).select(
-        *_key("a_", F.col("asker")), F.expr("substring(text, 1, CAST(needs DIV 2 AS INT))").alias("head"), F.col("words").alias("next_words"))
-    both = base.join(given, (F.col("k") == F.col("a_k")) & (F.col("z") == F.col("a_z")))
+    salt = F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int")
+    base = docs.select(*_key("", F.col("doc_id"), salt), "text", of_text(F.col("text")).alias("words"))
+    earlier = F.lag(F.lit(1)).over(Window.partitionBy("k", "z", "s").orderBy("text"))
+    asked = _in_all_parts(_in_all_parts(_askers(docs), "", "next"), "a_", "asker")
+    heads = base.withColumn("earlier", earlier).where("earlier IS NULL").join(asked, ["k", "z", "s"]).select(
+        "a_k", "a_z", "a_s", F.expr("substring(text, 1, CAST(needs DIV 2 AS INT))").alias("head"), F.col("words").alias("next_words"), F.when(F.col("z"), F.col("text")).alias("rank"))
+    smaller = F.lag(F.lit(1)).over(Window.partitionBy("a_k", "a_z", "a_s").orderBy("rank"))
+    given = heads.withColumn("smaller", smaller).where("smaller IS NULL")
+    both = base.join(given, (F.col("k") == F.col("a_k")) & (F.col("z") == F.col("a_z")) & (F.col("s") == F.col("a_s")))
     edited = both.select(F.when(~F.col("z"), F.col("k")).alias("doc_id"), F.length("text").cast("long").alias("n_chars"), "words", "next_words", F.expr(
         "concat(substring(text, 1, CAST(length(text) - length(text) DIV 2 AS INT)), substring(head, 1, CAST(length(text) DIV 2 AS INT)))").alias("edited"))
     edited = edited.withColumn("edited_words", of_text(F.col("edited")))

@@ -9,7 +9,6 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
-import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -43,15 +42,36 @@ def test_oracle_sql(spark, name):
 
 # 1
 
+def _pieces(text):
+    out, at, last, start = [], 0, 0, 0
+    while at <= len(text):
+        before, here, end = text[at - 1:at], text[at:at + 1], None
+        if m := re.compile(r"[\r\n]+").match(text, at):
+            end = m.end()
+        elif here in (" ", "\t") and before and (before in "drsDRS05" or not (before.isascii() and (before.isalnum() or before in " \t\n\x0b\x0c\r"))):
+            end = re.compile(r"[ \t]+").match(text, at).end()
+        elif re.match("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]", here):
+            end = at
+        elif last == at - 40 and not set(text[last:at]) & {"\r", "\n"}:
+            end = at
+        if end is None:
+            at += 1
+        else:
+            out.append(text[start:at])
+            start = last = end
+            at = max(at + 1, end)
+    return [x for x in out + [text[start:]] if x]
+
+
 def _fingerprint(text):
     seeded = lambda j, x: xxhash.xxh64_intdigest(x.encode(), seed=xxhash.xxh64_intdigest(j.to_bytes(4, "little"), seed=42))
     pars = [x for x in re.split(r"[\r\n]+", text) if x]
-    pieces = [x for x in regex.split(r"[\r\n]+|(?<=[^\p{L}\p{N}\s])[ \t]+", text) if x]
-    words = [[sum(seeded(j, p) >> 12 * i & 4095 for p in pars) % 4096 for i in range(5)] for j in range(4)]
+    pieces = _pieces(text)
+    fields = [len(pieces)] + [sum(seeded(j, p) for p in pars) % 2 ** 61 for j in range(4)]
     for j in (101, 102):
         hashes = [seeded(j, p) for p in pieces]
-        words += [[sum(h >> k + 12 * i & 1 for h in hashes) % 4096 for i in range(5)] for k in range(12)]
-    return f"{len(pieces):08x}" + "".join(f"{sum(v << 12 * i for i, v in enumerate(w)):015x}" for w in words)
+        fields += [sum(h >> k + i + f & 1 for h in hashes) for k in range(4) for i in range(0, 16, 4) for f in range(0, 64, 16)]
+    return ".".join(f"{v:x}" for v in fields)
 
 
 def test_fingerprints_and_edits(docs, texts):
@@ -72,6 +92,41 @@ def test_fingerprints_take_in_and_give_back(spark):
     assert got.p and got.m and not got.e and 0.9 < got.l <= 1
 
 
+@pytest.mark.parametrize("text", ["x" * 39, "y" * 200 + " zz", "漢字かな。交じり文 と abc", "кот и пёс на дворе", "rows of\twords 15  ends s\r\n\n more", " lead", "a" * 45 + "\n" + "b" * 81, ""])
+def test_pieces_of_many_scripts(spark, text):
+    assert spark.createDataFrame([(text,)], "t string").select(fingerprint.as_text(fingerprint.of_text(F.col("t")))).first()[0] == _fingerprint(text)
+
+
+def test_likeness_without_punctuation_and_over_many_pieces(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(3000)]
+    han = [chr(0x4E00 + k) for k in range(3000)]
+    base64 = lambda n: "".join(rng.choices("ABCDEFGHabcdefgh01234567+/", k=n))
+    rows = []
+    for kind in range(40):
+        draw = [lambda: " ".join(rng.choices(words, k=400)), lambda: "".join(rng.choices(han, k=400)), lambda: base64(4000), lambda: " ".join(rng.choices(words, k=60))][kind % 4]
+        own, after = draw(), draw()
+        rows.append((own, own[:len(own) - len(own) // 2] + after[:len(own) // 2], after))
+    rows.append(("as of " * 40_000,) * 2 + ("none",))
+    a, b, c = (fingerprint.of_text(F.col(x)) for x in "abc")
+    got = spark.createDataFrame(rows, "a string, b string, c string").select(fingerprint.likeness(a, b).alias("edited"), fingerprint.likeness(a, c).alias("next"), fingerprint.as_text(a).alias("f"), "a").collect()
+    assert all(r.edited > r.next + 0.1 for r in got) and got[-1].f == _fingerprint(got[-1].a)
+
+
+def test_likeness_tells_edits_from_other_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = fingerprint.digest(docs).join(docs.select("doc_id", F.size(F.split("text", r"\s+")).alias("n")), "doc_id").where("n >= 20").collect()
+    assert np.mean([r.near_edited > r.near_next for r in rows]) >= 0.995
+
+
+def test_rows_without_doc_id_are_dealt_out(spark):
+    docs = spark.createDataFrame([(None, f"text number {i}") for i in range(400)] + [(9, "some nine"), (3, "some three")], "doc_id long, text string")
+    got = fingerprint.with_edits(docs).collect()
+    want = {(None, t[:len(t) - len(t) // 2] + "some nine"[:len(t) // 2]) for i in range(400) for t in [f"text number {i}"]}
+    want |= {(9, "some some"), (3, "some text ")}
+    assert len(got) == 402 and {(r.doc_id, r.edited) for r in got} == want
+
+
 # 2 and 5
 
 def test_quality_of_texts_not_learned_from(spark):
