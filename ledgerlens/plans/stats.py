@@ -372,15 +372,16 @@ def pearson_pairs(cf: DataFrame) -> DataFrame:
 def _weekend_moments(tf: DataFrame) -> DataFrame:
     """is_weekend, n, mean and sample variance of successful tickets, exact but for the last divisions.
 
-    Squares are summed around the group's whole-cent mean, so the sums stay
-    far inside 38 digits (10^12 rows of 10^9) and nothing cancels.
+    One pass sums amounts and their squares as whole numbers, far inside 38 digits (10^12 rows of
+    10^9); partial sums merge exactly.  The sums around the whole-cent mean follow from them as
+    whole numbers too, so nothing cancels.
     """
     s = successful_amounts(tf).select(F.col("is_weekend").cast("int").alias("is_weekend"), F.col("amount_cents").cast("decimal(18,0)").alias("x"))
-    centre = s.groupBy("is_weekend").agg(_cnt().alias("n"), F.sum("x").alias("sx")) \
-        .withColumn("c", F.call_function("div", F.col("sx"), F.col("n").cast("decimal(20,0)")).cast("decimal(18,0)"))
-    d = (F.col("x") - F.col("c")).cast("decimal(18,0)")
-    g = s.join(F.broadcast(centre), "is_weekend").groupBy("is_weekend").agg(  # two rows
-        F.max("n").alias("n"), F.max("sx").alias("sx"), F.sum(d).alias("sd"), F.sum((d * d).cast("decimal(38,0)")).alias("sdd"))
+    whole = lambda x: x.cast("decimal(38,0)")
+    sums = s.groupBy("is_weekend").agg(_cnt().alias("n"), F.sum("x").alias("sx"), F.sum(whole(F.col("x") * F.col("x"))).alias("sxx"))
+    g = sums.withColumn("k", F.col("n").cast("decimal(20,0)")).withColumn("c", F.call_function("div", F.col("sx"), F.col("k")).cast("decimal(18,0)"))
+    nc = whole(F.col("k") * F.col("c"))
+    g = g.withColumns({"sd": whole(F.col("sx") - nc), "sdd": whole(F.col("sxx") - whole(whole(F.col("c") * F.col("sx")) * F.lit(2)) + whole(F.col("c") * nc))})
     n = F.col("n").cast("double")
     var = (F.col("sdd").cast("double") - F.col("sd").cast("double") * F.col("sd").cast("double") / n) / (n - 1) / 10000
     return g.select("is_weekend", F.col("n").cast("bigint").alias("n"), F.col("sx"), (F.col("sx").cast("double") / 100 / n).alias("mean"), var.alias("var"))
