@@ -154,10 +154,12 @@ def registry() -> dict[str, QueryFn]:
 def oracle() -> dict[str, str]:
     from ledgerlens.oracle import kpis
     from ledgerlens.oracle import extended
+    from ledgerlens.oracle import loading
     out = kpis.build(edges_a=EDGES_A, q35_min=Q35_MIN_TXNS, cohort_start=COHORT_START,
                      cohorts=COHORTS, since=SINCE)
     out.update(extended.build(edges_a=EDGES_A, slicers=SLICERS_X1, slicers_b=SLICERS_X1B, drill_merchant=DRILL_MERCHANT,
                               reasons=FAILURE_REASONS_A, categories=CATEGORIES_A))
+    out.update(loading.build())
     return out
 
 
@@ -167,6 +169,7 @@ def oracle() -> dict[str, str]:
 from ledgerlens.plans import cashback as B  # noqa: E402
 from ledgerlens.plans import lattice as LA  # noqa: E402
 from ledgerlens.plans import features as FE  # noqa: E402
+from ledgerlens.plans import loading as LD  # noqa: E402
 from ledgerlens.plans import measures as M  # noqa: E402
 from ledgerlens.plans import quality as C  # noqa: E402
 from ledgerlens.plans import stats as ST  # noqa: E402
@@ -238,6 +241,11 @@ def _all_tables(t: Tables) -> dict[str, DataFrame]:
             "customers": t.customers, "transactions": t.transactions_a, "cashback": _cashback(t)}
 
 
+def _loaded(t: Tables) -> dict[str, DataFrame]:
+    """The tables as loaded from cleaned files, written anew for each ``Tables``."""
+    return t._memo("loaded", lambda: LD.load(t.spark, _all_tables(t)))
+
+
 def build_store(spark: SparkSession, sf_dir: str) -> None:
     """Write the stored tables for the present inputs in one explicit step; queries that find none write what they need."""
     t = _t(spark, sf_dir)
@@ -269,6 +277,13 @@ def extended_registry() -> dict[str, QueryFn]:
         # sources
         "s7_row_counts": lambda s, sf: IO.row_counts(_all_tables(_t(s, sf))),
         "s3_round_trip": lambda s, sf: IO.round_trip(_all_tables(_t(s, sf)), f"{ensure_checkpoint_dir(s)}/round-trip-{uuid.uuid4().hex}"),
+        # the load over files with planted defects
+        "s1_raw_audit": lambda s, sf: C.data_quality_report(LD.raw_files(s, tx(s, sf))),
+        "s1_raw_cleaning": lambda s, sf: C.cleaning_actions(LD.raw_files(s, tx(s, sf))),
+        "s2_loaded_tables": lambda s, sf: LD.loaded_tables(_loaded(_t(s, sf))),
+        "s4_feature_files": lambda s, sf: LD.feature_files(s, _loaded(_t(s, sf))),
+        "s5_star_files": lambda s, sf: LD.star_files(s, _loaded(_t(s, sf))),
+        "s6_view_answer": lambda s, sf: LD.view_answer(s, _loaded(_t(s, sf))),
         # features
         "f9_success_amount": lambda s, sf: FE.success_amount(txn_features(_t(s, sf))).select(
             "transaction_id", F.col("success_amount").cast("double").alias("success_amount")),

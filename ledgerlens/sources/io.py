@@ -7,9 +7,9 @@ replaces its output instead of appending duplicates.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,13 +19,6 @@ from ledgerlens.sources import schemas as S
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
-def _exists(path: str) -> bool:
-    """Existence check for local paths; remote URIs are left to Spark."""
-    if "://" in path and not path.startswith("file://"):
-        return True
-    return os.path.exists(path.replace("file://", ""))
-
-
 # ----------------------------------------------------------------- S1 / S2
 def load_raw(spark: SparkSession, raw_dir: str, fmt: str = "csv",
              names: Iterable[str] = S.LOAD_ORDER, raw_text: bool = True) -> dict[str, DataFrame]:
@@ -49,12 +42,16 @@ def load_raw(spark: SparkSession, raw_dir: str, fmt: str = "csv",
 
 
 def load_tables(spark: SparkSession, raw_dir: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """Load in parent-first order; a missing file raises before anything is read."""
+    """Load in parent-first order; a missing file raises before anything is read (Spark looks for it, in any store)."""
+    out = {}
     for name in S.LOAD_ORDER:
-        path = f"{raw_dir.rstrip('/')}/{name}.{fmt}"
-        if not _exists(path):
-            raise FileNotFoundError(f"{path} not found")
-    return load_raw(spark, raw_dir, fmt, raw_text=False)
+        try:
+            out |= load_raw(spark, raw_dir, fmt, [name], raw_text=False)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            raise FileNotFoundError(f"{raw_dir.rstrip('/')}/{name}.{fmt} not found") from e
+    return out
 
 
 def round_trip(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet") -> DataFrame:
