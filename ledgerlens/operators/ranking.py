@@ -167,6 +167,12 @@ def sql_rank(df: DataFrame, key: str, ascending: bool, out: str = "rank", partit
     return ranked.select(*df.columns, rank.cast("bigint").alias(out))
 
 
+def _entries_below(array: str, field: str, x: Column, most: int) -> Column:
+    """How many entries of a sorted array of structs, ``most`` at most, have a ``field`` under ``x``: a binary search."""
+    powers = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+    return F.aggregate(powers, F.lit(0), lambda n, p: n + F.when(F.coalesce(F.get(array, n + p - 1)[field] < x, F.lit(False)), p).otherwise(F.lit(0)))
+
+
 def quantiles(df: DataFrame, value: Column, probs: Sequence[float], by: str | None = None, partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles: one row (for each ``by``) with an array ``q`` in the order of ``probs``.
 
@@ -178,13 +184,16 @@ def quantiles(df: DataFrame, value: Column, probs: Sequence[float], by: str | No
     counts = df.select(group.alias("g"), value.cast("double").alias("v")).where(F.col("v").isNotNull()).groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
     ranked = global_rank(counts, [Key("g"), Key("v")], sum_cols=["c"], partitions=partitions)
     sizes = ranked.groupBy("g").agg(F.sum("c").alias("n"), F.min(F.col("__cum_c") - F.col("c")).alias("skip")).withColumnRenamed("g", "h")
-    rows = ranked.join(sizes, F.col("g").eqNullSafe(F.col("h")))
-    upto = F.col("__cum_c") - F.col("skip")
+    # The wanted positions are sorted once for each group; each value looks its own up in the sorted array.
     spots = F.flatten(F.transform(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]), lambda x: F.array(
-        F.struct(x["i"].alias("i"), F.lit(0).alias("up"), F.floor(x["p"] * (F.col("n") - 1)).alias("at")),
-        F.struct(x["i"].alias("i"), F.lit(1).alias("up"), F.ceil(x["p"] * (F.col("n") - 1)).alias("at")))))
-    inside = F.filter(spots, lambda x: (x["at"] < upto) & (x["at"] >= upto - F.col("c")))
-    hits = rows.select("g", "n", "v", F.explode(inside).alias("s")).select("g", "n", "v", "s.*")
+        F.struct(F.floor(x["p"] * (F.col("n") - 1)).alias("at"), x["i"].alias("i"), F.lit(0).alias("up")),
+        F.struct(F.ceil(x["p"] * (F.col("n") - 1)).alias("at"), x["i"].alias("i"), F.lit(1).alias("up")))))
+    sizes = sizes.withColumn("spots", F.sort_array(spots))
+    rows = ranked.join(sizes, F.col("g").eqNullSafe(F.col("h"))) if by else ranked.crossJoin(F.broadcast(sizes))  # without groups, one row
+    upto = F.col("__cum_c") - F.col("skip")
+    first, after = (_entries_below("spots", "at", x, 2 * len(probs)) for x in (upto - F.col("c"), upto))
+    found = rows.select("g", "n", "v", "spots", first.alias("first"), after.alias("after")).where("after > first")
+    hits = found.select("g", "n", "v", F.explode(F.slice("spots", F.col("first") + 1, F.col("after") - F.col("first"))).alias("s")).select("g", "n", "v", "s.*")
     prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
     ends = hits.groupBy("g", "i").agg(F.max(F.when(F.col("up") == 0, F.col("v"))).alias("lo"), F.max(F.when(F.col("up") == 1, F.col("v"))).alias("hi"), F.max("n").alias("n"))
     part = prob * (F.col("n") - 1) - F.floor(prob * (F.col("n") - 1))

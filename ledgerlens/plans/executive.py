@@ -9,7 +9,10 @@ from ledgerlens.functions import exprs as X
 
 
 def headline_kpis(e: DataFrame) -> DataFrame:
-    """Q1.1: all-time KPIs, one row."""
+    """Q1.1: all-time KPIs, one row.
+
+    Merchants are counted in an aggregate of their own: two distinct counts in one would expand every row.
+    """
     g = e.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("is_success").alias("succ"),
@@ -17,8 +20,7 @@ def headline_kpis(e: DataFrame) -> DataFrame:
         F.count(F.when(X.is_success(), F.col("amount"))).alias("n_succ_amount"),
         X.money_sum("revenue_cents").alias("rev"),
         F.count_distinct("customer_id").alias("active_customers"),
-        F.count_distinct("merchant_id").alias("active_merchants"),
-    )
+    ).crossJoin(e.agg(F.count_distinct("merchant_id").alias("active_merchants")))  # one row each
     return g.select(
         F.col("n").cast("bigint").alias("total_transactions"),
         F.col("succ").cast("bigint").alias("successful_transactions"),

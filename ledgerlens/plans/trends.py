@@ -95,11 +95,13 @@ def daily_active_users(e: DataFrame, window_rows: int = 7, n: int = 30) -> DataF
 
 
 def stickiness(e: DataFrame) -> DataFrame:
-    """Q4.6 as written: MAU, MAU / active days, and (MAU / days) / MAU in %."""
-    dd = e.select("txn_year_month", "txn_date", "customer_id").distinct()
-    g = dd.groupBy("txn_year_month").agg(
-        F.count_distinct("customer_id").alias("mau"),
-        F.count_distinct("txn_date").alias("days"))
+    """Q4.6 as written: MAU, MAU / active days, and (MAU / days) / MAU in %.
+
+    Customers and days are counted apart, each from its own distinct pairs (no row is expanded).
+    """
+    mau = e.groupBy("txn_year_month").agg(F.count_distinct("customer_id").alias("mau"))
+    days = e.groupBy(F.col("txn_year_month").alias("month")).agg(F.count_distinct("txn_date").alias("days"))
+    g = mau.join(days, F.col("txn_year_month").eqNullSafe(F.col("month")))
     return g.select(
         "txn_year_month",
         F.col("mau").cast("bigint"),
