@@ -8,7 +8,8 @@ a greedy search from the middle point proposes neighbours; pruning keeps the clo
 others that are nearer to a kept one than to the point by a factor of ``ALPHA``, so edges stay diverse; edges
 back are added and pruned alike (Subramanya et al., 2019).  Queries go to every shard, in blocks of at most
 ``BLOCK``: a task holds one shard and one block.  A beam search of width ``BEAM`` collects candidates, which are scored
-in double precision on the original vectors, and the best of all shards remain.
+in double precision on the original vectors, and the best of all shards remain.  Vectors keep their type (float, or
+double for any other); only the graph's walk is in single precision, over vectors scaled to components of one at most.
 
 Every row is indexed.  Vectors that are null, zero, hold a null or non-finite component or have another
 number of components than most take no part.  Rows that share a vec_id count once (the least hash of the
@@ -31,7 +32,7 @@ BLOCK = 4096
 DEGREE, ROOM, ALPHA = 32, 48, 1.2
 BUILD_BEAM, BEAM = 64, 96
 BATCH = 512
-GRAPH = "shard int, n int, dim int, vectors binary, edges binary, start int, ids binary, ids_n binary"
+GRAPH = "shard int, n int, dim int, kind string, vectors binary, edges binary, start int, ids binary, ids_n binary"
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -39,7 +40,8 @@ def usable(rows: DataFrame) -> DataFrame:
     """vec_id, h (a hash of the vector) and vector of the rows that take part."""
     v = F.col("embedding")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<float>").alias("embedding")).where(
+    kind = "float" if rows.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast(f"array<{kind}>").alias("embedding")).where(
         F.col("vec_id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
     rows = rows.withColumn("h", F.xxhash64("embedding"))  # minus zero hashes as zero
     one = rows.groupBy("vec_id").agg(F.min(F.struct("h", "embedding")).alias("v")).select("vec_id", "v.*")
@@ -109,8 +111,23 @@ def beam_search(x: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarra
     return ids, done
 
 
+def _flat(vectors: pa.ChunkedArray, dim: int) -> np.ndarray:
+    """A row for each vector, in the column's own type."""
+    return vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def walked(vectors: np.ndarray, each: bool = False) -> np.ndarray:
+    """Vectors in single precision for the walk; wider ones by the largest component (``each``: its own), which changes no order."""
+    if vectors.dtype == np.float32 or not vectors.size:
+        return vectors
+    # By a power of two, so that no digit is lost.
+    top = np.abs(vectors).max(1, keepdims=True) if each else np.abs(vectors).max()
+    return np.ldexp(vectors, -np.frexp(top)[1]).astype(np.float32)
+
+
 def lengthened(vectors: np.ndarray) -> np.ndarray:
     """One more component, so that all have the length of the longest."""
+    vectors = walked(vectors)
     square = (vectors.astype(np.float64) ** 2).sum(1)
     return np.concatenate([vectors, np.sqrt(np.maximum(square.max() - square, 0))[:, None].astype(np.float32)], 1)
 
@@ -164,10 +181,10 @@ def index(rows: DataFrame, k: int = K, shard: int = SHARD) -> DataFrame:
     def pack(key, table):
         table = table.sort_by("h")
         dim = len(table.column("embedding")[0].as_py())
-        vectors = table.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)
+        vectors = _flat(table.column("embedding"), dim)
         edges, start = build(vectors)
         ids = table.column("ids").combine_chunks()
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([len(vectors)], pa.int32()), "dim": pa.array([dim], pa.int32()),
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([len(vectors)], pa.int32()), "dim": pa.array([dim], pa.int32()), "kind": [vectors.dtype.name],
                          "vectors": [vectors.tobytes()], "edges": [edges.tobytes()], "start": pa.array([start], pa.int32()),
                          "ids": [ids.flatten().to_numpy().tobytes()], "ids_n": [ids.value_lengths().to_numpy().astype(np.int32).tobytes()]})
 
@@ -185,15 +202,15 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM,
         out = {"query_id": [], "vec_id": [], "score": []}
         if graph.num_rows and asked.num_rows:
             g = graph.to_pylist()[0]
-            x = np.frombuffer(g["vectors"], np.float32).reshape(g["n"], g["dim"])
+            x = np.frombuffer(g["vectors"], g["kind"]).reshape(g["n"], g["dim"])
             edges = np.frombuffer(g["edges"], np.int32).reshape(g["n"], -1)
             ids, ids_n = np.frombuffer(g["ids"], np.int64), np.frombuffer(g["ids_n"], np.int32).astype(np.int64)
             first = np.cumsum(ids_n) - ids_n
-            q = asked.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, g["dim"])
+            q = _flat(asked.column("embedding"), g["dim"])
             own, long = asked.column("vec_id").to_numpy(), lengthened(x)
             for a in range(0, len(q), BATCH):
                 part = q[a:a + BATCH]
-                found, _ = beam_search(long, edges, g["start"], np.concatenate([part, np.zeros((len(part), 1), np.float32)], 1), beam)
+                found, _ = beam_search(long, edges, g["start"], np.concatenate([walked(part, True), np.zeros((len(part), 1), np.float32)], 1), beam)
                 for i, c in enumerate(found):
                     c = c[c >= 0]
                     score = x[c].astype(np.float64) @ part[i].astype(np.float64)
