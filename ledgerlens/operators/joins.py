@@ -28,3 +28,15 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "i
     if proven_rows is not None and proven_rows <= MAX_PROVEN_BROADCAST_ROWS:
         dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)
+
+
+def with_proven_key(dim: DataFrame, key: str) -> DataFrame:
+    """``dim`` grouped by ``key`` if no key repeats, else as it is.
+
+    Grouped, it is known to match a row once at most: the optimizer then drops a left join
+    whose columns nobody reads, and with it the shuffle of the fact.  Null keys match nothing.
+    """
+    keyed = dim.where(F.col(key).isNotNull())
+    if not keyed.groupBy(key).count().where("count > 1").isEmpty():
+        return dim
+    return keyed.groupBy(key).agg(*[F.first(c).alias(c) for c in dim.columns if c != key]).select(*dim.columns)

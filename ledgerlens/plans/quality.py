@@ -98,17 +98,18 @@ def total_issues(report: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ C2-C6
-def _first_per_key(txn: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def _first_per_key(txn: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first row under a total order, plus the key's row count."""
-    others = [c for c in txn.columns if c != key]
+    keys = [key] if isinstance(key, str) else list(key)
+    others = [c for c in txn.columns if c not in keys]
     order_cols = [c for c in order if c in others] + [c for c in others if c not in order]
     # One struct is both the row and its order.
     first = F.min(F.struct(*order_cols)).alias("__r")
-    return (txn.groupBy(key).agg(first, F.count(F.lit(1)).alias("__copies"))
-            .select(key, *[F.col(f"__r.{c}").alias(c) for c in others], "__copies"))
+    return (txn.groupBy(*keys).agg(first, F.count(F.lit(1)).alias("__copies"))
+            .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in others], "__copies"))
 
 
-def dedupe_first(txn: DataFrame, key: str = "transaction_id",
+def dedupe_first(txn: DataFrame, key: str | Sequence[str] = "transaction_id",
                  order: Sequence[str] = DEFAULT_FIRST_ORDER) -> DataFrame:
     """Keep the first row per key under a total order (order columns, then all others).
 
@@ -132,9 +133,10 @@ def _tag_rules(txn: DataFrame) -> DataFrame:
     return tagged.withColumn("__rule", rule)
 
 
-def clean_transactions(txn: DataFrame, order: Sequence[str] = DEFAULT_FIRST_ORDER) -> DataFrame:
-    """Dedupe by id (keep first), coerce timestamp and amount, normalise status."""
-    out = _tag_rules(dedupe_first(txn, order=order))
+def clean_transactions(txn: DataFrame, order: Sequence[str] = DEFAULT_FIRST_ORDER,
+                       key: str | Sequence[str] = "transaction_id") -> DataFrame:
+    """Dedupe by id or the columns that it is made of (keep first), coerce timestamp and amount, normalise status."""
+    out = _tag_rules(dedupe_first(txn, key, order))
     return out.where(F.col("__rule").isNull()).drop("__rule")
 
 

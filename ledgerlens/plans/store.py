@@ -7,8 +7,10 @@ location a cluster names in ``spark.checkpoint.dir``), keyed by the input
 snapshot (all source files, with size and modification time) and a
 layout version.  Queries then scan one table with month partition pruning
 instead of re-running the fact-to-dimension joins; a lost executor only
-re-reads files.  ``LEDGERLENS_STORE=0`` turns the store off (every query
-recomputes from the sources).
+re-reads files.  The wide tables are written by ``catalog.build_store`` only:
+a query that finds none plans from the sources and moves the columns that it
+reads, so no query writes all columns for others.  ``LEDGERLENS_STORE=0`` turns
+the store off (every query recomputes from the sources).
 """
 
 from __future__ import annotations
@@ -46,13 +48,15 @@ def _snapshot(spark: SparkSession, paths: Sequence[str]) -> str:
 
 
 def materialized(spark: SparkSession, name: str, sources: Sequence[str], build: Callable[[], DataFrame],
-                 partition_by: str | None = None) -> DataFrame:
-    """Read ``name`` for this input snapshot, writing it first if absent."""
+                 partition_by: str | None = None, write: bool = True) -> DataFrame:
+    """Read ``name`` for this input snapshot; if absent, write it first, or without ``write`` plan it from the sources."""
     if not enabled():
         return build()
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/ledgerlens-store/{_snapshot(spark, sources)}/{name}"
     if path not in _SCHEMAS:
+        if not write:
+            return build()
         df = build()
         if partition_by:
             # Gathered by month, with large months split and small ones joined by AQE: few files each.

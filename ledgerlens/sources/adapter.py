@@ -59,6 +59,8 @@ RETURNFLAG_STATUS = (("A", "SUCCESS"), ("R", "FAILED"), ("N", "PENDING"))
 LINESTATUS_OS = (("F", "Android"), ("O", "iOS"))
 DEVICE_VERSIONS = 6          # line numbers 1..6 have a device; 7 has none
 NO_DEVICE_LINENUMBER = 7
+#: What ``transaction_id`` of fact A is made of.
+ROW_KEY = ("__order", "__line")
 REGISTRATION_EPOCH = dt.date(1993, 1, 1)
 REGISTRATION_STEP = 37
 REGISTRATION_SPAN = 1900
@@ -205,28 +207,44 @@ class Tables:
     # ---- facts ------------------------------------------------------------
     @property
     def transactions_a(self) -> DataFrame:
-        def build():
-            li = self.src("lineitem").select(
-                "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
-            o = self.src("orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
-            j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-            status = _map(F.col("l_returnflag"), RETURNFLAG_STATUS)
-            return j.select(
-                F.concat_ws("-", F.col("l_orderkey").cast("string"),
-                            F.col("l_linenumber").cast("string")).alias("transaction_id"),
-                F.col("o_custkey").alias("customer_id"),
-                F.col("l_partkey").alias("merchant_id"),
-                F.col("l_suppkey").alias("bank_id"),
-                device_id_expr(F.col("l_linestatus"), F.col("l_linenumber")).alias("device_id"),
-                F.col("l_extendedprice").cast(S.MONEY).alias("amount"),
-                F.round(F.col("l_extendedprice") * 100).cast("long").alias("amount_cents"),
-                status.alias("status"),
-                F.when(status == "FAILED", F.col("o_orderpriority")).alias("failure_reason"),
-                F.col("o_orderstatus").alias("payment_mode"),
-                F.col("l_shipdate").cast("timestamp_ntz").alias("txn_timestamp"),
-            )
-        return self._memo("txn_a", build)
+        return self._memo("txn_a", lambda: self.fact_a().drop(*ROW_KEY))
+
+    def fact_a(self, merchants: DataFrame | None = None, customers: DataFrame | None = None) -> DataFrame:
+        """Fact A with ``ROW_KEY``, which names a row as ``transaction_id`` does and by whose first column the rows are dealt.
+
+        ``merchants`` and ``customers`` are inner-joined where the rows are few or narrow: to the lines
+        before they meet their orders, and to the orders.
+        """
+        li = self.src("lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+            "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
+        o = self.src("orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+        more = []
+        if merchants is not None:
+            more += [c for c in merchants.columns if c != "merchant_id"]
+            li = li.join(merchants.withColumnRenamed("merchant_id", "__merchant"), F.col("l_partkey") == F.col("__merchant"))
+        if customers is not None:
+            more += [c for c in customers.columns if c != "customer_id"]
+            o = o.join(customers.withColumnRenamed("customer_id", "__customer"), F.col("o_custkey") == F.col("__customer"))
+        # Both grow with the input: shuffled at every size, so that what is moved grows in step.
+        j = li.join(o.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+        status = _map(F.col("l_returnflag"), RETURNFLAG_STATUS)
+        return j.select(
+            *[F.col(c).alias(k) for c, k in zip(("l_orderkey", "l_linenumber"), ROW_KEY, strict=True)],
+            F.concat_ws("-", F.col("l_orderkey").cast("string"),
+                        F.col("l_linenumber").cast("string")).alias("transaction_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("l_partkey").alias("merchant_id"),
+            F.col("l_suppkey").alias("bank_id"),
+            device_id_expr(F.col("l_linestatus"), F.col("l_linenumber")).alias("device_id"),
+            F.col("l_extendedprice").cast(S.MONEY).alias("amount"),
+            F.round(F.col("l_extendedprice") * 100).cast("long").alias("amount_cents"),
+            status.alias("status"),
+            F.when(status == "FAILED", F.col("o_orderpriority")).alias("failure_reason"),
+            F.col("o_orderstatus").alias("payment_mode"),
+            F.col("l_shipdate").cast("timestamp_ntz").alias("txn_timestamp"),
+            *more,
+        )
 
     @property
     def transactions_b(self) -> DataFrame:
