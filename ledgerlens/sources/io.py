@@ -98,7 +98,7 @@ def rebuild(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet")
     for name in [n for n in S.LOAD_ORDER if n in tables]:
         path = f"{out_dir.rstrip('/')}/{name}"
         w = tables[name].write.mode("overwrite")
-        (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
+        (w.option("header", True).option("compression", "gzip").csv(path) if fmt == "csv" else w.parquet(path))
         paths[name] = path
     return paths
 
@@ -111,7 +111,7 @@ def write_features(txn_features: DataFrame, customer_features: DataFrame, out_di
     for name, df in (("transactions_features", tf), ("customer_features", customer_features)):
         path = f"{out_dir.rstrip('/')}/{name}"
         w = df.write.mode("overwrite")
-        (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
+        (w.option("header", True).option("compression", "gzip").csv(path) if fmt == "csv" else w.parquet(path))
         out[name] = path
     return out
 
@@ -135,7 +135,7 @@ def export_star_schema(enriched: DataFrame, dims: Mapping[str, DataFrame], calen
         w = df.write.mode("overwrite")
         if part:
             w = w.partitionBy(part)
-        (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
+        (w.option("header", True).option("compression", "gzip").csv(path) if fmt == "csv" else w.parquet(path))
         out[name] = path
     return out
 
