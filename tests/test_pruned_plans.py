@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from ledgerlens import catalog
+from ledgerlens.sources import adapter
 from ledgerlens.operators.joins import with_proven_key
 from ledgerlens.plans import views as V
 from ledgerlens.plans.quality import clean_transactions
@@ -76,3 +77,12 @@ def test_joins_that_nobody_reads_are_dropped(spark):
     assert rows(joined) == rows(fact.join(once, "k", "left"))
     assert "Join" not in joined.agg(F.sum("v"))._jdf.queryExecution().optimizedPlan().toString()
     assert rows(fact.join(with_proven_key(twice, "k"), "k", "left")) == rows(fact.join(twice, "k", "left"))
+
+
+def test_partitions_of_the_fact_hold_so_many_rows_at_any_size(spark, odd, monkeypatch):
+    want = rows(V.analysis_frame(tables(spark, odd)))
+    monkeypatch.setattr(adapter, "ROWS_A_PARTITION", 1)
+    n = max(spark.sparkContext.defaultParallelism, 10)
+    t = tables(spark, odd)
+    assert t.partitions() == n and t.fact_a().rdd.getNumPartitions() == n
+    assert rows(V.analysis_frame(t)) == want  # first rows are taken within these partitions
