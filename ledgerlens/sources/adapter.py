@@ -61,6 +61,8 @@ DEVICE_VERSIONS = 6          # line numbers 1..6 have a device; 7 has none
 NO_DEVICE_LINENUMBER = 7
 #: Rows of fact A that a partition holds on average, however many there are: what a task sorts doesn't grow with the input.
 ROWS_A_PARTITION = 250_000
+#: So few partitions, or less, are left to the session and AQE: they are small in all.
+FEW_PARTITIONS = 32
 #: What ``transaction_id`` of fact A is made of.
 ROW_KEY = ("__order", "__line")
 REGISTRATION_EPOCH = dt.date(1993, 1, 1)
@@ -207,10 +209,13 @@ class Tables:
         return self._memo("campaigns", build)
 
     # ---- facts ------------------------------------------------------------
-    def partitions(self, rows_a_partition: int | None = None) -> int:
-        """How many partitions fact A is dealt into: as many as it has lines for (counted from the files' footers), one a core at least."""
-        lines = self._memo("lines", lambda: self.src("lineitem").count())
-        return max(self.spark.sparkContext.defaultParallelism, -(-lines // (rows_a_partition or ROWS_A_PARTITION)))
+    def dealt(self, df: DataFrame, key: str) -> DataFrame:
+        """``df`` dealt out by ``key`` into as many partitions as fact A has lines for, counted from the files' footers.
+
+        Spark raises the number to the session's shuffle partitions, if these are more.
+        """
+        n = -(-self._memo("lines", lambda: self.src("lineitem").count()) // ROWS_A_PARTITION)
+        return df.repartition(n, key) if n > FEW_PARTITIONS else df
 
     @property
     def transactions_a(self) -> DataFrame:
@@ -235,8 +240,7 @@ class Tables:
             o = o.join(customers.withColumnRenamed("customer_id", "__customer"), F.col("o_custkey") == F.col("__customer"))
         # Both grow with the input: shuffled at every size, so that what is moved grows in step, into partitions
         # of one size, so that neither this sort nor a later one within them (C2) outgrows a task and spills.
-        n = self.partitions()
-        j = li.repartition(n, "l_orderkey").join(o.repartition(n, "o_orderkey").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+        j = self.dealt(li, "l_orderkey").join(self.dealt(o, "o_orderkey").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
         status = _map(F.col("l_returnflag"), RETURNFLAG_STATUS)
         return j.select(
             *[F.col(c).alias(k) for c, k in zip(("l_orderkey", "l_linenumber"), ROW_KEY, strict=True)],
