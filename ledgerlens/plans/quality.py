@@ -163,21 +163,20 @@ def cleaning_actions(txn: DataFrame, order: Sequence[str] = DEFAULT_FIRST_ORDER)
 def orphan_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """For every foreign key, rows whose non-null key has no parent.
 
-    Each table is read once as a child and once as a parent; keys are counted
-    before the shuffle, so a hot key is one row for each task.
+    Each table is read once, for the keys that it uses and those that it holds; keys are
+    counted before the one shuffle that meets them, so a hot key is one row for each task.
     """
     keys = [(i, *k) for i, k in enumerate(S.FOREIGN_KEYS) if k[0] in tables and k[2] in tables]
 
-    def pairs(name: str, of: int, col: int) -> DataFrame:
-        mine = [F.struct(F.lit(k[0]).alias("i"), F.col(k[col]).cast("string").alias("k")) for k in keys if k[of] == name]
-        rows = tables[name].select(F.explode(F.array(*mine)).alias("x")).select("x.i", "x.k").where(F.col("k").isNotNull())
-        return rows.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n"))
+    def seen(name: str) -> DataFrame:
+        entry = lambda k, col, n, parents: F.struct(
+            F.lit(k[0]).alias("i"), F.col(col).cast("string").alias("k"), F.lit(n).cast("bigint").alias("n"), F.lit(parents).alias("parents"))
+        mine = [entry(k, k[2], 1, 0) for k in keys if k[1] == name] + [entry(k, k[4], 0, 1) for k in keys if k[3] == name]
+        return tables[name].select(F.explode(F.array(*mine)).alias("x")).select("x.*").where(F.col("k").isNotNull())
 
-    used = [pairs(name, 1, 2).withColumn("parents", F.lit(0)) for name in dict.fromkeys(k[1] for k in keys)]
-    held = [pairs(name, 3, 4).select("i", "k", F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("parents")) for name in dict.fromkeys(k[3] for k in keys)]
     every = None
-    for part in used + held:
-        every = part if every is None else every.unionByName(part)
+    for name in dict.fromkeys([k[1] for k in keys] + [k[3] for k in keys]):
+        every = seen(name) if every is None else every.unionByName(seen(name))
     lost = every.groupBy("i", "k").agg(F.sum("n").alias("n"), F.max("parents").alias("parents")).where("parents = 0").groupBy("i").agg(F.sum("n").alias("n"))
     names = next(iter(tables.values())).sparkSession.createDataFrame([k[:4] for k in keys], "i int, child_table string, child_column string, parent_table string")
     return names.join(lost, "i", "left").select("child_table", "child_column", "parent_table", F.coalesce("n", F.lit(0)).cast("bigint").alias("orphans"))

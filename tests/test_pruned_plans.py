@@ -11,7 +11,7 @@ from ledgerlens import catalog
 from ledgerlens.sources import adapter
 from ledgerlens.operators.joins import with_proven_key
 from ledgerlens.plans import views as V
-from ledgerlens.plans.quality import clean_transactions
+from ledgerlens.plans.quality import clean_transactions, orphan_counts
 from ledgerlens.sources.adapter import ROW_KEY, SOURCE_SCHEMAS, tables
 
 DAY = dt.datetime(1996, 1, 5)
@@ -82,7 +82,22 @@ def test_joins_that_nobody_reads_are_dropped(spark):
 def test_partitions_of_the_fact_hold_so_many_rows_at_any_size(spark, odd, monkeypatch):
     want = rows(V.analysis_frame(tables(spark, odd)))
     monkeypatch.setattr(adapter, "ROWS_A_PARTITION", 1)
-    n = max(spark.sparkContext.defaultParallelism, 10)
+    monkeypatch.setattr(adapter, "FEW_PARTITIONS", 1)
     t = tables(spark, odd)
-    assert t.partitions() == n and t.fact_a().rdd.getNumPartitions() == n
+    assert t.fact_a().rdd.getNumPartitions() == t.src("lineitem").count() == 10
     assert rows(V.analysis_frame(t)) == want  # first rows are taken within these partitions
+
+
+def test_orphans_move_each_key_once(spark):
+    frame = lambda values, columns: spark.createDataFrame(values, columns)
+    given = {
+        "banks": frame([(1,), (None,)], "bank_id int"),
+        "customers": frame([(1, 1, "a"), (2, 9, None), (2, 9, None)], "customer_id int, primary_bank_id int, device_id string"),
+        "transactions": frame([("t", 1, 1), ("t", 7, 2), (None, None, 2)], "transaction_id string, customer_id int, bank_id int"),
+        "cashback": frame([("t",), ("u",), ("u",), (None,)], "transaction_id string"),
+    }
+    keys = {("customers", "primary_bank_id"): 2, ("transactions", "customer_id"): 1, ("transactions", "bank_id"): 2, ("cashback", "transaction_id"): 2}
+    out = orphan_counts(given)
+    assert {(r[0], r[1]): r[3] for r in out.collect()} == keys
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == len(given) and plan.count("Aggregate [i") == 2
