@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,6 +119,16 @@ def dedupe_first(txn: DataFrame, key: str | Sequence[str] = "transaction_id",
     return _first_per_key(txn, key, order).select(*txn.columns)
 
 
+def first_in_place(txn: DataFrame, key: Sequence[str], carried: Sequence[str], order: Sequence[str] = DEFAULT_FIRST_ORDER) -> DataFrame:
+    """C2 for rows whose equal keys lie in one partition: the row that ``dedupe_first`` keeps.
+
+    ``carried`` columns follow from the others: they pass by, take no part in the order and may be pruned.
+    """
+    others = [c for c in txn.columns if c not in key and c not in carried]
+    w = Window.partitionBy(*key).orderBy(*[c for c in order if c in others], *[c for c in others if c not in order])
+    return txn.withColumn("__nth", F.row_number().over(w)).where("__nth = 1").drop("__nth")
+
+
 def _tag_rules(txn: DataFrame) -> DataFrame:
     """Parse, normalise and tag each row with the first failing cleaning rule."""
     ts = parsed_timestamp("txn_timestamp", _dtype(txn, "txn_timestamp"))
@@ -136,7 +146,12 @@ def _tag_rules(txn: DataFrame) -> DataFrame:
 def clean_transactions(txn: DataFrame, order: Sequence[str] = DEFAULT_FIRST_ORDER,
                        key: str | Sequence[str] = "transaction_id") -> DataFrame:
     """Dedupe by id or the columns that it is made of (keep first), coerce timestamp and amount, normalise status."""
-    out = _tag_rules(dedupe_first(txn, key, order))
+    return clean_rows(dedupe_first(txn, key, order))
+
+
+def clean_rows(firsts: DataFrame) -> DataFrame:
+    """C3-C5 on rows without repeated ids."""
+    out = _tag_rules(firsts)
     return out.where(F.col("__rule").isNull()).drop("__rule")
 
 

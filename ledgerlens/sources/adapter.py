@@ -21,6 +21,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.joins import MAX_PROVEN_BROADCAST_ROWS
 from ledgerlens.sources import schemas as S
 
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -63,6 +64,8 @@ NO_DEVICE_LINENUMBER = 7
 ROWS_A_PARTITION = 250_000
 #: So few partitions, or less, are left to the session and AQE: they are small in all.
 FEW_PARTITIONS = 32
+#: The source table that bounds each dimension's rows.
+DIM_SOURCES = {"merchants": "part", "customers": "customer", "banks": "supplier"}
 #: What ``transaction_id`` of fact A is made of.
 ROW_KEY = ("__order", "__line")
 REGISTRATION_EPOCH = dt.date(1993, 1, 1)
@@ -97,6 +100,19 @@ def device_id_expr(status_code, line_no):
         .otherwise(F.concat_ws("-", status_code, line_no.cast("string")))
 
 
+def merchant_rules(key, category):
+    """The columns of a merchant that follow from its key and category."""
+    state = F.concat(F.lit("NATION_"), (key % MERCHANT_STATES).cast("string"))
+    rate = _map(category, COMMISSION_BY_CATEGORY)
+    return {
+        "state": state,
+        "city": F.concat_ws("_", state, (key % MERCHANT_CITIES_PER_STATE).cast("string")),
+        "commission_rate": rate.cast(S.RATE),
+        # the same rate in basis points (1e-4), for integer revenue arithmetic
+        "commission_bp": F.round(rate.cast("double") * 10_000).cast("long"),
+    }
+
+
 @dataclass
 class Tables:
     """Lazily built payments tables over one scale-factor directory."""
@@ -149,19 +165,16 @@ class Tables:
     def merchants(self) -> DataFrame:
         def build():
             p = self.src("part")
-            key = F.col("p_partkey")
-            state = F.concat(F.lit("NATION_"), (key % MERCHANT_STATES).cast("string"))
+            rules = merchant_rules(F.col("p_partkey"), F.col("p_type"))
             return p.select(
-                key.alias("merchant_id"),
+                F.col("p_partkey").alias("merchant_id"),
                 F.col("p_name").alias("merchant_name"),
                 F.col("p_type").alias("category"),
-                F.concat_ws("_", state, (key % MERCHANT_CITIES_PER_STATE).cast("string")).alias("city"),
-                state.alias("state"),
-                _map(F.col("p_type"), COMMISSION_BY_CATEGORY).cast(S.RATE).alias("commission_rate"),
+                rules["city"].alias("city"),
+                rules["state"].alias("state"),
+                rules["commission_rate"].alias("commission_rate"),
                 F.col("p_retailprice").alias("popularity"),
-                # the same rate in basis points (1e-4), for integer revenue arithmetic
-                F.round(_map(F.col("p_type"), COMMISSION_BY_CATEGORY).cast("double") * 10_000)
-                .cast("long").alias("commission_bp"),
+                rules["commission_bp"].alias("commission_bp"),
             )
         return self._memo("merchants", build)
 
@@ -209,38 +222,66 @@ class Tables:
         return self._memo("campaigns", build)
 
     # ---- facts ------------------------------------------------------------
+    def _rows(self, name: str) -> int:
+        """Rows of a source table, counted from the files' footers."""
+        return self._memo(("rows", name), lambda: self.src(name).count())
+
     def dealt(self, df: DataFrame, key: str) -> DataFrame:
-        """``df`` dealt out by ``key`` into as many partitions as fact A has lines for, counted from the files' footers.
+        """``df`` dealt out by ``key`` into as many partitions as fact A has lines for.
 
         Spark raises the number to the session's shuffle partitions, if these are more.
         """
-        n = -(-self._memo("lines", lambda: self.src("lineitem").count()) // ROWS_A_PARTITION)
+        n = -(-self._rows("lineitem") // ROWS_A_PARTITION)
         return df.repartition(n, key) if n > FEW_PARTITIONS else df
 
+    def _is_small(self, name: str) -> bool:
+        """Whether the rows of a dimension, at most those of its source table, may be broadcast."""
+        return self._rows(DIM_SOURCES[name]) <= MAX_PROVEN_BROADCAST_ROWS
+
+    def _with_dim(self, df: DataFrame, key: str, name: str, dim: DataFrame, how: str) -> DataFrame:
+        """``df`` joined to dimension ``name`` by ``key``.
+
+        A small one is broadcast.  Else, beyond few lines, the rows of ``df`` stream past a hashed part of the dimension:
+        they are not sorted, so neither many rows nor a hot key spills, and a part holds no more as the input grows.
+        """
+        own = dim.columns[0]
+        if self._is_small(name):
+            dim = F.broadcast(dim)
+        elif self.dealt(df, key) is not df:
+            df, dim = self.dealt(df, key), self.dealt(dim, own).hint("shuffle_hash")
+        dim = dim.withColumnRenamed(own, f"__{name}")
+        return df.join(dim, F.col(key) == F.col(f"__{name}"), how).drop(f"__{name}")
+
     @property
     def transactions_a(self) -> DataFrame:
         return self._memo("txn_a", lambda: self.fact_a().drop(*ROW_KEY))
 
-    def fact_a(self, merchants: DataFrame | None = None, customers: DataFrame | None = None) -> DataFrame:
+    def fact_a(self, merchants: DataFrame | None = None, customers: DataFrame | None = None,
+               banks: DataFrame | None = None, how: str = "inner") -> DataFrame:
         """Fact A with ``ROW_KEY``, which names a row as ``transaction_id`` does and by whose first column the rows are dealt.
 
-        ``merchants`` and ``customers`` are inner-joined where the rows are few or narrow: to the lines
-        before they meet their orders, and to the orders.
+        ``banks``, ``merchants`` and ``customers`` (key first) are joined, ``how`` tells, where the rows are few
+        or narrow: to the lines before they meet their orders, and to the orders; small ones after the last shuffle.
         """
         li = self.src("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
             "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
         o = self.src("orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
-        more = []
-        if merchants is not None:
-            more += [c for c in merchants.columns if c != "merchant_id"]
-            li = li.join(merchants.withColumnRenamed("merchant_id", "__merchant"), F.col("l_partkey") == F.col("__merchant"))
-        if customers is not None:
-            more += [c for c in customers.columns if c != "customer_id"]
-            o = o.join(customers.withColumnRenamed("customer_id", "__customer"), F.col("o_custkey") == F.col("__customer"))
+        more = [c for dim in (merchants, customers, banks) if dim is not None for c in dim.columns[1:]]
+        dims = {n: (k, d) for n, k, d in (("banks", "l_suppkey", banks), ("merchants", "l_partkey", merchants), ("customers", "o_custkey", customers)) if d is not None}
+        late = [n for n in dims if self._is_small(n)]
+        for n, (k, d) in dims.items():
+            if n in late:
+                continue
+            if n == "customers":
+                o = self._with_dim(o, k, n, d, how)
+            else:
+                li = self._with_dim(li, k, n, d, how)
         # Both grow with the input: shuffled at every size, so that what is moved grows in step, into partitions
         # of one size, so that neither this sort nor a later one within them (C2) outgrows a task and spills.
         j = self.dealt(li, "l_orderkey").join(self.dealt(o, "o_orderkey").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+        for n in late:
+            j = self._with_dim(j, dims[n][0], n, dims[n][1], how)
         status = _map(F.col("l_returnflag"), RETURNFLAG_STATUS)
         return j.select(
             *[F.col(c).alias(k) for c, k in zip(("l_orderkey", "l_linenumber"), ROW_KEY, strict=True)],

@@ -88,6 +88,37 @@ def test_partitions_of_the_fact_hold_so_many_rows_at_any_size(spark, odd, monkey
     assert rows(V.analysis_frame(t)) == want  # first rows are taken within these partitions
 
 
+@pytest.fixture(scope="module")
+def plain(spark, odd, tmp_path_factory):
+    """``odd`` with merchants and customers that come once, so that they are joined early; two copies of a line that differ."""
+    folder = tmp_path_factory.mktemp("plain")
+    for name, schema in SOURCE_SCHEMAS.items():
+        df = spark.read.schema(schema).parquet(f"{odd}/{name}.parquet")
+        if name in ("part", "customer"):
+            df = df.groupBy(df.columns[0]).agg(*[F.min(c).alias(c) for c in df.columns[1:]])
+        if name == "lineitem":
+            df = df.unionByName(df.where("l_partkey = 9").withColumn("l_partkey", F.lit(1).cast("long")))
+        df.select([f.split()[0] for f in schema.split(", ")]).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("few, small", [(32, 100_000), (1, 0)])
+def test_dimensions_meet_narrow_rows_and_nothing_is_moved_after(spark, plain, monkeypatch, few, small):
+    monkeypatch.setattr(adapter, "ROWS_A_PARTITION", 2)
+    monkeypatch.setattr(adapter, "FEW_PARTITIONS", few)
+    monkeypatch.setattr(adapter, "MAX_PROVEN_BROADCAST_ROWS", small)
+    t = tables(spark, plain)
+    want = V.join_dimensions(clean_transactions(t.transactions_a), t.customers, t.merchants, t.banks, t.devices)
+    got = V.analysis_frame(t)
+    assert rows(got) == rows(want) and got.columns == want.columns and got.dtypes == want.dtypes
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Window")]
+    assert "RepartitionByExpression" not in above and above.count("Join") == 1  # devices
+    assert plan.count("strategy=shuffle_hash") == (0 if small else 3)
+    amounts = got.agg(F.sum("amount"))._jdf.queryExecution().optimizedPlan().toString()
+    assert amounts.count("Join") == 2  # orders, devices: unread dimensions are dropped
+
+
 def test_orphans_move_each_key_once(spark):
     frame = lambda values, columns: spark.createDataFrame(values, columns)
     given = {
