@@ -173,15 +173,17 @@ def _entries_below(array: str, field: str, x: Column, most: int) -> Column:
     return F.aggregate(powers, F.lit(0), lambda n, p: n + F.when(F.coalesce(F.get(array, n + p - 1)[field] < x, F.lit(False)), p).otherwise(F.lit(0)))
 
 
-def quantiles(df: DataFrame, value: Column, probs: Sequence[float], by: str | None = None, partitions: int | None = None) -> DataFrame:
+def quantiles(df: DataFrame, value: Column, probs: Sequence[float], by: str | None = None, partitions: int | None = None,
+              times: Column | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles: one row (for each ``by``) with an array ``q`` in the order of ``probs``.
 
-    Equal values are counted first (map-side), running counts come from G1,
+    ``times`` tells how often a row's value occurs (1 at least; once if it is left out).  Equal values are counted first (map-side), running counts come from G1,
     and only the two values around each position leave their range, so no
     task holds a map of all values.  Null values are left out.
     """
     group = F.col(by) if by else F.lit(0)
-    counts = df.select(group.alias("g"), value.cast("double").alias("v")).where(F.col("v").isNotNull()).groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
+    values = df.select(group.alias("g"), value.cast("double").alias("v"), *([] if times is None else [times.alias("c")])).where(F.col("v").isNotNull())
+    counts = values.groupBy("g", "v").agg((F.count(F.lit(1)) if times is None else F.sum("c")).alias("c"))
     ranked = global_rank(counts, [Key("g"), Key("v")], sum_cols=["c"], partitions=partitions)
     sizes = ranked.groupBy("g").agg(F.sum("c").alias("n"), F.min(F.col("__cum_c") - F.col("c")).alias("skip")).withColumnRenamed("g", "h")
     # The wanted positions are sorted once for each group; each value looks its own up in the sorted array.

@@ -21,7 +21,7 @@ from ledgerlens.functions import dist
 from ledgerlens.functions import exprs as X
 from ledgerlens.operators.contingency import chi_square_stat, long_table, pivot_table, with_p_value
 from ledgerlens.operators.histogram import width_bucket_counts
-from ledgerlens.operators.ranking import Key, global_rank, quantiles
+from ledgerlens.operators.ranking import Key, global_rank, materialize, quantiles
 
 ALPHA = 0.05
 STAT_DIGITS = 6
@@ -40,9 +40,9 @@ def _cnt() -> Column:
     return F.count(F.lit(1))
 
 
-def _quantiles(df: DataFrame, value: Column, probs: Sequence[float]) -> Column:
+def _quantiles(df: DataFrame, value: Column, probs: Sequence[float], times: Column | None = None) -> Column:
     """Exact quantiles as an array from a scalar subquery (one row of G1's result)."""
-    return quantiles(df, value, probs).agg(F.max("q")).scalar()
+    return quantiles(df, value, probs, times=times).agg(F.max("q")).scalar()
 
 
 def successful_amounts(tf: DataFrame) -> DataFrame:
@@ -479,12 +479,15 @@ def anova(tf: DataFrame, group: str = "merchant_category") -> DataFrame:
 
 
 def category_ticket_stats(tf: DataFrame, upper_q: float = 0.95) -> DataFrame:
-    """Mean ticket and box statistics per category (sorted by mean); the p95 display limit."""
-    s = successful_amounts(tf).select("merchant_category", F.col("amount").cast("double").alias("x"),
-                                      F.col("amount").alias("a"))
-    limit = _quantiles(s, F.col("x"), [upper_q])[0]
-    q = quantiles(s, F.col("x"), [0.25, 0.5, 0.75], by="merchant_category").withColumnRenamed("merchant_category", "of")
-    g = s.groupBy("merchant_category").agg(_cnt().alias("n"), F.sum("a").alias("sa")) \
+    """Mean ticket and box statistics per category (sorted by mean); the p95 display limit.
+
+    One pass counts equal amounts of a category; mean, quartiles and limit come from these counts.
+    """
+    counts = materialize(successful_amounts(tf).groupBy("merchant_category", F.col("amount").alias("a")).agg(_cnt().alias("c")))
+    x, c = F.col("a").cast("double"), F.col("c")
+    limit = _quantiles(counts, x, [upper_q], c)[0]
+    q = quantiles(counts, x, [0.25, 0.5, 0.75], by="merchant_category", times=c).withColumnRenamed("merchant_category", "of")
+    g = counts.groupBy("merchant_category").agg(F.sum("c").alias("n"), F.sum(F.col("a") * c).alias("sa")) \
         .join(q, F.col("merchant_category").eqNullSafe(F.col("of")), "left")
     return g.select("merchant_category", F.col("n").cast("bigint"),
                     X.round_ratio(F.col("sa"), F.col("n"), 0).alias("mean_ticket"),

@@ -12,6 +12,7 @@ from ledgerlens.sources import adapter
 from ledgerlens.operators.joins import with_proven_key
 from ledgerlens.plans import views as V
 from ledgerlens.plans.quality import clean_transactions, orphan_counts
+from ledgerlens.plans import stats as ST
 from ledgerlens.sources.adapter import ROW_KEY, SOURCE_SCHEMAS, tables
 
 DAY = dt.datetime(1996, 1, 5)
@@ -119,6 +120,21 @@ def test_dimensions_meet_narrow_rows_and_nothing_is_moved_after(spark, plain, mo
     assert amounts.count("Join") == 2  # orders, devices: unread dimensions are dropped
 
 
+def test_category_tickets_take_one_pass(spark):
+    values = [("A", "1.00", 1), ("A", "1.00", 1), ("A", "4.00", 1), ("A", "9.00", 0), (None, "2.00", 1), ("B", None, 1), ("B", "5.00", 1)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    tf = spark.createDataFrame(values, "merchant_category string, amount string, is_success int") \
+        .mapInArrow(counted, "merchant_category string, amount string, is_success int").withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    got = {r[0]: tuple(r)[1:] for r in ST.category_ticket_stats(tf).collect()}
+    assert got == {"A": (3, 2.0, 1.0, 1.0, 2.5, 4.8), None: (1, 2.0, 2.0, 2.0, 2.0, 4.8), "B": (2, 3.0, 5.0, 5.0, 5.0, 4.8)}
+    assert seen.value == len(values)
+
+
 def test_orphans_move_each_key_once(spark):
     frame = lambda values, columns: spark.createDataFrame(values, columns)
     given = {
