@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,14 +122,14 @@ def cell(table: pa.Table) -> pa.Table:
 
     Rows without a term name the groups of the two blocks; the others are their counts.
     """
-    named = table.filter(pa.compute.is_null(table.column("term")))
-    found = table.filter(pa.compute.is_valid(table.column("term")))
+    named = table.filter(pc.is_null(table.column("term")))
+    found = table.filter(pc.is_valid(table.column("term")))
     gi, gj = table.column("gi")[0].as_py(), table.column("gj")[0].as_py()
     lang, kept = table.column("lang")[0].as_py(), named.column("in_block")[0].as_py()
     source, block = named.column("source").to_pylist(), named.column("g").to_numpy()
     order = {s: k for k, s in enumerate(source)}
     total = named.column("total").to_numpy() + SMOOTHING * named.column("n_kept").to_numpy()
-    words = pa.compute.dictionary_encode(found.column("term").combine_chunks()) if found.num_rows else None
+    words = pc.dictionary_encode(found.column("term").combine_chunks()) if found.num_rows else None
     names = words.dictionary if words is not None else pa.array([], pa.string())
     column = words.indices.to_numpy() if words is not None else np.zeros(0, np.int64)
     row = np.array([order[s] for s in found.column("source").to_pylist()], np.int64)

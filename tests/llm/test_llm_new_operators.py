@@ -1,12 +1,16 @@
 """Fill in the middle, the n-gram Jaccard join and the source divergence audit: brute force, round trips, edge cases; repairs of earlier operators."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,6 +215,25 @@ def test_divergence_edges(odd, none):
     assert sorted(map(tuple, divergence.audit(odd, least_docs=1, term_block=100).collect())) == _audited(rows, 1)
 
 
+def test_a_cell_runs_in_a_worker_that_did_nothing_before(tmp_path):
+    """At size, workers that sat idle during the joins are replaced; a new one has loaded the operator's module only and reads its table from a stream."""
+    n, term = [2, 3, 2, 3], [None, None, "x", "x"]
+    columns = dict(lang=["en"] * 4, gi=[0] * 4, gj=[0] * 4, t=[0] * 4, g=[0] * 4, source=["a", "b"] * 2, term=term, n=n, lang_n=[5] * 4, in_block=[1] * 4, total=n, n_kept=[1] * 4, lang_total=[5] * 4)
+    table = pa.table(columns)
+    with pa.ipc.new_stream(str(tmp_path / "cell.arrow"), table.schema) as out:
+        out.write_table(table)
+    program = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))!r})
+import pyarrow as pa
+from ledgerlens.llm import divergence
+print(divergence.cell(pa.ipc.open_stream({str(tmp_path / "cell.arrow")!r}).read_all()).column("part").to_pylist())
+"""
+    done = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert done.stdout.strip() == str(divergence.cell(table).column("part").to_pylist())
+
+
 def test_long_division_is_exact():
     count, total = np.array([0, 3, 10**14, 7]), np.array([10**15 - 1, 7, 3 * 10**14 + 1, 9])
     assert divergence.shares(count, total).tolist() == [1 + 10**9 * (c + 2) // t for c, t in zip(count.tolist(), total.tolist())]
