@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Callable, Sequence
 from urllib.parse import unquote, urlparse
 
@@ -69,3 +70,10 @@ def materialized(spark: SparkSession, name: str, sources: Sequence[str], build:
     schema, columns = _SCHEMAS[path]
     # Read back with the writer's schema: same types and order, no discovery job.
     return spark.read.schema(schema).parquet(path).select(*columns)
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back, for a query that reads the same columns several times."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -148,3 +148,10 @@ def test_orphans_move_each_key_once(spark):
     assert {(r[0], r[1]): r[3] for r in out.collect()} == keys
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode") == len(given) and plan.count("Aggregate [i") == 2
+
+
+def test_decisions_read_the_fact_once(spark):
+    """The rows themselves are held against SQL in test_oracle."""
+    files = entry.queries()["t21_decisions"](spark, SF_SMALL).inputFiles()
+    assert any("/decision-inputs-" in f for f in files)
+    assert not any(f"/{name}.parquet" in f for f in files for name in ("lineitem", "orders"))
