@@ -90,8 +90,12 @@ def success_amount(txn_feat: DataFrame) -> DataFrame:
 
 
 def engineer_customer_features(txn_feat: DataFrame, customers: DataFrame,
-                               inactive_days: int = X.INACTIVE_DAYS, bins: int = 5) -> DataFrame:
-    """One row per transacting customer (25 columns)."""
+                               inactive_days: int = X.INACTIVE_DAYS, bins: int = 5, stored: bool = False) -> DataFrame:
+    """One row per transacting customer (25 columns).
+
+    Where ``txn_feat`` is ``stored``, so that reading it twice costs little, pairs of customer and merchant are
+    counted on their own: no partial sums are moved for each pair.
+    """
     succ_amt = F.when(F.col("is_success") == 1, F.col("amount_cents"))
     g = txn_feat.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n_txns"),
@@ -99,12 +103,17 @@ def engineer_customer_features(txn_feat: DataFrame, customers: DataFrame,
         F.sum("is_failed").alias("n_failed"),
         F.min("txn_dt").alias("first_txn"),
         F.max("txn_dt").alias("last_txn"),
-        F.count_distinct("merchant_id").alias("distinct_merchants"),
+        *([] if stored else [F.count_distinct("merchant_id").alias("distinct_merchants")]),
         F.sum("high_value_flag").alias("high_value_txns"),
         X.money_sum(succ_amt).alias("__spend"),
         F.count(succ_amt).alias("__nspend"),
         X.money_sum("revenue_cents").alias("revenue_contributed"),
     )
+    if stored:
+        pairs = txn_feat.select(F.col("customer_id").alias("__of"), "merchant_id").where(F.col("merchant_id").isNotNull()).distinct()
+        pairs = pairs.groupBy("__of").agg(F.count(F.lit(1)).alias("__merchants"))
+        g = g.join(pairs, F.col("customer_id").eqNullSafe(F.col("__of")), "left") \
+            .withColumn("distinct_merchants", F.coalesce("__merchants", F.lit(0))).drop("__of", "__merchants")
     # A row for each customer, kept: the newest date comes from them, without a further pass over the fact.
     g = materialize(g)
     data_max = g.agg(F.max("last_txn")).scalar()

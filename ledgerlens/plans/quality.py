@@ -124,9 +124,14 @@ def first_in_place(txn: DataFrame, key: Sequence[str], carried: Sequence[str], o
 
     ``carried`` columns follow from the others: they pass by, take no part in the order and may be pruned.
     """
+    return numbered_in_place(txn, key, carried, order).where("__nth = 1").drop("__nth")
+
+
+def numbered_in_place(txn: DataFrame, key: Sequence[str], carried: Sequence[str] = (), order: Sequence[str] = DEFAULT_FIRST_ORDER) -> DataFrame:
+    """All rows with their place ``__nth`` among those of equal key, which lie in one partition; ``dedupe_first`` keeps the first."""
     others = [c for c in txn.columns if c not in key and c not in carried]
     w = Window.partitionBy(*key).orderBy(*[c for c in order if c in others], *[c for c in others if c not in order])
-    return txn.withColumn("__nth", F.row_number().over(w)).where("__nth = 1").drop("__nth")
+    return txn.withColumn("__nth", F.row_number().over(w))
 
 
 def _tag_rules(txn: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ replaces its output instead of appending duplicates.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -103,15 +103,19 @@ def rebuild(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet")
     return paths
 
 
-def write_features(txn_features: DataFrame, customer_features: DataFrame, out_dir: str,
+def write_features(txn_features: DataFrame, customer_features: DataFrame | Callable[[str], DataFrame], out_dir: str,
                    fmt: str = "parquet") -> dict[str, str]:
-    """Write both feature tables; the timestamp becomes 'yyyy-MM-dd HH:mm:ss' text."""
+    """Write both feature tables, blanks kept; the timestamp becomes 'yyyy-MM-dd HH:mm:ss' text.
+
+    ``customer_features`` may be a function that builds them from the path of the written transaction features.
+    """
     tf = txn_features.withColumn("txn_dt", F.date_format("txn_dt", TIMESTAMP_TEXT))
     out = {}
     for name, df in (("transactions_features", tf), ("customer_features", customer_features)):
         path = f"{out_dir.rstrip('/')}/{name}"
-        w = df.write.mode("overwrite")
-        (w.option("header", True).option("compression", "gzip").csv(path) if fmt == "csv" else w.parquet(path))
+        w = (df if isinstance(df, DataFrame) else df(out["transactions_features"])).write.mode("overwrite")
+        text = w.option("header", True).option("compression", "gzip").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        (text.csv(path) if fmt == "csv" else w.parquet(path))
         out[name] = path
     return out
 

@@ -10,6 +10,9 @@ from conftest import SF_SMALL
 from ledgerlens import catalog
 from ledgerlens.sources import adapter
 from ledgerlens.operators.joins import with_proven_key
+from ledgerlens.plans import cashback as B
+from ledgerlens.plans import features as FE
+from ledgerlens.plans import loading as LD
 from ledgerlens.plans import views as V
 from ledgerlens.plans.quality import clean_transactions, orphan_counts
 from ledgerlens.plans import stats as ST
@@ -155,3 +158,34 @@ def test_decisions_read_the_fact_once(spark):
     files = entry.queries()["t21_decisions"](spark, SF_SMALL).inputFiles()
     assert any("/decision-inputs-" in f for f in files)
     assert not any(f"/{name}.parquet" in f for f in files for name in ("lineitem", "orders"))
+
+
+def test_customer_features_of_stored_rows_are_the_same(spark):
+    values = [("a", "m", 1, 0, 100), ("a", "m", 0, 1, 50), ("a", None, 1, 0, 7), ("b", None, 0, 1, 9), (None, "m", 1, 0, 30), (None, "n", 1, 0, 40), ("", "n", 1, 0, 60)]
+    tf = spark.createDataFrame([(*v, v[4] // 10, DAY, int(v[4] > 50)) for v in values],
+                               "customer_id string, merchant_id string, is_success int, is_failed int, amount_cents long, revenue_cents long, txn_dt timestamp_ntz, high_value_flag int")
+    customers = spark.createDataFrame([("a", DAY.date(), 30, "F", "S"), (None, DAY.date(), 31, "M", "T")], "customer_id string, registration_date date, age int, gender string, state string")
+    want = FE.engineer_customer_features(tf, customers)
+    got = FE.engineer_customer_features(tf, customers, stored=True)
+    assert got.columns == want.columns and got.dtypes == want.dtypes and rows(got) == rows(want)
+    assert {r.customer_id: r.distinct_merchants for r in got.collect()} == {"a": 1, "b": 0, None: 2, "": 1}
+
+
+def test_cashback_moves_only_rows_of_a_campaign_day(spark, plain):
+    t = tables(spark, plain)
+    campaigns = spark.createDataFrame([("c1", "PROMO", DAY.date(), DAY.date(), 1.0), ("c2", "LARGE", DAY.date(), DAY.date() - dt.timedelta(2), 1.0), ("c3", "LARGE", None, DAY.date(), 1.0)],
+                                      "campaign_id string, target_category string, start_date date, end_date date, attach_rate double")
+    campaigns = campaigns.selectExpr("*", "cast(0.05 as decimal(6,4)) cashback_rate", "cast(75 as decimal(18,2)) max_cashback")
+    want = B.cashback_from_frame(V.analysis_frame(t), campaigns)
+    got = B.cashback_table(V.cleaned(t), V.unrepeated(t, "merchants"), campaigns, dedupe=False)
+    assert rows(got) == rows(want) and want.count() > 0
+    assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_loaded_dimensions_are_left_out_where_nobody_reads_them(spark, plain):
+    t = tables(spark, plain)
+    loaded = catalog._loaded(t)
+    got, want = LD._joined(loaded), V.join_dimensions(LD._fact(loaded), **LD._dims(loaded))
+    assert rows(got, want.columns) == rows(want) and set(got.columns) == set(want.columns) and want.count() > 0
+    amounts = got.agg(F.sum("amount"))._jdf.queryExecution().optimizedPlan().toString()
+    assert amounts.count("Join") == 1  # devices
