@@ -237,12 +237,13 @@ def _cf(fn):
     return lambda spark, sf: fn(customer_features(_t(spark, sf)))
 
 
-def _cashback_of(t: Tables, cleaned: DataFrame) -> DataFrame:
-    return B.cashback_table(cleaned, V.unrepeated(t, "merchants"), t.campaigns, dedupe=False)
+def _cashback_of(t: Tables, cleaned: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """B1-B3 over V3 of those rows that can qualify: the dimensions are joined to few rows."""
+    return B.cashback_from_frame(V.joined(t, B.on_campaign_days(cleaned, campaigns)), campaigns)
 
 
 def _cashback(t: Tables) -> DataFrame:
-    return t._memo("cashback", lambda: _cashback_of(t, V.cleaned(t)))
+    return t._memo("cashback", lambda: _cashback_of(t, V.cleaned(t), t.campaigns))
 
 
 def _all_tables(t: Tables) -> dict[str, DataFrame]:
@@ -259,7 +260,7 @@ def _loaded(t: Tables) -> dict[str, DataFrame]:
         from ledgerlens.plans.store import kept
         rows = kept(C.numbered_in_place(t.fact_a(), ROW_KEY).drop(*ROW_KEY, "amount_cents"), "fact")
         firsts = C.clean_rows(rows.where("__nth = 1").drop("__nth"))
-        return LD.load(t.spark, _all_tables(t) | {"transactions": rows.drop("__nth"), "cashback": _cashback_of(t, firsts)})
+        return LD.load(t.spark, _all_tables(t) | {"transactions": rows.drop("__nth"), "cashback": _cashback_of(t, firsts, t.campaigns)})
     return t._memo("loaded", build)
 
 

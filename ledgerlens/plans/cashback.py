@@ -37,9 +37,6 @@ def eligible(txn: DataFrame, merchants: DataFrame | None, campaigns: DataFrame)
                                               F.col("merchant_category").alias("category"))
     else:
         tx = txn.where(X.is_success()).select("transaction_id", "merchant_id", "amount", "txn_timestamp")
-        # Only rows of a day with a campaign are moved to their merchants; there is a row for each day, at most.
-        on = campaigns.select(F.explode(F.sequence("start_date", F.greatest("start_date", "end_date"))).alias("__day")).distinct()
-        tx = tx.join(F.broadcast(on), F.to_date("txn_timestamp") == F.col("__day"), "left_semi")
         tx = tx.join(merchants.select("merchant_id", "category"), "merchant_id")
     c = campaigns.select("campaign_id", F.col("target_category").alias("category"), "cashback_rate", "max_cashback", "attach_rate",
                          days(F.col("start_date")).alias("first_day"), (days(F.col("end_date")) + 1).alias("after_day"))
@@ -47,6 +44,13 @@ def eligible(txn: DataFrame, merchants: DataFrame | None, campaigns: DataFrame)
     return interval_join(tx, c, "category", "day", "first_day", "after_day")
 
 
+def on_campaign_days(txn: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """The rows of days on which a campaign runs, whatever its category: no others can qualify."""
+    days_on = campaigns.select(F.explode(F.sequence("start_date", F.greatest("start_date", "end_date"))).alias("__day")).distinct()
+    # A row for each day of the calendar, at most.
+    return txn.join(F.broadcast(days_on), F.to_date("txn_timestamp") == F.col("__day"), "left_semi")
+
+
 def campaign_totals(elig: DataFrame) -> DataFrame:
     """Eligible transactions of each campaign and the cashback that they would earn."""
     g = elig.groupBy("campaign_id").agg(

@@ -60,7 +60,7 @@ def test_customer_features_may_be_built_from_the_written_ones(spark):
     tf = spark.createDataFrame([(" a ", "2024-01-02 03:04:05"), ("a", "2024-01-02 03:04:05"), (None, "2024-01-02 03:04:05")], "a string, t string") \
         .select("a", F.to_timestamp("t").cast("timestamp_ntz").alias("txn_dt"))
     read = lambda path: spark.read.schema(tf.schema).option("header", True).csv(path)
-    paths = IO.write_features(tf, lambda written: read(written).select("a"), d, fmt="csv")
+    paths = IO.write_features(tf, lambda written: read(written).select("a", F.lit(1).alias("n")), d, fmt="csv")
     assert sorted(map(repr, read(paths["transactions_features"]).collect())) == sorted(map(repr, tf.collect()))
     assert {r.a for r in spark.read.option("header", True).csv(paths["customer_features"]).collect()} == {" a ", "a", None}
 
